@@ -119,3 +119,105 @@ def round6(x: str) -> str:
 
 
 TOKEN_MAP_SQL = "MAP {" + ", ".join(f"{q(k)}: {q(v)}" for k, v in TOKEN_MAP) + "}"
+
+
+def l2norm_sql(counts: str) -> str:
+    """Normalise a DOUBLE[] of counts to unit length (zeros stay zeros)."""
+    return (f"list_transform({counts}, lambda x: CASE WHEN sqrt(list_sum(list_transform({counts}, lambda y: y * y))) > 0 "
+            f"THEN x / sqrt(list_sum(list_transform({counts}, lambda y: y * y))) ELSE 0.0 END)")
+
+
+def sqdist(a: str, b: str) -> str:
+    return f"list_sum(list_transform(list_zip({a}, {b}), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+
+
+def norm_sql(a: str) -> str:
+    return f"sqrt(list_sum(list_transform({a}, lambda x: x * x)))"
+
+
+def classify_ctes(products: str = "products", catalog: str = "catalog", retrieve_k: int = 50, rerank_k: int = 20,
+                  use_hierarchy: bool = True, use_features: bool = True, key: str = "text", dim: int = 64,
+                  alpha: float = 0.4, beta: float = 0.6, boost: float = 1.3, route_top: int = 5) -> str:
+    """CTE chain for the batch classifier; defines cat, fused (candidates), scored, preds."""
+    key_expr = "corpus" if key == "text" else "CAST(doc_id AS VARCHAR)"
+    parts = [f"""
+cat AS (SELECT commodity_code, segment_name, family_name, class_name, commodity_name, {corpus()} AS corpus
+        FROM {catalog}),
+{bm25_ctes("cat", "commodity_code", "corpus", products, "product_id", "description", prefix="c_").strip()},
+lex AS (SELECT query_id, doc_id, score AS lex_score, rk AS lex_rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rk FROM c_scores)
+        WHERE rk <= {retrieve_k}),
+qv0 AS (SELECT product_id AS query_id, {hash_embed(clean("description"), dim)} AS c FROM {products}),
+qv AS (SELECT query_id, {l2norm_sql("c")} AS v FROM qv0),
+cv0 AS (SELECT commodity_code AS doc_id, {hash_embed("corpus", dim)} AS c FROM cat),
+cv AS (SELECT doc_id, {l2norm_sql("c")} AS v FROM cv0),
+dist AS (SELECT qv.query_id, cv.doc_id, {sqdist("qv.v", "cv.v")} AS d FROM qv, cv),
+sem AS (SELECT query_id, doc_id, 1.0 / (1.0 + d) AS sem_score, rk AS sem_rank FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), doc_id) AS rk FROM dist)
+        WHERE rk <= {retrieve_k}),
+u AS (SELECT query_id, doc_id, sem_score, sem_rank, CAST(NULL AS DOUBLE) AS lex_score, CAST(NULL AS BIGINT) AS lex_rank
+      FROM sem UNION ALL
+      SELECT query_id, doc_id, CAST(NULL AS DOUBLE), CAST(NULL AS BIGINT), lex_score, lex_rank FROM lex),
+uc AS (SELECT u.*, cat.corpus FROM u JOIN cat ON u.doc_id = cat.commodity_code),
+g AS (SELECT query_id, min(doc_id) AS doc_id, min(sem_rank) AS sem_rank, min(lex_rank) AS lex_rank,
+             coalesce(min(sem_score), 0.0) AS sem_score, coalesce(min(lex_score), 0.0) AS lex_score
+      FROM uc GROUP BY query_id, {key_expr}),
+fused AS (SELECT g.*, c.commodity_code, c.commodity_name, c.segment_name, c.family_name, c.class_name, c.corpus,
+                 row_number() OVER (PARTITION BY g.query_id ORDER BY (g.sem_rank IS NULL), g.sem_rank, g.lex_rank,
+                                    g.doc_id) AS cand_pos
+          FROM g JOIN cat c ON c.commodity_code = g.doc_id),
+pq AS (SELECT product_id AS query_id, description, list_distinct({clean_tokens("description")}) AS qt FROM {products}),
+x AS (SELECT f.*, pq.description,
+             CASE WHEN len(pq.qt) * len(list_distinct({clean_tokens("f.corpus")})) > 0
+                  THEN len(list_intersect(pq.qt, list_distinct({clean_tokens("f.corpus")})))
+                       / sqrt(CAST(len(pq.qt) AS DOUBLE) * len(list_distinct({clean_tokens("f.corpus")})))
+                  ELSE 0.0 END AS cross_score
+      FROM fused f JOIN pq ON f.query_id = pq.query_id),
+rr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cross_score, 9) DESC, cand_pos)
+       AS rerank_pos FROM x) WHERE rerank_pos <= {rerank_k}),
+mm AS (SELECT *, sem_score + lex_score AS hy,
+              min(sem_score + lex_score) OVER (PARTITION BY query_id) AS hy_lo,
+              max(sem_score + lex_score) OVER (PARTITION BY query_id) AS hy_hi,
+              min(cross_score) OVER (PARTITION BY query_id) AS cr_lo,
+              max(cross_score) OVER (PARTITION BY query_id) AS cr_hi FROM rr),
+merged AS (SELECT *, CASE WHEN hy_hi - hy_lo = 0 THEN 1.0 ELSE (hy - hy_lo) / (hy_hi - hy_lo) END AS hybrid_norm,
+                  CASE WHEN cr_hi - cr_lo = 0 THEN 1.0 ELSE (cross_score - cr_lo) / (cr_hi - cr_lo) END AS cross_norm
+           FROM mm),
+merged2 AS (SELECT *, {alpha} * hybrid_norm + {beta} * cross_norm AS final_score FROM merged)"""]
+    if use_hierarchy:
+        parts.append(f"""
+e_sf AS (SELECT DISTINCT segment_name AS p, family_name AS c FROM cat),
+e_fc AS (SELECT DISTINCT family_name AS p, class_name AS c FROM cat),
+e_cc AS (SELECT DISTINCT class_name AS p, commodity_name AS c FROM cat),
+reach AS (SELECT DISTINCT e_sf.p AS segment_name, e_cc.c AS commodity_name
+          FROM e_sf JOIN e_fc ON e_sf.c = e_fc.p JOIN e_cc ON e_fc.c = e_cc.p),
+ev AS (SELECT DISTINCT query_id, segment_name FROM fused WHERE cand_pos <= {route_top} AND segment_name <> ''),
+inh AS (SELECT DISTINCT ev.query_id, r.commodity_name FROM ev JOIN reach r ON r.segment_name = ev.segment_name),
+boosted AS (SELECT m.*, (inh.query_id IS NOT NULL) AS in_hierarchy,
+                   m.final_score * CASE WHEN inh.query_id IS NOT NULL THEN {boost} ELSE 1.0 END AS boosted_score
+            FROM merged2 m LEFT JOIN inh ON inh.query_id = m.query_id AND inh.commodity_name = m.commodity_name)""")
+    else:
+        parts.append("""
+boosted AS (SELECT *, false AS in_hierarchy, final_score AS boosted_score FROM merged2)""")
+    if use_features:
+        zeros = "[" + ", ".join(["0.0"] * 21) + "]::DOUBLE[]"
+        parts.append(f"""
+catf AS (SELECT commodity_name, arg_max({feature_vector("corpus")}, commodity_code) AS cf FROM cat GROUP BY commodity_name),
+fb AS (SELECT b.*, {feature_vector("b.description")} AS pf, coalesce(catf.cf, {zeros}) AS cf2
+       FROM boosted b LEFT JOIN catf ON catf.commodity_name = b.commodity_name),
+scored AS (SELECT *, 1.0 - {norm_sql("list_transform(list_zip(pf, cf2), lambda p: p[1] - p[2])")}
+                      / (1.0 + {norm_sql("pf")} + {norm_sql("cf2")}) AS feature_sim FROM fb),
+scored2 AS (SELECT *, 0.7 * boosted_score + 0.3 * feature_sim AS final_boosted_score FROM scored)""")
+    else:
+        parts.append("""
+scored2 AS (SELECT *, boosted_score AS final_boosted_score FROM boosted)""")
+    parts.append(f"""
+preds AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(final_boosted_score, 9) DESC,
+            round(boosted_score, 9) DESC, round(final_score, 9) DESC, round(cross_score, 9) DESC, cand_pos) AS rank
+          FROM scored2))""")
+    return ",".join(parts)
+
+
+PRED_COLS = (f"query_id AS product_id, CAST(rank AS INTEGER) AS rank, CAST(commodity_code AS BIGINT) AS commodity_code, "
+             f"commodity_name, {round6('final_boosted_score')} AS score, segment_name AS segment, family_name AS family, "
+             f"class_name AS class, in_hierarchy")
