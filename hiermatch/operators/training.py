@@ -5,8 +5,9 @@ Sampling without pairing every query with its whole pool: rows of each pool
 order; each query takes the rows at consecutive cyclic positions starting at
 its own md5 offset, skipping rows that carry its truth name.  Pass 1 reads a
 window of ``n + slack`` positions per query (an equi-join on position); the
-few queries whose window held too many truth-named rows are completed
-exactly by pass 2, which ranks their whole pool by cyclic distance.
+few queries whose window held too many truth-named rows retry with a doubled
+window, which is exact and never pairs a query with its whole group unless
+the group is that small.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean, join_key
+from ..session import cut_lineage
 
 SEED = "hiermatch"
 
@@ -44,7 +46,9 @@ def dense_positions(df: DataFrame, group_col: str, order_cols: list, partitions:
         .sortWithinPartitions(*keys)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
-    ).persist()
+    )
+    # Read twice below: cut lineage so both reads see the same ids even after executor loss.
+    s = cut_lineage(s)
     counts = s.groupBy("_pid", group_col).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(group_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
@@ -69,24 +73,27 @@ def cyclic_sample(queries: DataFrame, pool: DataFrame, group_col: str, n: int, s
     truth_cnt = pool.groupBy(group_col, F.col("name_key").alias("truth_key")).agg(F.count(F.lit(1)).alias("_tc"))
     q = q.join(truth_cnt, [group_col, "truth_key"], "left").withColumn(
         "quota", F.least(F.lit(n), F.col("group_size") - F.coalesce("_tc", F.lit(0)))).drop("_tc")
-    width = F.least(F.lit(n + slack), F.col("group_size"))
-    win = q.withColumn("j", F.explode(F.sequence(F.lit(0), width - 1))).withColumn(
-        "pos", F.pmod(F.col("offset") + F.col("j"), F.col("group_size")))
     payload = pool.drop("group_size")
-    hits = win.join(payload, [group_col, "pos"]).filter(~F.col("name_key").eqNullSafe(F.col("truth_key")))
     w1 = Window.partitionBy("query_id").orderBy("j")
-    first = hits.withColumn("pick", F.row_number().over(w1)).filter(F.col("pick") <= F.col("quota"))
-    got = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("_got"))
-    short = q.join(got, "query_id", "left").filter(F.coalesce("_got", F.lit(0)) < F.col("quota")).drop("_got")
-    # Pass 2 (exact completion): whole group, ranked by cyclic distance from the offset.
-    full = (
-        short.join(payload.withColumnRenamed("pos", "_p"), group_col).withColumnRenamed("_p", "pos")
-        .filter(~F.col("name_key").eqNullSafe(F.col("truth_key")))
-        .withColumn("j", F.pmod(F.col("pos") - F.col("offset"), F.col("group_size")))
-    )
-    second = full.withColumn("pick", F.row_number().over(w1)).filter(F.col("pick") <= F.col("quota"))
-    done = first.join(short.select("query_id"), "query_id", "left_anti")
-    return done.unionByName(second.select(*done.columns))
+    # Window passes: each query reads ``width`` cyclic positions from its offset.  Queries whose
+    # window held too many truth-named rows retry with a doubled window; a window covering the
+    # whole group always fills the quota, so the loop ends after at most log2(group size)
+    # passes, and each pass reads no more positions than the query needs (times two).
+    width, pending, done = n + slack, q, None
+    while True:
+        win = pending.withColumn("j", F.explode(F.sequence(F.lit(0), F.least(F.lit(width), F.col("group_size")) - 1))) \
+                     .withColumn("pos", F.pmod(F.col("offset") + F.col("j"), F.col("group_size")))
+        hits = win.join(payload, [group_col, "pos"]).filter(~F.col("name_key").eqNullSafe(F.col("truth_key")))
+        picked = hits.withColumn("pick", F.row_number().over(w1)).filter(F.col("pick") <= F.col("quota"))
+        got = picked.groupBy("query_id").agg(F.count(F.lit(1)).alias("_got"))
+        short = pending.join(got, "query_id", "left").filter(
+            (F.coalesce("_got", F.lit(0)) < F.col("quota")) & (F.col("group_size") > F.lit(width))).drop("_got")
+        ok = picked.join(short.select("query_id"), "query_id", "left_anti")
+        done = ok if done is None else done.unionByName(ok.select(*done.columns))
+        if short.isEmpty():
+            return done
+        pending = cut_lineage(short)
+        width *= 2
 
 
 def name_to_corpus(catalog: DataFrame) -> DataFrame:
