@@ -40,47 +40,55 @@ def relevance(distance: Column) -> Column:
     return F.lit(1.0) - distance / F.lit(math.sqrt(2.0))
 
 
+_ROW_CHUNK = 512  # query rows per vectorised step inside a cell
+
+
 def _block_topk_fn(k: int, exclude_self: bool, squared: bool):
-    out_cols = ["query_id", "doc_id", "distance"]
+    empty = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "doc_id": pd.Series([], dtype="int64"),
+                          "distance": pd.Series([], dtype="float64")})
 
     def fn(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
         if qpdf.empty or cpdf.empty:
-            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "doc_id": pd.Series([], dtype="int64"),
-                                 "distance": pd.Series([], dtype="float64")})
-        Q = np.stack(qpdf["v"].to_numpy()).astype(np.float64)
+            return empty
+        Q_all = np.stack(qpdf["v"].to_numpy()).astype(np.float64)
         C = np.stack(cpdf["v"].to_numpy()).astype(np.float64)
-        qid = qpdf["qid"].to_numpy(np.int64)
+        qid_all = qpdf["qid"].to_numpy(np.int64)
         cid = cpdf["cid"].to_numpy(np.int64)
-        d2 = (Q * Q).sum(1)[:, None] + (C * C).sum(1)[None, :] - 2.0 * (Q @ C.T)
-        np.maximum(d2, 0.0, out=d2)
-        if exclude_self:
-            d2[qid[:, None] == cid[None, :]] = np.inf
-        kk = min(k, C.shape[0])
-        rows_q, rows_c, rows_d = [], [], []
-        for i in range(Q.shape[0]):
-            row = d2[i]
-            if kk < row.shape[0]:
-                kth = np.partition(row, kk - 1)[kk - 1]
-            else:
-                kth = row.max()
-            if not np.isfinite(kth):
-                cand = np.nonzero(np.isfinite(row))[0]
-            else:
-                cand = np.nonzero(row <= kth + 1e-6 * max(1.0, abs(kth)))[0]
-            if cand.size == 0:
+        cn = (C * C).sum(1)
+        nc = C.shape[0]
+        kk = min(k, nc)
+        outs_q, outs_c, outs_d = [], [], []
+        for r0 in range(0, Q_all.shape[0], _ROW_CHUNK):
+            Q = Q_all[r0:r0 + _ROW_CHUNK]
+            qid = qid_all[r0:r0 + _ROW_CHUNK]
+            # Fast form only preselects; survivors are recomputed exactly below.
+            d2 = (Q * Q).sum(1)[:, None] + cn[None, :] - 2.0 * (Q @ C.T)
+            np.maximum(d2, 0.0, out=d2)
+            if exclude_self:
+                d2[qid[:, None] == cid[None, :]] = np.inf
+            kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1] if kk < nc else d2.max(axis=1)
+            fin = np.isfinite(kth)
+            tol = 1e-6 * np.maximum(1.0, np.abs(np.where(fin, kth, 0.0)))
+            lim = np.where(fin, kth + tol, np.inf)
+            rows, cols = np.nonzero((d2 <= lim[:, None]) & np.isfinite(d2))
+            if rows.size == 0:
                 continue
-            diff = C[cand] - Q[i]
+            diff = C[cols] - Q[rows]
             exact = (diff * diff).sum(1)
             if not squared:
                 exact = np.sqrt(exact)
-            order = np.lexsort((cid[cand], np.round(exact, 9)))[:kk]
-            rows_q.append(np.full(order.size, qid[i], dtype=np.int64))
-            rows_c.append(cid[cand][order])
-            rows_d.append(exact[order])
-        if not rows_q:
-            return pd.DataFrame({c: [] for c in out_cols}).astype({"query_id": "int64", "doc_id": "int64", "distance": "float64"})
-        return pd.DataFrame({"query_id": np.concatenate(rows_q), "doc_id": np.concatenate(rows_c),
-                             "distance": np.concatenate(rows_d)})
+            order = np.lexsort((cid[cols], np.round(exact, 9), rows))
+            rows, cols, exact = rows[order], cols[order], exact[order]
+            first = np.r_[0, np.flatnonzero(np.diff(rows)) + 1]
+            pos = np.arange(rows.size) - np.repeat(first, np.diff(np.r_[first, rows.size]))
+            keep = pos < kk
+            outs_q.append(qid[rows[keep]])
+            outs_c.append(cid[cols[keep]])
+            outs_d.append(exact[keep])
+        if not outs_q:
+            return empty
+        return pd.DataFrame({"query_id": np.concatenate(outs_q), "doc_id": np.concatenate(outs_c),
+                             "distance": np.concatenate(outs_d)})
 
     return fn
 

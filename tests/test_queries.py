@@ -92,3 +92,8 @@ def test_scan_prunes_columns(spark, sf):
     p = _plan(df)
     assert "PushedFilters: [IsNotNull(p_partkey), LessThan(p_partkey,10)]" in p
     assert "ReadSchema: struct<p_partkey:" in p
+
+
+def test_metric_invariants(spark, sf):
+    row = E.queries()["e_invariants"](spark, sf).first()
+    assert all(row.asDict().values()), row
