@@ -98,12 +98,16 @@ def retrieve(products: DataFrame, catalog: DataFrame, cfg: ClassifyConfig = Clas
 def score_candidates(cands: DataFrame, products: DataFrame, cfg: ClassifyConfig = ClassifyConfig(),
                      desc_col: str = "description") -> DataFrame:
     """Steps 4-6 on fused candidates: routing evidence, pair score, cut, merge, boost, blend."""
-    p = products.select(F.col("product_id").alias("query_id"), F.col(desc_col).alias("description"))
+    # Per-product values are computed once per product, before the join fans them out to candidates.
+    per_product = [F.array_distinct(clean_token_list("description")).alias("_q_tokens")]
+    if cfg.use_features:
+        per_product.append(feature_vector("description").alias("_q_features"))
+    p = products.select(F.col("product_id").alias("query_id"), F.col(desc_col).alias("description")) \
+                .select("query_id", "description", *per_product)
     x = cands.join(p, "query_id")
     if cfg.use_hierarchy:
         x = hierarchy.evidence_segments(x, cfg.route_top)
-    q_tokens = F.array_distinct(clean_token_list("description"))
-    x = x.withColumn("cross_score", rank.token_cosine(q_tokens, F.col("doc_tokens")))
+    x = x.withColumn("cross_score", rank.token_cosine(F.col("_q_tokens"), F.col("doc_tokens")))
     x = rank.rerank(x, cfg.rerank_k)
     x = rank.merge(x, cfg.alpha, cfg.beta)
     if cfg.use_hierarchy:
@@ -112,12 +116,13 @@ def score_candidates(cands: DataFrame, products: DataFrame, cfg: ClassifyConfig
         x = x.withColumn("in_hierarchy", F.lit(False)).withColumn("hierarchy_boost", F.lit(1.0)) \
              .withColumn("boosted_score", F.col("final_score"))
     if cfg.use_features:
-        sim = feature_similarity(feature_vector("description"), F.col("cat_features"))
+        sim = feature_similarity(F.col("_q_features"), F.col("cat_features"))
         x = x.withColumn("feature_sim", sim).withColumn(
             "final_boosted_score",
             F.lit(1.0 - cfg.feature_weight) * F.col("boosted_score") + F.lit(cfg.feature_weight) * F.col("feature_sim"))
     else:
         x = x.withColumn("feature_sim", F.lit(None).cast("double")).withColumn("final_boosted_score", F.col("boosted_score"))
+    x = x.drop("_q_tokens", "_q_features")
     return x
 
 
