@@ -71,15 +71,14 @@ def build_index(
     persist: bool = True,
 ) -> LexicalIndex:
     """Postings, document frequency, floored idf and per-posting BM25 weights."""
-    stats = docs.select(F.size(tokenizer(F.col(text_col))).alias("dl")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("dl").alias("total")
-    ).first()
-    n_docs = int(stats["n"])
-    avgdl = float(stats["total"] or 0) / n_docs if n_docs else 0.0
-
     post = postings(docs, id_col, text_col, tokenizer)
     if persist:
         post = post.persist()
+    # N counts every document (also those without tokens); the token total is the sum of tf
+    # over postings, so the texts are tokenised once, not once more for the statistics.
+    n_docs = docs.count()
+    total = post.agg(F.sum("tf")).first()[0]
+    avgdl = float(total or 0) / n_docs if n_docs else 0.0
     raw_idf = F.log(F.lit(n_docs) - F.col("df") + F.lit(0.5)) - F.log(F.col("df") + F.lit(0.5))
     dfs = post.groupBy("token").agg(F.count(F.lit(1)).alias("df")).withColumn("raw_idf", raw_idf)
     if persist:
