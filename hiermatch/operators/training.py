@@ -60,15 +60,21 @@ def dense_positions(df: DataFrame, group_col: str, order_cols: list, partitions:
 
 
 def cyclic_sample(queries: DataFrame, pool: DataFrame, group_col: str, n: int, seed: str = SEED,
-                  slack: int | None = None) -> DataFrame:
+                  slack: int | None = None, single_group: bool = False) -> DataFrame:
     """Up to ``n`` pool rows per query from the query's group, skipping the query's own name.
 
     ``queries``: (query_id, <group_col>, truth_key); ``pool``: (<group_col>, pos, group_size,
     name_key, ...payload).  Returns the query columns plus the pool payload and ``pick`` (1..n).
     """
     slack = n if slack is None else slack
-    q = queries.join(pool.select(group_col, "group_size").distinct(), group_col).withColumn(
-        "offset", md5_offset(seed, "query_id", F.col("group_size")))
+    sizes = pool.select(group_col, "group_size").distinct()
+    if single_group:
+        # One group (the whole pool): the size table has exactly one row, so attach it by
+        # broadcast; a constant join key would otherwise let the planner pick either side.
+        q = queries.drop(group_col).crossJoin(F.broadcast(sizes))
+    else:
+        q = queries.join(sizes, group_col)
+    q = q.withColumn("offset", md5_offset(seed, "query_id", F.col("group_size")))
     # Truth-named rows of the group: the quota is min(n, rows that may be drawn).
     truth_cnt = pool.groupBy(group_col, F.col("name_key").alias("truth_key")).agg(F.count(F.lit(1)).alias("_tc"))
     q = q.join(truth_cnt, [group_col, "truth_key"], "left").withColumn(
@@ -109,14 +115,19 @@ def first_row_levels(catalog: DataFrame) -> DataFrame:
     ).select("truth_key", F.col("lv.segment_name").alias("true_segment"), F.col("lv.family_name").alias("true_family"))
 
 
-def _pool(catalog: DataFrame, group_col: str, seed: str) -> DataFrame:
+def _pool(catalog: DataFrame, group_col: str, seed: str, single_group: bool = False) -> DataFrame:
     c = catalog.select(
         F.col(group_col).alias("grp"), "commodity_code", F.lower("commodity_name").alias("name_key"),
         F.col("corpus").alias("neg_corpus"), md5_order(seed, "commodity_code").alias("_h"))
     c = c.filter(F.col("grp").isNotNull())
     pos = dense_positions(c, "grp", ["_h", "commodity_code"])
     sizes = c.groupBy("grp").agg(F.count(F.lit(1)).alias("group_size"))
-    return pos.join(sizes, "grp").drop("_h").persist()
+    if single_group:
+        # Exactly one row: broadcast it (see cyclic_sample).
+        joined = pos.crossJoin(F.broadcast(sizes.drop("grp")))
+    else:
+        joined = pos.join(sizes, "grp")
+    return joined.drop("_h").persist()
 
 
 def _queries(queries: DataFrame, catalog: DataFrame, qtext: str, qlabel: str) -> DataFrame:
@@ -162,10 +173,11 @@ def labelled_pairs(queries: DataFrame, catalog: DataFrame, n: int = 5, seed: str
                    qtext: str = "search_query", qlabel: str = "commodity_name") -> DataFrame:
     """One positive and up to ``n`` random negatives (lower name != truth) per query."""
     q = _queries(queries, catalog, qtext, qlabel).withColumn("grp", F.lit("*"))
-    pool = _pool(catalog.withColumn("_all", F.lit("*")), "_all", seed)
+    pool = _pool(catalog.withColumn("_all", F.lit("*")), "_all", seed, single_group=True)
     pos = q.select("query_id", clean("query_text").alias("query"), F.col("positive").alias("document"),
                    F.lit(1).alias("label"), F.col("truth_key").alias("commodity"), F.lit(0).alias("pick"))
-    neg = cyclic_sample(q.select("query_id", "grp", "truth_key", "query_text"), pool, "grp", n, seed).select(
+    neg = cyclic_sample(q.select("query_id", "grp", "truth_key", "query_text"), pool, "grp", n, seed,
+                        single_group=True).select(
         "query_id", clean("query_text").alias("query"), F.col("neg_corpus").alias("document"),
         F.lit(0).alias("label"), F.col("name_key").alias("commodity"), "pick")
     return pos.unionByName(neg)
