@@ -175,7 +175,8 @@ def metrics_row(products: DataFrame, predictions: DataFrame, catalog: DataFrame,
         aggs.append(F.sum(f"insufficient_{k}").alias(f"insufficient_at_{k}"))
     m = pp.agg(n.alias("_n"), *aggs)
     # Both sides are single-row aggregates; attach them by a constant key.
-    row = counts.withColumn("_k", F.lit(1)).join(m.withColumn("_k", F.lit(1)), "_k").drop("_k", "_n")
+    # Both sides are global aggregates (exactly one row each).
+    row = counts.crossJoin(F.broadcast(m)).drop("_n")
     return row.select(
         F.coalesce("total_evaluated", F.lit(0)).cast("long").alias("total_evaluated"),
         F.coalesce("skipped", F.lit(0)).cast("long").alias("skipped"),
