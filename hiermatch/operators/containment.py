@@ -6,7 +6,7 @@ that document.  So: pick each passage's rarest interior token, equi-join it
 with the document token index, and verify ``contains`` on the survivors.
 Passages too short to own an interior token are verified against every
 document through a broadcast of those passages only, after checking their
-total size.
+total size; beyond the bound they go in hash chunks that each fit it.
 """
 
 from __future__ import annotations
@@ -24,7 +24,8 @@ def raw_tokens(c) -> Column:
 
 
 def contains_join(passages: DataFrame, docs: DataFrame, pid: str = "item_id", ptext: str = "text",
-                  did: str = "doc_id", dtext: str = "text") -> DataFrame:
+                  did: str = "doc_id", dtext: str = "text",
+                  max_broadcast_bytes: int = MAX_SHORT_PASSAGE_BYTES) -> DataFrame:
     """All (passage id, doc id) with ``contains(doc text, passage text)``."""
     p = passages.select(F.col(pid).alias("pid"), F.col(ptext).alias("ptext")).filter(F.col("ptext").isNotNull())
     d = docs.select(F.col(did).alias("did"), F.col(dtext).alias("dtext")).filter(F.col("dtext").isNotNull())
@@ -49,13 +50,17 @@ def contains_join(passages: DataFrame, docs: DataFrame, pid: str = "item_id", pt
     # passages without interior tokens fall back to a checked-size broadcast scan.
     short = p.join(pt.select("pid").distinct(), "pid", "left_anti")
     size = short.agg(F.coalesce(F.sum(F.length("ptext") + 16), F.lit(0))).first()[0]
-    if size > MAX_SHORT_PASSAGE_BYTES:
-        raise ValueError(f"{size} bytes of short passages exceed the broadcast bound")
-    via_scan = (
-        d.join(F.broadcast(short), F.col("dtext").contains(F.col("ptext")))
-        .select("pid", "did")
-    )
-    return via_token.unionByName(via_scan).select(F.col("pid").alias(pid), F.col("did").alias(did))
+    # Beyond the bound the short passages are hashed into chunks that each fit it; every chunk
+    # is one broadcast scan of the documents, so no broadcast ever exceeds the checked size.
+    chunks = max(1, -(-int(size) // max_broadcast_bytes))
+    parts = []
+    for i in range(chunks):
+        piece = short if chunks == 1 else short.filter(F.pmod(F.xxhash64("pid"), F.lit(chunks)) == i)
+        parts.append(d.join(F.broadcast(piece), F.col("dtext").contains(F.col("ptext"))).select("pid", "did"))
+    out = via_token
+    for part in parts:
+        out = out.unionByName(part)
+    return out.select(F.col("pid").alias(pid), F.col("did").alias(did))
 
 
 def first_containing(passages: DataFrame, docs: DataFrame, pid: str = "item_id", ptext: str = "text",
