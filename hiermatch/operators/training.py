@@ -90,7 +90,8 @@ def cyclic_sample(queries: DataFrame, pool: DataFrame, group_col: str, n: int, s
         win = pending.withColumn("j", F.explode(F.sequence(F.lit(0), F.least(F.lit(width), F.col("group_size")) - 1))) \
                      .withColumn("pos", F.pmod(F.col("offset") + F.col("j"), F.col("group_size")))
         hits = win.join(payload, [group_col, "pos"]).filter(~F.col("name_key").eqNullSafe(F.col("truth_key")))
-        picked = hits.withColumn("pick", F.row_number().over(w1)).filter(F.col("pick") <= F.col("quota"))
+        # Read by the emptiness check and by the result: keep it (deterministic if recomputed).
+        picked = hits.withColumn("pick", F.row_number().over(w1)).filter(F.col("pick") <= F.col("quota")).persist()
         got = picked.groupBy("query_id").agg(F.count(F.lit(1)).alias("_got"))
         short = pending.join(got, "query_id", "left").filter(
             (F.coalesce("_got", F.lit(0)) < F.col("quota")) & (F.col("group_size") > F.lit(width))).drop("_got")
