@@ -1,7 +1,7 @@
 """Exact deduplication by content sort, DataFrame functions only.
 
-Sampled splitters range-partition the whole texts, an external sort places equal texts next to each
-other, and a window that closes wherever two neighbours' full texts differ keeps one row of each run.
+Sampled splitters range-partition the texts, an external sort places equal texts next to each other, and a
+window that closes wherever two neighbours' full texts differ keeps one row of each run.
 """
 
 from __future__ import annotations
@@ -9,10 +9,55 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_text, save
+from .common import save
 
 #: A text is hot if its copies are over 1/HOT_SHARE of all rows, so at most HOT_SHARE texts are hot.
 HOT_SHARE = 256
+#: Characters of a text in the sort key; a digest and then the whole text follow.  The splitters sampled to
+#: the driver are this short however long the texts are.
+LEAD = 64
+
+
+def _order(col: str, keep: str) -> Column:
+    if keep not in ("min", "max"):
+        raise ValueError(f"keep must be 'min' or 'max', not {keep!r}")
+    return F.col(col).asc_nulls_last() if keep == "min" else F.col(col).desc_nulls_last()
+
+
+def _runs(rows: DataFrame, keep: str, salts: int) -> DataFrame:
+    """``rows`` (doc_id, text, ...) with digest, hot, salt, and per run of equal (text, salt) the place of the
+    row (nth), the first id (head) and the number of rows (size)."""
+    rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
+    total = rows.count()
+    hot = [bytes(r.digest) for r in rows.groupBy("digest").count()
+           .where((F.col("count") > 1) & (F.col("count") * HOT_SHARE > total)).select("digest").collect()]
+    rows = rows.withColumn("hot", F.col("digest").isin(hot) if hot else F.lit(False))
+    rows = rows.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")).otherwise(0))
+    rows = rows.withColumn("lead", F.substring("text", 1, LEAD))
+    key = ["lead", "digest", "text", "salt"]
+    by_range = rows.repartitionByRange("lead", "digest", "salt").sortWithinPartitions(*key, _order("doc_id", keep))
+    run = Window.partitionBy(*key)  # the range partitioning already holds each run together: no exchange
+    return (
+        by_range.withColumn("nth", F.row_number().over(run.orderBy(_order("doc_id", keep))))
+        .withColumn("head", F.first("doc_id").over(run.orderBy(_order("doc_id", keep))))
+        .withColumn("size", F.count(F.lit(1)).over(run))
+        .drop("lead")
+    )
+
+
+def _heads(runs: DataFrame, keep: str) -> DataFrame:
+    """First rows of the runs of hot texts, at most HOT_SHARE x salts of them, with the first id and the rows
+    of their whole group; wins marks the run whose first row is the group's."""
+    group = Window.partitionBy("text")
+    nth = F.row_number().over(group.orderBy(_order("head", keep), "salt"))
+    return runs.where("hot and nth = 1").select(
+        "digest", "salt", "head", F.first("head").over(group.orderBy(_order("head", keep), "salt")).alias("group_head"),
+        F.sum("size").over(group).alias("group_size"), (nth == 1).alias("wins"))
+
+
+def _same_run() -> Column:
+    return ((F.col("r.digest") == F.col("h.digest")) & (F.col("r.salt") == F.col("h.salt"))
+            & F.col("r.head").eqNullSafe(F.col("h.head")))
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min",
@@ -30,48 +75,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Only the first row of each such run (at most HOT_SHARE x salts rows) meets the others again, compared
     by its full text.
     """
-    if keep not in ("min", "max"):
-        raise ValueError(f"keep must be 'min' or 'max', not {keep!r}")
-    base = id_text(docs, id_col, text_col)
-    if normalise is not None:
-        base = base.withColumn("text", F.coalesce(normalise(F.col("text")), F.lit("")))
-    base = base.withColumn("digest", F.unhex(F.sha2("text", 256)))
-
-    def order(c: str) -> Column:
-        return F.col(c).asc_nulls_last() if keep == "min" else F.col(c).desc_nulls_last()
-
-    total = base.count()
-    hot = [bytes(r.digest) for r in base.groupBy("digest").count()
-           .where((F.col("count") > 1) & (F.col("count") * HOT_SHARE > total)).select("digest").collect()]
-    base = base.withColumn("hot", F.col("digest").isin(hot) if hot else F.lit(False))
-    base = base.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")).otherwise(0))
-
-    run = Window.partitionBy("text", "salt")
-    nth = F.row_number().over(run.orderBy(order("doc_id")))
-    runs = (
-        base.repartitionByRange("text", "salt")
-        .sortWithinPartitions("text", "salt", order("doc_id"))
-        .withColumn("nth", nth)
-        .withColumn("head", F.first("doc_id").over(run.orderBy(order("doc_id"))))
-        .withColumn("size", F.count(F.lit(1)).over(run))
-        .withColumn("text", F.when(F.col("hot") & (F.col("nth") == 1), F.col("text")))
-    )
+    text = F.col(text_col) if normalise is None else normalise(F.col(text_col))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
+    runs = _runs(rows, keep, salts).withColumn("text", F.when(F.col("hot") & (F.col("nth") == 1), F.col("text")))
     runs = save(runs, "exact-runs")
-
-    group = Window.partitionBy("text")
-    heads = (
-        runs.where("hot and nth = 1")
-        .select(
-            "digest", "salt", "head",
-            F.first("head").over(group.orderBy(order("head"), "salt")).alias("group_head"),
-            F.sum("size").over(group).alias("group_size"),
-            (F.row_number().over(group.orderBy(order("head"), "salt")) == 1).alias("wins"),
-        )
-    )
-    out = runs.drop("text").alias("r").join(
-        F.broadcast(heads.alias("h")),
-        F.col("r.hot") & (F.col("r.digest") == F.col("h.digest")) & (F.col("r.salt") == F.col("h.salt"))
-        & F.col("r.head").eqNullSafe(F.col("h.head")), "left")
+    out = runs.drop("text").alias("r").join(F.broadcast(_heads(runs, keep).alias("h")), F.col("r.hot") & _same_run(), "left")
     return out.select(
         F.col("r.doc_id").alias("doc_id"),
         F.when(F.col("r.hot"), F.col("h.group_head")).otherwise(F.col("r.head")).alias("keep_id"),
@@ -79,3 +87,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         ((F.col("r.nth") == 1) & F.coalesce(F.col("h.wins"), F.lit(True))).alias("kept"),
         F.lower(F.hex(F.col("r.digest"))).alias("text_sha256"),
     )
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", salts: int = 64) -> DataFrame:
+    """The rows of ``docs`` that :func:`exact_dedup` keeps, with all their columns; the rows travel with
+    their text through the one range exchange, so no join brings them back."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+                       F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.col(text_col).isNull().alias("null of " + text_col)).alias("rest"))
+    first = save(_runs(rows, keep, salts).where("nth = 1"), "exact-first")
+    lost = _heads(first, keep).where("not wins")
+    out = first.alias("r").join(F.broadcast(lost.alias("h")), F.col("r.hot") & _same_run(), "left_anti")
+    return out.select(*[F.when(~F.col("r.rest")["null of " + text_col], F.col("r.text")).alias(c) if c == text_col
+                        else F.col("r.rest")[c].alias(c) for c in docs.columns])

@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .common import table
+from .contamination import contamination
 from .exact import exact_dedup
+from .lines import line_dedup
+from .packing import pack
+from .pii import pii
+from .quality import quality
+from .secrets import joined, secrets
 from .simhash import simhash_dedup
+from .substring import substring_dedup
+from .warc import round_trip
 
 QUERIES, ORACLES = {}, {}
 
@@ -23,9 +33,87 @@ def op1(spark, sf_dir):
     return simhash_dedup(table(spark, sf_dir, "documents"), shingle=3, distance=3)
 
 
+_WORDS = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+
+
+@query("op2_contamination", f"""
+WITH b AS (SELECT DISTINCT item_id, text, {_WORDS.format('text')} AS w FROM benchmark),
+i AS (SELECT DISTINCT item_id, text, least(5, len(w)) AS k, array_to_string(w[p:p + least(5, len(w)) - 1], ' ') AS g
+      FROM (SELECT *, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS p FROM b WHERE len(w) > 0)),
+d AS (SELECT doc_id, {_WORDS.format('text')} AS w FROM documents),
+s AS (SELECT doc_id, k, array_to_string(w[p:p + k - 1], ' ') AS g
+      FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS p FROM d, (SELECT DISTINCT k FROM i))),
+n AS (SELECT item_id, text, count(*) AS n_shingles FROM i GROUP BY ALL),
+f AS (SELECT doc_id, item_id, text, count(DISTINCT g) AS n_found FROM s JOIN i USING (k, g) GROUP BY ALL)
+SELECT doc_id, item_id, n_shingles, n_found, n_found / n_shingles AS containment
+FROM f JOIN n USING (item_id, text) WHERE n_found >= ceil(0.8 * n_shingles - 1e-9)""")
+def op2(spark, sf_dir):
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), n=5, threshold=0.8)
+
+
 @query("op3_exact", """
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""")
 def op3(spark, sf_dir):
     return exact_dedup(table(spark, sf_dir, "documents"), keep="max")
+
+
+@query("op4_warc", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS x FROM pages),
+q AS (SELECT page_id, strlen(html) AS payload_bytes, x, min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+SELECT page_id, payload_bytes, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST((CAST('0x' || substr(x, 1 + 5 * (i // 4), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS INT)) & 31 AS INT), 1)), '') AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM q""")
+def op4(spark, sf_dir):
+    return round_trip(spark, table(spark, sf_dir, "pages"), min_revisit_bytes=0)
+
+
+@query("op5_substring", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, p, sha256(array_to_string(w[p:p + 12], ' ')) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d)),
+m AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY g) AS first_id FROM s) WHERE first_id < doc_id),
+x AS (SELECT doc_id, list_distinct(flatten(list(range(p, p + 13)))) AS gone FROM m GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+       sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT coalesce(list_contains(gone, i), false)), lambda i: w[i]), ' '), '')) AS kept_sha256
+FROM d LEFT JOIN x USING (doc_id)""")
+def op5(spark, sf_dir):
+    return substring_dedup(table(spark, sf_dir, "documents"), window=13)
+
+
+@query("op6_pii")
+def op6(spark, sf_dir):
+    out = pii(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+                      joined(F.col("found")).alias("spans"))
+
+
+@query("op7_secrets")
+def op7(spark, sf_dir):
+    out = secrets(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+                      joined(F.col("found")).alias("spans"), "n_random")
+
+
+@query("op8_packing")
+def op8(spark, sf_dir):
+    return pack(table(spark, sf_dir, "documents"))
+
+
+@query("op9_quality")
+def op9(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.7)
+
+
+@query("op10_lines", """
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents),
+s AS (SELECT doc_id, p, array_to_string(w[p:p + 2], chr(10)) AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS p FROM d)),
+m AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY g ORDER BY doc_id, p) AS nth FROM s) WHERE nth > 1),
+x AS (SELECT doc_id, list_distinct(flatten(list(range(p, p + 3)))) AS gone FROM m GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(w), 0) AS n_lines, coalesce(len(gone), 0) AS n_removed,
+       sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT coalesce(list_contains(gone, i), false)), lambda i: w[i]), chr(10)), '')) AS kept_sha256
+FROM d LEFT JOIN x USING (doc_id)""")
+def op10(spark, sf_dir):
+    return line_dedup(table(spark, sf_dir, "documents"), min_lines=3)

@@ -46,7 +46,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
 
 
 def links(fps: DataFrame, distance: int = 3, col: str = "fp") -> DataFrame:
-    """(a, b): every pair of different fingerprints at ``distance`` bits or fewer, a < b or b < a once.
+    """(a, b): every pair of different fingerprints at ``distance`` bits or fewer, once, a < b.
 
     The 64 bits are cut into as few segments as leave, at that distance, one that differs by at most one
     bit.  Each fingerprint is indexed under its segments and their one-wildcard variants.  Two equal
@@ -56,7 +56,10 @@ def links(fps: DataFrame, distance: int = 3, col: str = "fp") -> DataFrame:
     n_seg = (distance + 2) // 2  # distance <= 2 * n_seg - 1: one segment has at most one differing bit
     cuts = [64 * i // n_seg for i in range(n_seg + 1)]
     widths = [hi - lo for lo, hi in zip(cuts, cuts[1:])]
-    variants = fps.select(F.col(col).alias("fp")).where("fp is not null").distinct()
+    # Rows are few and short here and 66 times as many below, so their number of partitions is set by hand,
+    # and the join must not trust the planner's size, which does not see that growth.
+    parts = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    variants = fps.select(F.col(col).alias("fp")).where("fp is not null").repartition(parts, "fp").distinct()
     variants = variants.withColumn("seg", F.explode(F.array(*[
         F.struct(F.lit(i).alias("i"), F.lit(w).alias("w"),
                  F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << w) - 1 if w < 64 else -1)).alias("bits"))
@@ -70,10 +73,10 @@ def links(fps: DataFrame, distance: int = 3, col: str = "fp") -> DataFrame:
     left = variants.where("side != 1").select("slot", "key", F.col("fp").alias("a"), "side")
     right = variants.where("side != 0").select("slot", "key", F.col("fp").alias("b"))
     return (
-        left.join(right, ["slot", "key"])
+        left.join(right.hint("merge"), ["slot", "key"])
         .where((F.col("side") == 0) | (F.col("a") < F.col("b")))
         .where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
-        .select("a", "b").distinct()
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
 
 
@@ -93,6 +96,14 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col:
     rooted = nodes.join(comp.withColumnRenamed("node", "fp"), "fp")
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     linked = rooted.select("fp", "root").join(smallest, "root").select("fp", "component_id")
-    of = nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id"))
+    of = save(nodes.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "first_id").alias("component_id")), "simhash-classes")
     return prints.join(of, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_apart(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest id of their component, with all their columns; rows with a
+    null id stay."""
+    found = simhash_dedup(docs, shingle, distance, id_col, text_col)
+    gone = save(found.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "simhash-gone")
+    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
