@@ -1,14 +1,17 @@
 """Built-in text embedder (R4 default): hashed bag of tokens, L2-normalised.
 
-Runs as Column expressions (codegen), so the embedding job of a whole
-catalog is a projection.  A learned model plugs in through
-:func:`hiermatch.operators.vectors.embed_with` (``mapInPandas``) instead.
+Tokens and their buckets are Column expressions; the counts of a whole Arrow batch are one vectorised bin
+count.  A learned model plugs in through :func:`hiermatch.operators.vectors.embed_with` (``mapInPandas``)
+instead.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType
 
 DIM = 64
 
@@ -25,21 +28,23 @@ def bucket(t: Column, dim: int) -> Column:
 
 def hash_counts(c, dim: int = DIM, tokenizer=embed_tokens) -> Column:
     """Raw bucket counts as array<double> of length ``dim``."""
-    # One pass over the tokens: fold each bucket id into a dim-wide count array.  (A
-    # per-bucket filter over the token array would re-evaluate the array dim times.)
-    b = F.transform(tokenizer(c), lambda t: bucket(t, dim))
-    zero = F.array_repeat(F.lit(0.0), dim)
-    return F.aggregate(b, zero, lambda acc, x: F.transform(acc, lambda v, i: F.when(i == x, v + 1.0).otherwise(v)))
+    return _counter(dim)(F.transform(tokenizer(c), lambda t: bucket(t, dim)))
 
 
-def l2_normalize(v: Column) -> Column:
-    """Divide by the L2 norm; the norm is the finish step of one fold, so ``v`` is read twice, not dim times."""
-    return F.aggregate(
-        v, F.lit(0.0), lambda acc, x: acc + x * x,
-        lambda ss: F.transform(v, lambda x: F.when(ss > 0, x / F.sqrt(ss)).otherwise(F.lit(0.0))),
-    )
+def _counter(dim: int, unit: bool = False):
+    @F.pandas_udf(ArrayType(DoubleType()))
+    def counts(buckets: pd.Series) -> pd.Series:
+        size = buckets.str.len().to_numpy(np.int64) if len(buckets) else np.zeros(0, np.int64)
+        flat = np.concatenate([*buckets, np.zeros(0, np.int64)]).astype(np.int64)
+        row = np.repeat(np.arange(len(buckets)), size)
+        v = np.bincount(row * dim + flat, minlength=len(buckets) * dim).reshape(-1, dim).astype(np.float64)
+        if unit:
+            v /= np.maximum(np.sqrt((v * v).sum(axis=1, keepdims=True)), 1e-300)
+        return pd.Series(list(v))
+
+    return counts
 
 
 def hash_embed(c, dim: int = DIM, tokenizer=embed_tokens) -> Column:
     """Unit-length hashed bag-of-tokens vector (all zeros for text without tokens)."""
-    return l2_normalize(hash_counts(c, dim, tokenizer))
+    return _counter(dim, unit=True)(F.transform(tokenizer(c), lambda t: bucket(t, dim)))

@@ -42,6 +42,9 @@ TOKEN_MAP = (
 )
 # ---------------------------------------------------------------------------
 
+# What Python's str.isspace and the regex \\s of its str patterns take for blank; Java's \\s is ASCII only.
+SPACE = r"[\s\x0b\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
 # Word characters of Python's str regex: letters, digits (incl. other numerics), underscore.
 _NON_WORD = r"[^\p{L}\p{N}_]+"
 
@@ -56,9 +59,14 @@ def corpus(segment, family, klass, commodity) -> Column:
     return F.lower(F.concat(_col(segment), sp, _col(family), sp, _col(klass), sp, _col(commodity)))
 
 
+def strip(c) -> Column:
+    """Without blanks of any kind at either end."""
+    return F.regexp_replace(_col(c), f"^{SPACE}+|{SPACE}+$", "")
+
+
 def join_key(c) -> Column:
     """Strip + lower (Python strip removes all edge whitespace, not only blanks)."""
-    return F.lower(F.regexp_replace(_col(c), r"^\s+|\s+$", ""))
+    return F.lower(strip(c))
 
 
 def clean(c, mapping=ABBREVIATIONS, drop_runs: int | None = None, drop_runs_mixed_case: bool = False) -> Column:
@@ -85,7 +93,7 @@ def clean_tokens(c, mapping=TOKEN_MAP) -> Column:
 
     Keeps ``_`` and non-ASCII letters (``[^\\w\\s]`` of Python's Unicode regex).
     """
-    toks = F.filter(F.split(F.lower(F.coalesce(_col(c), F.lit(""))), r"\s+"), lambda t: t != "")
+    toks = F.filter(F.split(F.lower(F.coalesce(_col(c), F.lit(""))), f"{SPACE}+"), lambda t: t != "")
     m = F.create_map(*[F.lit(v) for kv in mapping for v in kv])
     mapped = F.transform(toks, lambda t: F.coalesce(F.element_at(m, t), t))
     x = F.array_join(mapped, " ")
@@ -117,7 +125,7 @@ def name_key(c) -> Column:
 
 def tokens(c) -> Column:
     """Whitespace tokenisation without empty tokens."""
-    return F.filter(F.split(F.coalesce(_col(c), F.lit("")), r"\s+"), lambda t: t != "")
+    return F.filter(F.split(F.coalesce(_col(c), F.lit("")), f"{SPACE}+"), lambda t: t != "")
 
 
 def clean_token_list(c, mapping=ABBREVIATIONS) -> Column:

@@ -17,15 +17,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.embed import DIM, hash_embed
 from ..functions.features import feature_similarity, feature_vector
 from ..functions.text import clean, clean_token_list, corpus
 from . import hierarchy, lexical, rank, vectors
+from .position import row_position
 
 
+# The defaults that the results are compared at.
 @dataclass(frozen=True)
 class ClassifyConfig:
     top_k: int = 10
@@ -52,7 +54,7 @@ def with_corpus(catalog: DataFrame) -> DataFrame:
 def catalog_features(catalog: DataFrame, pos_col: str | None = None) -> DataFrame:
     """feature vector of the corpus per commodity name, last row wins."""
     c = with_corpus(catalog)
-    pos = F.col(pos_col) if pos_col else F.col("commodity_code")
+    pos = row_position(c, pos_col)
     return c.groupBy("commodity_name").agg(F.max_by(feature_vector("corpus"), pos).alias("cat_features"))
 
 
@@ -75,26 +77,42 @@ def enriched_catalog(catalog: DataFrame, cfg: ClassifyConfig = ClassifyConfig())
 
 
 def retrieve(products: DataFrame, catalog: DataFrame, cfg: ClassifyConfig = ClassifyConfig(),
-             index: lexical.LexicalIndex | None = None, catalog_vectors: DataFrame | None = None,
+             index: lexical.LexicalIndex | None = None, catalog_vectors: vectors.VectorIndex | None = None,
              enriched: DataFrame | None = None, desc_col: str = "description") -> DataFrame:
     """R10 + R11: fused candidates per product with their catalog row attached."""
     c = with_corpus(catalog)
     q = products.select(F.col("product_id").alias("query_id"), F.col(desc_col).alias("description"))
     if index is None:
-        index = lexical.build_index(c, "commodity_code", "corpus")
+        index = lexical.store_index(lexical.build_index(c, "commodity_code", "corpus"))
     lex = lexical.bm25_topk(q, "query_id", "description", index, cfg.retrieve_k).select(
         "query_id", "doc_id", F.col("score").alias("lex_score"), F.col("rank").alias("lex_rank"))
     qv = q.select("query_id", hash_embed(clean("description"), cfg.embed_dim).alias("embedding"))
     if catalog_vectors is None:
-        catalog_vectors = c.select(F.col("commodity_code").alias("doc_id"),
-                                   hash_embed("corpus", cfg.embed_dim).alias("embedding"))
-    sem = vectors.knn(qv, catalog_vectors, cfg.retrieve_k, qid="query_id", cid="doc_id").select(
+        catalog_vectors = vectors.cluster(c.select(F.col("commodity_code").alias("doc_id"),
+                                                   hash_embed("corpus", cfg.embed_dim).alias("embedding")))
+    sem = vectors.knn(qv, None, cfg.retrieve_k, index=catalog_vectors).select(
         "query_id", "doc_id", vectors.similarity(F.col("distance")).alias("sem_score"), F.col("rank").alias("sem_rank"))
     if enriched is None:
         enriched = enriched_catalog(c, cfg)
     return rank.fuse(sem, lex, enriched, key=cfg.key)
 
 
+def prebuild(catalog: DataFrame, path: str, cfg: ClassifyConfig = ClassifyConfig()) -> dict:
+    """Write the BM25 index, the clustered catalog vectors and the enriched catalog under ``path``, once per
+    catalog; the result (or :func:`prebuilt`) goes to :func:`classify_batch` as keywords."""
+    c = with_corpus(catalog)
+    lexical.store_index(lexical.build_index(c, "commodity_code", "corpus"), f"{path}/lexical")
+    vectors.cluster(c.select(F.col("commodity_code").alias("doc_id"), hash_embed("corpus", cfg.embed_dim).alias("embedding")), path=f"{path}/vectors")
+    enriched_catalog(c, cfg).write.parquet(f"{path}/enriched")
+    return prebuilt(catalog.sparkSession, path)
+
+
+def prebuilt(spark: SparkSession, path: str) -> dict:
+    """The tables that :func:`prebuild` wrote."""
+    return {"index": lexical.read_index(spark, f"{path}/lexical"), "catalog_vectors": vectors.read_vectors(spark, f"{path}/vectors"),
+            "enriched": spark.read.parquet(f"{path}/enriched")}
+
+
 def score_candidates(cands: DataFrame, products: DataFrame, cfg: ClassifyConfig = ClassifyConfig(),
                      desc_col: str = "description") -> DataFrame:
     """Steps 4-6 on fused candidates: routing evidence, pair score, cut, merge, boost, blend."""

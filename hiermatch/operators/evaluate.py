@@ -11,26 +11,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import name_key
+from ..functions.text import join_key, name_key
+from .position import row_position
 
+# The cut-offs and the confidence that the results are compared at.
 KS = (1, 5, 10)
 THRESHOLD = 0.3
 LEVELS = (("segment", "segment_name"), ("family", "family_name"), ("class", "class_name"))
 
 
-def _pos(catalog: DataFrame, pos_col: str | None):
-    """Row position stand-in for first/last-wins lookups (explicit column or a full-row tiebreak)."""
-    if pos_col:
-        return F.col(pos_col)
-    return F.struct(*[F.col(c) for c in catalog.columns])
-
-
 def code_hierarchy(catalog: DataFrame, pos_col: str | None = None) -> DataFrame:
     """Code -> (segment, family, class, name), last row wins."""
     h = F.struct("segment_name", "family_name", "class_name", "commodity_name")
     return (
         catalog.groupBy("commodity_code")
-        .agg(F.max_by(h, _pos(catalog, pos_col)).alias("h"))
+        .agg(F.max_by(h, row_position(catalog, pos_col)).alias("h"))
         .select("commodity_code", "h.*")
     )
 
@@ -38,7 +33,7 @@ def code_hierarchy(catalog: DataFrame, pos_col: str | None = None) -> DataFrame:
 def name_to_code(catalog: DataFrame, pos_col: str | None = None) -> DataFrame:
     """Normalised name -> code, first row wins."""
     return (
-        catalog.select(name_key("commodity_name").alias("name_key"), "commodity_code", _pos(catalog, pos_col).alias("_p"))
+        catalog.select(name_key("commodity_name").alias("name_key"), "commodity_code", row_position(catalog, pos_col).alias("_p"))
         .groupBy("name_key")
         .agg(F.min_by("commodity_code", "_p").alias("true_code"))
     )
@@ -104,7 +99,7 @@ def per_product(gated: DataFrame, predictions: DataFrame, catalog: DataFrame, ks
     )
     hit = F.col("commodity_code") == F.col("true_code")
     if match_names:  # E13: code or lower/stripped name
-        hit = hit | (F.lower(F.trim(F.col("commodity_name"))) == F.lower(F.trim(F.col("truth_name"))))
+        hit = hit | (join_key("commodity_name") == join_key("truth_name"))
     aggs = [F.count(F.lit(1)).alias("n_dedup"), F.min(F.when(hit, F.col("rank"))).alias("hit_rank")]
     for k in ks:
         for lvl, col in LEVELS:
@@ -174,7 +169,6 @@ def metrics_row(products: DataFrame, predictions: DataFrame, catalog: DataFrame,
             aggs.append(pct_mean(f"{lvl}_hit_{k}").alias(f"{lvl}_match_at_{k}"))
         aggs.append(F.sum(f"insufficient_{k}").alias(f"insufficient_at_{k}"))
     m = pp.agg(n.alias("_n"), *aggs)
-    # Both sides are single-row aggregates; attach them by a constant key.
     # Both sides are global aggregates (exactly one row each).
     row = counts.crossJoin(F.broadcast(m)).drop("_n")
     return row.select(
@@ -212,3 +206,100 @@ def retrieval_metrics(ranked: DataFrame, truth: DataFrame, ks=KS, qid: str = "qu
                        F.lit(0.0)).alias(f"ndcg_at_{k}"),
         ]
     return per_q.agg(*aggs)
+
+
+def graded_ndcg(ranked: DataFrame, grades: DataFrame, ks=KS, qid: str = "query_id", did: str = "doc_id") -> DataFrame:
+    """E8 graded: (query_id, dcg_k, ndcg_k ...) with gain grade / log2(rank + 1).
+
+    ``grades``: (query_id, doc_id, grade); documents without a grade gain nothing.  The ideal order ranks a
+    query's grades downwards; queries whose grades are all zero have 0.0.
+    """
+    ideal_rank = F.row_number().over(Window.partitionBy(qid).orderBy(F.col("grade").desc(), F.col(did)))
+    ideal = grades.withColumn("ideal_rank", ideal_rank)
+    gain = lambda r, k: F.sum(F.when(F.col(r) <= k, F.col("grade") / F.log2(F.col(r) + 1.0)).otherwise(0.0))
+    best = ideal.groupBy(qid).agg(*[gain("ideal_rank", k).alias(f"ideal_{k}") for k in ks])
+    got = ranked.select(qid, did, "rank").join(grades, [qid, did]).groupBy(qid).agg(*[gain("rank", k).alias(f"dcg_{k}") for k in ks])
+    out = best.join(got, qid, "left")
+    cols = [F.coalesce(f"dcg_{k}", F.lit(0.0)).alias(f"dcg_{k}") for k in ks]
+    cols += [F.when(F.col(f"ideal_{k}") > 0, F.coalesce(f"dcg_{k}", F.lit(0.0)) / F.col(f"ideal_{k}")).otherwise(0.0).alias(f"ndcg_{k}") for k in ks]
+    return out.select(qid, *cols)
+
+
+def text_label_metrics(queries: DataFrame, ranked: DataFrame, label_col: str = "commodity_name", pred_col: str = "pred_name") -> DataFrame:
+    """Lean metrics; a result is relevant when its name equals the query's label text.
+
+    ``ranked``: (query_id, rank, pred_col); queries without results count as zeros.
+    """
+    h = queries.select("query_id", label_col).join(ranked.select("query_id", "rank", pred_col), "query_id", "left").groupBy("query_id").agg(
+        F.min(F.when(join_key(pred_col) == join_key(label_col), F.col("rank"))).alias("hr"))
+    hk = lambda k: F.when(F.col("hr") <= k, 1.0).otherwise(0.0)
+    return h.agg(F.avg(hk(1)).alias("accuracy_at_1"), F.avg(hk(5)).alias("accuracy_at_5"), F.avg(hk(10)).alias("accuracy_at_10"),
+                 F.avg(hk(5) / 5).alias("precision_at_5"), F.avg(hk(5)).alias("recall_at_5"))
+
+
+def level_accuracy(queries: DataFrame, ranked: DataFrame, truth: DataFrame, k: int = 5, label_col: str = "commodity_name") -> DataFrame:
+    """Share of queries with a result in the first ``k`` on the true segment, family and class.
+
+    ``truth``: (label_col, segment_name, family_name, class_name), one row per label; ``ranked`` carries the
+    result's level names.
+    """
+    names = [col for _, col in LEVELS]
+    t = truth.select(label_col, *[F.col(c).alias(f"true_{c}") for c in names])
+    j = queries.select("query_id", label_col).join(t, label_col, "left").join(ranked.select("query_id", "rank", *names), "query_id", "left")
+    top = F.col("rank") <= k
+    per = j.groupBy("query_id").agg(*[
+        F.coalesce(F.max(F.when(top & (F.col(c) == F.col(f"true_{c}")), 1).otherwise(0)), F.lit(0)).alias(c) for c in names])
+    return per.agg(*[F.avg(c).alias(f"{lv}_at_{k}") for lv, c in LEVELS])
+
+
+def error_analysis(products: DataFrame, predictions: DataFrame, catalog: DataFrame, top_k: int = 5, max_errors: int = 20,
+                   min_conf: float = THRESHOLD, conf_col: str | None = None, pos_col: str | None = None) -> DataFrame:
+    """One row per (missed product, prediction): evaluated products with predictions, none of which is
+    right in the first ``top_k``; the first ``max_errors`` of them by id."""
+    g = gate(products, catalog, pos_col=pos_col).filter(F.col("status") == "evaluated")
+    preds = threshold(predictions, min_conf, conf_col).filter(F.col("rank") <= top_k)
+    judged = preds.join(g.select("product_id", "true_code"), "product_id").groupBy("product_id").agg(
+        F.max((F.col("commodity_code") == F.col("true_code")).cast("int")).alias("hit"))
+    first = g.join(judged.filter(F.coalesce("hit", F.lit(0)) == 0).select("product_id"), "product_id").orderBy("product_id").limit(max_errors)
+    h = code_hierarchy(catalog, pos_col).select("commodity_code", F.col("commodity_name").alias("pred_name"), F.col("class_name").alias("pred_class"))
+    conf = F.coalesce(F.col(conf_col).cast("double"), F.lit(0.0)) if conf_col else F.lit(0.0)
+    rows = first.join(preds.select("product_id", "rank", "commodity_code", conf.alias("confidence")), "product_id").join(h, "commodity_code", "left")
+    return rows.select(
+        "product_id", "description", "true_code", "true_name", "true_class", "true_family", "rank", F.col("commodity_code").alias("code"),
+        F.coalesce("pred_name", F.lit("Unknown")).alias("name"), "confidence", F.coalesce("pred_class", F.lit("Unknown")).alias("class"))
+
+
+def nest_errors(errors: DataFrame) -> DataFrame:
+    """E17 nested: one row per product with ``predictions`` as array<struct<code, name, confidence, class>>."""
+    rec = F.struct("rank", "code", "name", "confidence", "class")
+    return errors.groupBy("product_id", "description", "true_code", "true_name", "true_class", "true_family").agg(
+        F.transform(F.array_sort(F.collect_list(rec)), lambda r: F.struct(
+            r["code"].alias("code"), r["name"].alias("name"), r["confidence"].alias("confidence"),
+            r["class"].alias("class"))).alias("predictions"))
+
+
+def display_order(ks=KS) -> list[str]:
+    """The metrics in the order in which they are shown."""
+    names = ["total_evaluated", "skipped", "no_predictions", "all_filtered", "predictions_filtered", "confidence_threshold", "mrr"]
+    for k in ks:
+        names += [f"{m}_at_{k}" for m in ("accuracy", "precision", "ndcg", "segment_match", "family_match", "class_match", "insufficient")]
+    return names
+
+
+def metrics_long(metrics: DataFrame, ks=KS) -> DataFrame:
+    """A metrics row as (ord, metric, value) in display order."""
+    names = display_order(ks)
+    long = metrics.select(*[F.col(n).cast("double").alias(n) for n in names]).unpivot([], names, "metric", "value")
+    order = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i + 1))])
+    return long.select(F.element_at(order, F.col("metric")).alias("ord"), "metric", "value")
+
+
+def invariants(metrics: DataFrame, tolerance: float = 1e-4) -> DataFrame:
+    """P10: what must hold between the metrics of a row, as boolean columns."""
+    c = F.col
+    return metrics.select(
+        (c("segment_match_at_1") >= c("accuracy_at_1")).alias("segment_ge_accuracy"),
+        ((c("class_match_at_5") <= c("family_match_at_5")) & (c("family_match_at_5") <= c("segment_match_at_5"))).alias("levels_nested"),
+        ((c("accuracy_at_1") <= c("accuracy_at_5")) & (c("accuracy_at_5") <= c("accuracy_at_10"))).alias("accuracy_monotone"),
+        (F.abs(c("precision_at_5") - c("accuracy_at_5") / 5) < tolerance).alias("precision_is_accuracy_over_k"),
+        (F.abs(c("ndcg_at_1") - c("accuracy_at_1")) < tolerance).alias("ndcg1_is_accuracy1"))

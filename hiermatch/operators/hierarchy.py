@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .position import row_position
+
 LEVEL_COLS = ("segment_name", "family_name", "class_name", "commodity_name")
 
 
@@ -64,7 +66,7 @@ def level_counts(catalog: DataFrame) -> DataFrame:
 
 def reverse_lookup(catalog: DataFrame, pos_col: str | None = None) -> DataFrame:
     """H2: commodity name -> (segment, family, class), last row wins."""
-    pos = F.col(pos_col) if pos_col else F.col("commodity_code")
+    pos = row_position(catalog, pos_col)
     h = F.struct("segment_name", "family_name", "class_name")
     return catalog.groupBy("commodity_name").agg(F.max_by(h, pos).alias("h")).select("commodity_name", "h.*")
 
@@ -120,32 +122,30 @@ def top_segments(ev: DataFrame, n: int = 3) -> DataFrame:
     )
 
 
-def _smallest_children(parent_child: DataFrame, m: int) -> DataFrame:
-    w = Window.partitionBy("parent").orderBy(F.col("child").asc())
-    return (parent_child.filter(F.col("child").isNotNull())
-            .withColumn("r", F.row_number().over(w)).filter(F.col("r") <= m).drop("r"))
-
-
-def top_families(ev: DataFrame, catalog: DataFrame, n: int = 5, top: int = 5) -> DataFrame:
-    """H5: families under *all* evidence segments, ranked by evidence count (0 allowed), ties by name.
+def _top_children(ev: DataFrame, level: str, parent_child: DataFrame, n: int, out_col: str) -> DataFrame:
+    """The ``n`` children of *all* evidence segments by evidence count (0 allowed), ties by name.
 
-    Exact without expanding every family of every segment: a zero-count family can only
-    make the top n if it is among the n + top smallest family names of one evidence segment
-    (at most ``top`` families carry a count), so only those are joined in.
+    The few counted names join their parents, and stay if one is an evidence segment.  A name without a count
+    can only be among the first n if fewer than n names under the segments have one, and then it is among
+    the n + (number of counted names of the query) smallest names of a segment: so that many are joined in.
     """
-    sf, _, _ = edges(catalog)
     segs = ev.filter(F.col("level") == "segment").select("query_id", F.col("name").alias("parent"))
-    counted = ev.filter(F.col("level") == "family").select("query_id", F.col("name").alias("child"), "cnt")
-    # Counted families that sit under an evidence segment.
-    counted_valid = (
-        counted.join(segs.join(sf, "parent").select("query_id", "child").distinct(), ["query_id", "child"])
-    )
-    fill = segs.join(_smallest_children(sf, n + top), "parent").select("query_id", "child").distinct()
-    cand = fill.join(counted_valid, ["query_id", "child"], "left").fillna(0, subset=["cnt"]).unionByName(
-        counted_valid).distinct()
-    w = Window.partitionBy("query_id").orderBy(F.col("cnt").desc(), F.col("child").asc())
-    return (cand.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= n)
-            .select("query_id", F.col("child").alias("family_name"), "cnt", "rk"))
+    counted = ev.filter(F.col("level") == level).select("query_id", F.col("name").alias("child"), "cnt")
+    valid = counted.join(parent_child, "child").join(segs, ["query_id", "parent"], "left_semi").select("query_id", "child", "cnt").distinct()
+    most = counted.groupBy("query_id").agg(F.count(F.lit(1)).alias("c")).agg(F.coalesce(F.max("c"), F.lit(0)).alias("c"))
+    w = Window.partitionBy("parent").orderBy(F.col("child").asc())
+    named = parent_child.filter(F.col("child").isNotNull()).withColumn("r", F.row_number().over(w))
+    small = named.crossJoin(F.broadcast(most)).filter(F.col("r") <= F.col("c") + n).select("parent", "child")
+    fill = segs.join(small, "parent").select("query_id", "child").distinct()
+    cand = fill.join(valid, ["query_id", "child"], "full").select("query_id", "child", F.coalesce("cnt", F.lit(0)).alias("cnt"))
+    rank = Window.partitionBy("query_id").orderBy(F.col("cnt").desc(), F.col("child").asc())
+    return (cand.withColumn("rk", F.row_number().over(rank)).filter(F.col("rk") <= n)
+            .select("query_id", F.col("child").alias(out_col), "cnt", "rk"))
+
+
+def top_families(ev: DataFrame, catalog: DataFrame, n: int = 5) -> DataFrame:
+    """H5: families under *all* evidence segments, ranked by evidence count (0 allowed), ties by name."""
+    return _top_children(ev, "family", edges(catalog)[0], n, "family_name")
 
 
 def seg_classes(catalog: DataFrame) -> DataFrame:
@@ -157,32 +157,27 @@ def seg_classes(catalog: DataFrame) -> DataFrame:
     )
 
 
-def top_classes(ev: DataFrame, catalog: DataFrame, n: int = 5, top: int = 5) -> DataFrame:
+def top_classes(ev: DataFrame, catalog: DataFrame, n: int = 5) -> DataFrame:
     """H6: classes under every valid family (= reachable from the evidence segments), top n."""
-    sc = seg_classes(catalog)
-    segs = ev.filter(F.col("level") == "segment").select("query_id", F.col("name").alias("parent"))
-    counted = ev.filter(F.col("level") == "class").select("query_id", F.col("name").alias("child"), "cnt")
-    counted_valid = counted.join(segs.join(sc, "parent").select("query_id", "child").distinct(), ["query_id", "child"])
-    fill = segs.join(_smallest_children(sc, n + top), "parent").select("query_id", "child").distinct()
-    cand = fill.join(counted_valid, ["query_id", "child"], "left").fillna(0, subset=["cnt"]).unionByName(
-        counted_valid).distinct()
-    w = Window.partitionBy("query_id").orderBy(F.col("cnt").desc(), F.col("child").asc())
-    return (cand.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= n)
-            .select("query_id", F.col("child").alias("class_name"), "cnt", "rk"))
+    return _top_children(ev, "class", seg_classes(catalog), n, "class_name")
 
 
 def closure_size(ev: DataFrame, catalog: DataFrame) -> DataFrame:
-    """H7: |valid commodities| per query, computed once per distinct evidence segment set."""
+    """H7: |valid commodities| per query.
+
+    Names are grouped once by the set of segments that reach them; a query's size is the sum over the sets
+    that share a segment with its evidence, so no closure is expanded per query.
+    """
     sets = (
         ev.filter(F.col("level") == "segment")
         .groupBy("query_id").agg(F.array_sort(F.collect_set("name")).alias("segs"))
     )
-    distinct_sets = sets.select("segs").distinct()
-    r = reach(catalog)
+    patterns = reach_segments(catalog).groupBy("reach_segments").agg(F.count(F.lit(1)).alias("names"))
+    by_segment = patterns.select("names", "reach_segments", F.explode("reach_segments").alias("segment_name"))
     sizes = (
-        distinct_sets.select("segs", F.explode("segs").alias("segment_name"))
-        .join(r, "segment_name")
-        .groupBy("segs").agg(F.count_distinct("commodity_name").alias("num_constrained"))
+        sets.select("segs").distinct().select("segs", F.explode("segs").alias("segment_name"))
+        .join(by_segment, "segment_name").select("segs", "reach_segments", "names").distinct()
+        .groupBy("segs").agg(F.sum("names").alias("num_constrained"))
     )
     return sets.join(sizes, "segs", "left").select(
         "query_id", F.coalesce("num_constrained", F.lit(0)).cast("long").alias("num_constrained"))

@@ -1,31 +1,34 @@
 """Lexical retrieval: inverted index and Okapi BM25.
 
-Plan shape (all DataFrame, no pair enumeration):
+Index (:func:`build_index`, one plan, no job while it is built):
 
 * postings  = explode(tokens) -> groupBy(token, doc_id, dl).count()    (map-side partial agg)
-* df        = groupBy(token).count() over postings                      (partial agg, skew-safe)
-* weights   = postings JOIN df ON token  -> per-posting BM25 weight       (persisted index)
-* scores    = query terms JOIN weights ON token -> groupBy(query, doc).sum
-* top-k     = row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) <= k
-              (Catalyst plans a partial WindowGroupLimit before the shuffle)
-
-Only documents sharing a token with the query are scored.  The token join is
-right while the postings it touches are sparse; when the estimated pair count
-(sum over query tokens of document frequency) approaches Q x N, ``bm25_topk``
-switches to the blocked form below, which scores cells of queries x documents
-with one dense product per cell and never materialises the pairs.  The three
-corpus statistics (N, avgdl, mean idf) are scalars fetched with one small
-aggregate each.
+* terms     = groupBy(token): document frequency, floored idf, smallest and largest posting weight
+* weights   = postings JOIN terms ON token -> per-posting BM25 weight
+
+:func:`store_index` writes it once as tables clustered by token; :func:`read_index` opens them.
+
+Top-k (:func:`bm25_topk`) is one exact plan for every size:
+
+1. each query's rarest tokens, until they have a few times k postings, give every query the score that its
+   k-th best document surely reaches;
+2. its commonest tokens whose largest possible contributions together stay below that score cannot bring a
+   document in by themselves, so only the other tokens are joined with the postings to find candidates;
+3. candidates that can still reach the score get the common tokens' weights through a join on (token,
+   document), and the k best are ranked.
+
+A query with too few documents for step 1 keeps all its tokens in step 2.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_token_list
+from ..functions.text import SPACE, clean_token_list
+from ..session import shared_path
 
 # Defaults of the BM25Okapi implementation the reference instantiates.
 K1 = 1.5
@@ -36,18 +39,14 @@ EPSILON = 0.25
 def split_tokens(c) -> Column:
     """R12 tokenizer: lower + whitespace split, no cleaning."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.filter(F.split(F.lower(F.coalesce(col, F.lit(""))), r"\s+"), lambda t: t != "")
+    return F.filter(F.split(F.lower(F.coalesce(col, F.lit(""))), f"{SPACE}+"), lambda t: t != "")
 
 
 @dataclass
 class LexicalIndex:
     weights: DataFrame  # token, doc_id, tf, dl, idf, w
-    idf: DataFrame  # token, df, idf (negative idf floored)
-    n_docs: int
-    avgdl: float
-    mean_idf: float
-    k1: float
-    b: float
+    idf: DataFrame  # token, df, idf (negative idf floored), w_min, w_max over its postings
+    stats: DataFrame  # one row: n_docs, avgdl, mean_idf
 
 
 def postings(docs: DataFrame, id_col: str, text_col: str, tokenizer=clean_token_list) -> DataFrame:
@@ -60,40 +59,42 @@ def postings(docs: DataFrame, id_col: str, text_col: str, tokenizer=clean_token_
     )
 
 
-def build_index(
-    docs: DataFrame,
-    id_col: str,
-    text_col: str,
-    tokenizer=clean_token_list,
-    k1: float = K1,
-    b: float = B,
-    epsilon: float = EPSILON,
-    persist: bool = True,
-) -> LexicalIndex:
+def build_index(docs: DataFrame, id_col: str, text_col: str, tokenizer=clean_token_list, k1: float = K1, b: float = B,
+                epsilon: float = EPSILON) -> LexicalIndex:
     """Postings, document frequency, floored idf and per-posting BM25 weights."""
     post = postings(docs, id_col, text_col, tokenizer)
-    if persist:
-        post = post.persist()
-    # N counts every document (also those without tokens); the token total is the sum of tf
-    # over postings, so the texts are tokenised once, not once more for the statistics.
-    n_docs = docs.count()
-    total = post.agg(F.sum("tf")).first()[0]
-    avgdl = float(total or 0) / n_docs if n_docs else 0.0
-    raw_idf = F.log(F.lit(n_docs) - F.col("df") + F.lit(0.5)) - F.log(F.col("df") + F.lit(0.5))
-    dfs = post.groupBy("token").agg(F.count(F.lit(1)).alias("df")).withColumn("raw_idf", raw_idf)
-    if persist:
-        dfs = dfs.persist()
-    mean_idf = dfs.agg(F.avg("raw_idf")).first()[0]
-    mean_idf = float(mean_idf) if mean_idf is not None else 0.0
-    idf = dfs.select(
-        "token",
-        "df",
-        F.when(F.col("raw_idf") < 0, F.lit(epsilon * mean_idf)).otherwise(F.col("raw_idf")).alias("idf"),
-    )
+    # N counts every document (also those without tokens).  The three statistics stay one-row plans.
+    size = docs.agg(F.count(F.lit(1)).alias("n_docs")).crossJoin(F.broadcast(post.agg(F.coalesce(F.sum("tf"), F.lit(0)).alias("total"))))
+    size = size.select("n_docs", F.when(F.col("total") > 0, F.col("total") / F.col("n_docs")).otherwise(F.lit(1.0)).alias("avgdl"))
+    raw_idf = F.log(F.col("n_docs") - F.col("df") + F.lit(0.5)) - F.log(F.col("df") + F.lit(0.5))
+    dfs = post.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    dfs = dfs.crossJoin(F.broadcast(size)).select("token", "df", raw_idf.alias("raw_idf"), "avgdl")
+    mean = dfs.agg(F.coalesce(F.avg("raw_idf"), F.lit(0.0)).alias("mean_idf"))
+    idf = dfs.crossJoin(F.broadcast(mean)).select(
+        "token", "df", F.when(F.col("raw_idf") < 0, F.lit(epsilon) * F.col("mean_idf")).otherwise(F.col("raw_idf")).alias("idf"), "avgdl")
     tf = F.col("tf").cast("double")
-    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.lit(avgdl if avgdl else 1.0))
-    weights = post.join(idf, "token").withColumn("w", F.col("idf") * tf * F.lit(k1 + 1.0) / (tf + norm))
-    return LexicalIndex(weights, idf, n_docs, avgdl, mean_idf, k1, b)
+    norm = F.lit(k1) * (F.lit(1.0 - b) + F.lit(b) * F.col("dl") / F.col("avgdl"))
+    weights = post.join(idf, "token").withColumn("w", F.col("idf") * tf * F.lit(k1 + 1.0) / (tf + norm)).drop("avgdl", "df")
+    terms = weights.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.first("idf").alias("idf"),
+                                         F.min("w").alias("w_min"), F.max("w").alias("w_max"))
+    return LexicalIndex(weights, terms, size.crossJoin(F.broadcast(mean)))
+
+
+def store_index(index: LexicalIndex, path: str | None = None) -> LexicalIndex:
+    """Write the index as Parquet tables clustered by token and open them; default: a new shared folder."""
+    spark = index.weights.sparkSession
+    path = path or shared_path(spark, "lexical-index")
+    index.weights.repartition("token").sortWithinPartitions("token").write.parquet(f"{path}/weights")
+    kept = spark.read.schema(index.weights.schema).parquet(f"{path}/weights")
+    kept.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.first("idf").alias("idf"), F.min("w").alias("w_min"),
+                              F.max("w").alias("w_max")).write.parquet(f"{path}/idf")
+    index.stats.write.parquet(f"{path}/stats")
+    return read_index(spark, path)
+
+
+def read_index(spark: SparkSession, path: str) -> LexicalIndex:
+    """The index that :func:`store_index` wrote."""
+    return LexicalIndex(*(spark.read.parquet(f"{path}/{t}") for t in ("weights", "idf", "stats")))
 
 
 def query_terms(queries: DataFrame, qid_col: str, text_col: str, tokenizer=clean_token_list) -> DataFrame:
@@ -126,170 +127,42 @@ def top_k(scores: DataFrame, k: int, score_col: str = "score", id_col: str = "do
     return scores.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 
-def bm25_topk_join(queries: DataFrame, qid_col: str, text_col: str, index: LexicalIndex, k: int,
-                   tokenizer=clean_token_list) -> DataFrame:
-    """R2 + R3 as a token equi-join: (query_id, doc_id, score, rank)."""
-    return top_k(bm25_scores(queries, qid_col, text_col, index, tokenizer), k)
+#: Postings per wanted document that a query's rarest tokens should have in the first step.
+SEED_FACTOR = 8
+_SLACK = 1e-6  # far above rounding errors of a sum of weights
 
 
 def bm25_topk(queries: DataFrame, qid_col: str, text_col: str, index: LexicalIndex, k: int,
-              tokenizer=clean_token_list, method: str = "auto") -> DataFrame:
-    """R2 + R3: (query_id, doc_id, score, rank); ``method`` is ``auto``, ``join`` or ``blocked``."""
-    if method == "join":
-        return bm25_topk_join(queries, qid_col, text_col, index, k, tokenizer)
-    if method == "blocked":
-        return bm25_topk_blocked(queries, qid_col, text_col, index, k, tokenizer)
-    return bm25_topk_auto(queries, qid_col, text_col, index, k, tokenizer)
-
-
-# ---------------------------------------------------------------------------
-# Blocked top-k scoring.
-#
-# When most queries share a token with most documents (every catalog row says
-# "brand", every text says "the"), the token equi-join emits about Q x N x
-# (shared tokens) rows before aggregating.  The blocked form instead cuts
-# queries and documents into blocks; each (query block, document block) cell
-# is one cogroup task that builds dense term matrices over the cell's shared
-# vocabulary and scores all pairs with one matrix product, emitting at most k
-# rows per query.  Memory per task is bounded by the block sizes.
-
-DEFAULT_QUERY_BLOCK = 2048
-DEFAULT_DOC_BLOCK = 8192
-_CELL_BUDGET = 1 << 22  # doubles per dense chunk (32 MiB each; a cell holds a few at once)
-
-
-def _dense(tok_lists, val_lists, vocab, rows_from: int, rows_to: int):
-    """Dense (rows x |vocab|) values and 0/1 presence of one row range; tokens outside ``vocab`` drop out."""
-    import numpy as np
-    import pandas as pd
-
-    toks = tok_lists[rows_from:rows_to]
-    vals = val_lists[rows_from:rows_to]
-    lens = np.fromiter((len(t) for t in toks), dtype=np.int64, count=len(toks))
-    m = np.zeros((len(toks), len(vocab)))
-    present = np.zeros((len(toks), len(vocab)))
-    if lens.sum() == 0:
-        return m, present
-    flat_t = np.concatenate([np.asarray(t, dtype=object) for t in toks])
-    flat_v = np.concatenate([np.asarray(v, dtype=np.float64) for v in vals])
-    rows = np.repeat(np.arange(len(toks)), lens)
-    cols = pd.Index(vocab).get_indexer(flat_t)
-    ok = cols >= 0
-    # (row, token) pairs are unique on both sides (grouped postings), so assignment equals a sum.
-    m[rows[ok], cols[ok]] = flat_v[ok]
-    present[rows[ok], cols[ok]] = 1.0
-    return m, present
-
-
-def _cell_topk_fn(k: int):
-    import numpy as np
-    import pandas as pd
-
-    empty = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "doc_id": pd.Series([], dtype="int64"),
-                          "score": pd.Series([], dtype="float64")})
-
-    def fn(qpdf: pd.DataFrame, dpdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or dpdf.empty:
-            return empty
-        # Only tokens present on both sides of the cell can contribute.
-        qv = set(np.concatenate([np.asarray(t, dtype=object) for t in qpdf["tokens"]]).tolist())
-        dv = set(np.concatenate([np.asarray(t, dtype=object) for t in dpdf["tokens"]]).tolist())
-        vocab = sorted(qv & dv)
-        if not vocab:
-            return empty
-        V = len(vocab)
-        qt, qc = qpdf["tokens"].tolist(), qpdf["counts"].tolist()
-        dt, dw = dpdf["tokens"].tolist(), dpdf["weights"].tolist()
-        qids_all = qpdf["query_id"].to_numpy(np.int64)
-        dids_all = dpdf["doc_id"].to_numpy(np.int64)
-        # Chunk both sides so no dense matrix exceeds the cell budget, whatever the vocabulary size.
-        q_chunk = max(1, _CELL_BUDGET // V)
-        d_chunk = max(1, _CELL_BUDGET // max(V, min(q_chunk, len(qt))))
-        outs_q, outs_d, outs_s = [], [], []
-        for q0 in range(0, len(qt), q_chunk):
-            Q, Qb = _dense(qt, qc, vocab, q0, q0 + q_chunk)
-            qids = qids_all[q0:q0 + q_chunk]
-            for s0 in range(0, len(dt), d_chunk):
-                # A zero weight (idf exactly 0) still counts as a shared token, hence the presence product.
-                W, Wb = _dense(dt, dw, vocab, s0, s0 + d_chunk)
-                nd = W.shape[0]
-                S = Q @ W.T
-                M = Qb @ Wb.T
-                dids = dids_all[s0:s0 + d_chunk]
-                S = np.where(M > 0, S, -np.inf)
-                kk = min(k, nd)
-                if kk < nd:
-                    kth = np.partition(S, nd - kk, axis=1)[:, nd - kk]
-                else:
-                    kth = S.min(axis=1)
-                # Keep everything tied with the k-th score (rounded), so the exact tie-break happens later.
-                thr = np.round(kth, 9)
-                rows, cols = np.nonzero((np.round(S, 9) >= thr[:, None]) & np.isfinite(S))
-                if rows.size == 0:
-                    continue
-                sc = S[rows, cols]
-                order = np.lexsort((dids[cols], -np.round(sc, 9), rows))
-                rows, cols, sc = rows[order], cols[order], sc[order]
-                first = np.r_[0, np.flatnonzero(np.diff(rows)) + 1]
-                pos = np.arange(rows.size) - np.repeat(first, np.diff(np.r_[first, rows.size]))
-                keep = pos < kk
-                outs_q.append(qids[rows[keep]])
-                outs_d.append(dids[cols[keep]])
-                outs_s.append(sc[keep])
-        if not outs_q:
-            return empty
-        return pd.DataFrame({"query_id": np.concatenate(outs_q), "doc_id": np.concatenate(outs_d),
-                             "score": np.concatenate(outs_s)})
-
-    return fn
-
-
-def bm25_topk_blocked(queries: DataFrame, qid_col: str, text_col: str, index: LexicalIndex, k: int,
-                      tokenizer=clean_token_list, query_block: int = DEFAULT_QUERY_BLOCK,
-                      doc_block: int = DEFAULT_DOC_BLOCK, n_queries: int | None = None) -> DataFrame:
-    """R2 + R3 in blocked form; same rows as :func:`bm25_topk`."""
-    from pyspark.sql import types as T
-
-    qt = query_terms(queries, qid_col, text_col, tokenizer)
-    qrows = qt.groupBy("query_id").agg(F.collect_list("token").alias("tokens"),
-                                       F.collect_list("qtf").alias("counts"))
-    drows = index.weights.groupBy("doc_id").agg(F.collect_list("token").alias("tokens"),
-                                                F.collect_list("w").alias("weights"))
-    nq = n_queries if n_queries is not None else qrows.count()
-    qb = max(1, -(-nq // query_block))
-    cb = max(1, -(-index.n_docs // doc_block))
-    q = qrows.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(qb)).cast("int"))
-    d = drows.withColumn("cb", F.pmod(F.xxhash64("doc_id"), F.lit(cb)).cast("int"))
-    q = q.withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))) if cb > 1 else q.withColumn("cb", F.lit(0))
-    d = d.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))) if qb > 1 else d.withColumn("qb", F.lit(0))
-    schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("doc_id", T.LongType()),
-                           T.StructField("score", T.DoubleType())])
-    cells = (q.select("qb", "cb", F.col("query_id").cast("long").alias("query_id"), "tokens",
-                      F.transform("counts", lambda x: x.cast("double")).alias("counts"))
-             .groupBy("qb", "cb")
-             .cogroup(d.select("qb", "cb", F.col("doc_id").cast("long").alias("doc_id"), "tokens", "weights")
-                      .groupBy("qb", "cb"))
-             .applyInPandas(_cell_topk_fn(k), schema))
-    cells = cells.select(F.col("query_id").cast(queries.schema[qid_col].dataType).alias("query_id"),
-                         F.col("doc_id").cast(index.weights.schema["doc_id"].dataType).alias("doc_id"), "score")
-    return top_k(cells, k)
-
-
-def estimated_pairs(queries: DataFrame, qid_col: str, text_col: str, index: LexicalIndex,
-                    tokenizer=clean_token_list) -> tuple[int, int]:
-    """(pairs the token join would emit, queries): sum over tokens of query count x document frequency."""
-    qt = query_terms(queries, qid_col, text_col, tokenizer)
-    qtok = qt.groupBy("token").agg(F.count(F.lit(1)).alias("nq"))
-    row = qtok.join(index.idf.select("token", "df"), "token").agg(
-        F.coalesce(F.sum(F.col("nq") * F.col("df")), F.lit(0)).alias("pairs")).first()
-    nq = qt.select("query_id").distinct().count()
-    return int(row["pairs"]), int(nq)
-
-
-def bm25_topk_auto(queries: DataFrame, qid_col: str, text_col: str, index: LexicalIndex, k: int,
-                   tokenizer=clean_token_list, dense_fraction: float = 0.05) -> DataFrame:
-    """Pick the token join when it is sparse, the blocked product when pairs approach Q x N."""
-    pairs, nq = estimated_pairs(queries, qid_col, text_col, index, tokenizer)
-    if pairs <= dense_fraction * max(1, nq) * max(1, index.n_docs):
-        return bm25_topk_join(queries, qid_col, text_col, index, k, tokenizer)
-    return bm25_topk_blocked(queries, qid_col, text_col, index, k, tokenizer, n_queries=nq)
+              tokenizer=clean_token_list) -> DataFrame:
+    """R2 + R3: (query_id, doc_id, score, rank), the k best documents that share a token with the query."""
+    terms = query_terms(queries, qid_col, text_col, tokenizer).join(index.idf, "token").select(
+        "query_id", "token", "qtf", "df", F.greatest(F.col("qtf") * F.col("w_max"), F.lit(0.0)).alias("most"),
+        F.least(F.col("qtf") * F.col("w_min"), F.lit(0.0)).alias("least"))
+    rarest = Window.partitionBy("query_id").orderBy("df", "token")
+    terms = terms.withColumn("before", F.coalesce(F.sum("df").over(rarest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    terms = terms.withColumn("seed", F.col("before") < SEED_FACTOR * k)
+    post = index.weights.select("token", "doc_id", "w")
+
+    def summed(chosen: DataFrame) -> DataFrame:
+        return chosen.select("query_id", "token", "qtf").join(post, "token").groupBy("query_id", "doc_id").agg(
+            F.sum(F.col("qtf") * F.col("w")).alias("part"))
+
+    # 1: a score that k documents reach, even if the other tokens count against them
+    nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("part").desc()))
+    reached = summed(terms.where("seed")).withColumn("n", nth).where(F.col("n") <= k).where(F.col("n") == k).select("query_id", "part")
+    against = terms.groupBy("query_id").agg(F.sum(F.when(~F.col("seed"), F.col("least")).otherwise(0.0)).alias("against"))
+    goal = reached.join(against, "query_id").select("query_id", (F.col("part") + F.col("against") - _SLACK).alias("goal"))
+
+    # 2: the commonest tokens that cannot reach it together are not looked up
+    commonest = Window.partitionBy("query_id").orderBy(F.col("df").desc(), F.col("token").desc())
+    terms = terms.join(goal, "query_id", "left").withColumn("sum_most", F.sum("most").over(commonest.rowsBetween(Window.unboundedPreceding, 0)))
+    terms = terms.withColumn("late", F.coalesce(F.col("sum_most") < F.col("goal"), F.lit(False)))
+    bound = terms.groupBy("query_id").agg(F.first("goal").alias("goal"), F.coalesce(F.max(F.when(F.col("late"), F.col("sum_most"))), F.lit(0.0)).alias("more"))
+    cands = summed(terms.where("not late")).join(bound, "query_id").where("goal is null or part + more >= goal").select("query_id", "doc_id", "part")
+
+    # 3: their weights for the tokens left out
+    rest = cands.join(terms.where("late").select("query_id", "token", "qtf"), "query_id").join(post, ["token", "doc_id"]).groupBy(
+        "query_id", "doc_id").agg(F.sum(F.col("qtf") * F.col("w")).alias("rest"))
+    scores = cands.join(rest, ["query_id", "doc_id"], "left").select(
+        "query_id", "doc_id", (F.col("part") + F.coalesce("rest", F.lit(0.0))).alias("score"))
+    return top_k(scores, k)

@@ -91,6 +91,14 @@ def missing_keys(catalog: DataFrame, side: DataFrame, cat_col: str = "commodity_
     return keys.join(cat, "missing_name", "left_anti")
 
 
+def compatibility_report(catalog: DataFrame, products: DataFrame, cat_col: str = "commodity_name",
+                         side_col: str = "commodity_name") -> DataFrame:
+    """One row with total_products, distinct_names, matched, missing and match_rate (%, null without names)."""
+    cov = key_coverage(catalog, {"products": products}, cat_col, side_col)
+    return products.agg(F.count(F.lit(1)).alias("total_products")).crossJoin(F.broadcast(cov)).select(
+        "total_products", "distinct_names", "matched", "missing", "match_rate")
+
+
 def preview(df: DataFrame, n: int = 5, order_by: str | list | None = None, cols: list | None = None) -> DataFrame:
     """First ``n`` rows under an explicit order (a preview is the limit's purpose)."""
     d = df.select(*cols) if cols else df

@@ -28,25 +28,32 @@ def fuse(sem: DataFrame, lex: DataFrame, catalog: DataFrame, key: str = "text",
     """
     s = sem.select("query_id", "doc_id", "sem_score", "sem_rank")
     lx = lex.select("query_id", "doc_id", "lex_score", "lex_rank")
-    u = s.unionByName(lx, allowMissingColumns=True).join(catalog, "doc_id")
-    k = F.col(text_col) if key == "text" else F.col("doc_id")
-    carry = [c for c in catalog.columns if c != "doc_id"]
-    g = u.groupBy("query_id", k.alias("_key")).agg(
+    # Only ids, scores and the key travel through the aggregation; the catalog's columns join afterwards.
+    # A row without text stands for itself.
+    known = catalog.select("doc_id", *([F.col(text_col).alias("_text")] if key == "text" else []))
+    u = s.unionByName(lx, allowMissingColumns=True).join(known, "doc_id")
+    by = [F.col("_text"), F.when(F.col("_text").isNull(), F.col("doc_id")).alias("_id")] if key == "text" else [F.col("doc_id").alias("_id")]
+    g = u.groupBy("query_id", *by).agg(
         F.min("doc_id").alias("doc_id"),
         F.min("sem_rank").alias("sem_rank"),
         F.min("lex_rank").alias("lex_rank"),
         F.min("sem_score").alias("sem_score"),
         F.min("lex_score").alias("lex_score"),
-        F.min_by(F.struct(*carry), F.col("doc_id")).alias("_c"),
     )
     w = Window.partitionBy("query_id").orderBy(
         F.col("sem_rank").isNull().asc(), F.col("sem_rank").asc(), F.col("lex_rank").asc(), F.col("doc_id").asc())
-    return g.select(
-        "query_id", "doc_id", "_c.*",
+    g = g.select(
+        "query_id", "doc_id",
         F.coalesce("sem_score", F.lit(0.0)).alias("sem_score"),
         F.coalesce("lex_score", F.lit(0.0)).alias("lex_score"),
         "sem_rank", "lex_rank",
     ).withColumn("cand_pos", F.row_number().over(w))
+    return g.join(catalog, "doc_id")
+
+
+def uniform_rows(cands: DataFrame, cols: list[str], scores: bool = True) -> DataFrame:
+    """Candidates of any retriever as (query_id, doc_id, cand_pos, cols...), with or without both scores."""
+    return cands.select("query_id", "doc_id", "cand_pos", *cols, *(["sem_score", "lex_score"] if scores else []))
 
 
 def candidate_counts(cands: DataFrame) -> DataFrame:
@@ -89,8 +96,10 @@ def rerank(cands: DataFrame, n: int = 20, score_col: str = "cross_score", pos_co
 
 
 def minmax(c: Column, part: str = "query_id") -> Column:
-    """Per-query min-max; all-equal -> 1.0."""
+    """Per-query min-max; all-equal -> 1.0.  Scores are rounded to 9 places first, so sums that differ in
+    their last bit are equal."""
     w = Window.partitionBy(part)
+    c = F.round(c, 9)
     lo = F.min(c).over(w)
     hi = F.max(c).over(w)
     return F.when(hi - lo == 0, F.lit(1.0)).otherwise((c - lo) / (hi - lo))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clean, join_key
 from ..session import cut_lineage
+from .position import row_position
 
 SEED = "hiermatch"
 
@@ -90,8 +91,8 @@ def cyclic_sample(queries: DataFrame, pool: DataFrame, group_col: str, n: int, s
         win = pending.withColumn("j", F.explode(F.sequence(F.lit(0), F.least(F.lit(width), F.col("group_size")) - 1))) \
                      .withColumn("pos", F.pmod(F.col("offset") + F.col("j"), F.col("group_size")))
         hits = win.join(payload, [group_col, "pos"]).filter(~F.col("name_key").eqNullSafe(F.col("truth_key")))
-        # Read by the emptiness check and by the result: keep it (deterministic if recomputed).
-        picked = hits.withColumn("pick", F.row_number().over(w1)).filter(F.col("pick") <= F.col("quota")).persist()
+        # Read by the emptiness check and by the result.
+        picked = cut_lineage(hits.withColumn("pick", F.row_number().over(w1)).filter(F.col("pick") <= F.col("quota")))
         got = picked.groupBy("query_id").agg(F.count(F.lit(1)).alias("_got"))
         short = pending.join(got, "query_id", "left").filter(
             (F.coalesce("_got", F.lit(0)) < F.col("quota")) & (F.col("group_size") > F.lit(width))).drop("_got")
@@ -103,16 +104,16 @@ def cyclic_sample(queries: DataFrame, pool: DataFrame, group_col: str, n: int, s
         width *= 2
 
 
-def name_to_corpus(catalog: DataFrame) -> DataFrame:
-    """G1: strip+lower name -> corpus, last row wins (row position stand-in: commodity_code)."""
+def name_to_corpus(catalog: DataFrame, pos_col: str | None = None) -> DataFrame:
+    """G1: strip+lower name -> corpus, last row wins."""
     return catalog.groupBy(join_key("commodity_name").alias("truth_key")).agg(
-        F.max_by("corpus", "commodity_code").alias("positive"))
+        F.max_by("corpus", row_position(catalog, pos_col)).alias("positive"))
 
 
-def first_row_levels(catalog: DataFrame) -> DataFrame:
+def first_row_levels(catalog: DataFrame, pos_col: str | None = None) -> DataFrame:
     """Positive's segment/family: first catalog row whose lower-cased (unstripped) name matches."""
     return catalog.groupBy(F.lower("commodity_name").alias("truth_key")).agg(
-        F.min_by(F.struct("segment_name", "family_name"), "commodity_code").alias("lv")
+        F.min_by(F.struct("segment_name", "family_name"), row_position(catalog, pos_col)).alias("lv")
     ).select("truth_key", F.col("lv.segment_name").alias("true_segment"), F.col("lv.family_name").alias("true_family"))
 
 
@@ -128,7 +129,7 @@ def _pool(catalog: DataFrame, group_col: str, seed: str, single_group: bool = Fa
         joined = pos.crossJoin(F.broadcast(sizes.drop("grp")))
     else:
         joined = pos.join(sizes, "grp")
-    return joined.drop("_h").persist()
+    return cut_lineage(joined.drop("_h"))
 
 
 def _queries(queries: DataFrame, catalog: DataFrame, qtext: str, qlabel: str) -> DataFrame:
@@ -192,7 +193,7 @@ def mined_triplets(hits: DataFrame, queries: DataFrame, n: int = 5, qtext: str =
     negative are dropped.
     """
     q = queries.select("query_id", F.col(qtext).alias("query"), F.col(qlabel).alias("positive"))
-    h = hits.join(q, "query_id").filter(~F.lower(F.trim("commodity_name")).eqNullSafe(F.lower(F.trim("positive"))))
+    h = hits.join(q, "query_id").filter(~join_key("commodity_name").eqNullSafe(join_key("positive")))
     first_seen = h.groupBy("query", "positive", "corpus").agg(F.min("rank").alias("_r"))
     w = Window.partitionBy("query", "positive").orderBy("_r", "corpus")
     top = first_seen.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= n)

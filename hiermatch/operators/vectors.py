@@ -1,28 +1,38 @@
 """Vector retrieval (R4-R9): embedding jobs and exact / approximate k-NN.
 
-Exact k-NN is a blocked matrix product.  Queries are cut into query blocks,
-catalog rows into catalog blocks; each (query block, catalog block) pair is a
-cogroup cell solved with one BLAS product in numpy, emitting at most k rows
-per query.  A final window keeps the global k.  Memory per task is bounded by
-the block sizes, never by the table sizes, and only k rows per query per
-block are shuffled after the product.
-
-Distances are squared L2 by default (what a flat L2 index returns).  The fast
-||q||^2 + ||c||^2 - 2 q.c form only preselects; survivors are recomputed as
-sum((q - c)^2) and ranked on that value rounded to 9 places, ties by id.
+Exact k-NN works on a clustered vector table (:func:`cluster`): a bounded number of pivots is drawn from the
+catalog and every vector goes to its nearest pivot, so each cluster has a centre and an outer and inner
+radius.  A query
+
+1. looks at its nearest clusters until they hold k vectors, which bounds its k-th distance, and
+2. then only at the clusters that the triangle inequality lets come nearer than that.
+
+Nothing is cut: a cluster is skipped only if none of its vectors can be among the k.  Clusters are split
+into blocks of bounded size, and a cell of the work is one block with the queries that need it, solved with
+one BLAS product.  Only k rows per query and cell are shuffled.
+
+Distances are squared L2 by default (what a flat L2 index returns).  The fast ||q||^2 + ||c||^2 - 2 q.c form
+only preselects, within a tolerance that grows with the norms; survivors are recomputed as sum((q - c)^2)
+and ranked on that value rounded to 9 places, ties by id.  Rows with a null id or vector are no neighbours
+and get none.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import shared_path
+
 DEFAULT_BLOCK_ROWS = 4096
+#: Pivots are collected and sent to every task, so their number is bounded.
+MAX_PIVOTS = 1024
 
 
 def to_double_array(c) -> Column:
@@ -41,110 +51,190 @@ def relevance(distance: Column) -> Column:
 
 
 _ROW_CHUNK = 512  # query rows per vectorised step inside a cell
+_PAIR_CHUNK = 1 << 16  # pairs recomputed exactly at once
+
+
+def _squared(Q, C):
+    """Fast squared distances and a bound of their rounding error per row of Q."""
+    qn, cn = (Q * Q).sum(1), (C * C).sum(1)
+    d2 = qn[:, None] + cn[None, :] - 2.0 * (Q @ C.T)
+    error = 4e-16 * (Q.shape[1] + 8) * (qn + (cn.max() if len(cn) else 0.0)) + 1e-12
+    return np.maximum(d2, 0.0, out=d2), error
+
+
+def _exact(Q, C, rows, cols):
+    out = np.empty(len(rows))
+    for s in range(0, len(rows), _PAIR_CHUNK):
+        diff = C[cols[s:s + _PAIR_CHUNK]] - Q[rows[s:s + _PAIR_CHUNK]]
+        out[s:s + _PAIR_CHUNK] = np.einsum("ij,ij->i", diff, diff)
+    return out
+
+
+@dataclass
+class VectorIndex:
+    vectors: DataFrame  # cluster int, block int, cid, v array<double>
+    centres: DataFrame  # cluster int, centre array<double>, n long, inner double, outer double (at most MAX_PIVOTS rows)
+
+
+def cluster(catalog: DataFrame, cid: str = "doc_id", cvec: str = "embedding", block_rows: int = DEFAULT_BLOCK_ROWS,
+            pivots: int | None = None, path: str | None = None) -> VectorIndex:
+    """R5 index: vectors dealt to their nearest pivot, written as tables and opened (default: a new shared folder).
+
+    Pivots are the catalog vectors with the smallest hash of their id, about the square root of the row count.
+    """
+    spark = catalog.sparkSession
+    path = path or shared_path(spark, "vector-index")
+    c = catalog.select(F.col(cid).alias("cid"), to_double_array(cvec).alias("v")).where("cid is not null and v is not null")
+    n = c.count()
+    pivots = max(1, min(pivots or math.isqrt(n), MAX_PIVOTS))
+    centres = [r.v for r in c.orderBy(F.xxhash64("cid"), "cid").limit(pivots).collect()]
+    P = np.array(centres, np.float64) if centres else np.zeros((0, 0))
+
+    def assign(it):
+        for pdf in it:
+            V = np.stack(pdf["v"].to_numpy()).astype(np.float64) if len(pdf) else np.zeros((0, P.shape[1]))
+            best = np.concatenate([_squared(V[s:s + _ROW_CHUNK], P)[0].argmin(1) for s in range(0, len(V), _ROW_CHUNK)] or [np.zeros(0, int)])
+            yield pdf.assign(cluster=best.astype(np.int32), d=np.sqrt(_exact(V, P, np.arange(len(V)), best)))
+
+    kind = c.schema["cid"].dataType.simpleString()
+    placed = c.mapInPandas(assign, f"cid {kind}, v array<double>, cluster int, d double")
+    placed.write.parquet(f"{path}/placed")
+    placed = spark.read.parquet(f"{path}/placed")
+    stats = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("d").alias("inner"), F.max("d").alias("outer"))
+    rows = [(r["cluster"], centres[r["cluster"]], r["n"], r["inner"], r["outer"]) for r in stats.collect()]
+    spark.createDataFrame(rows, "cluster int, centre array<double>, n long, inner double, outer double").write.parquet(f"{path}/centres")
+    blocks = stats.select("cluster", F.ceil(F.col("n") / block_rows).alias("blocks"))  # at most MAX_PIVOTS rows
+    dealt = placed.join(F.broadcast(blocks), "cluster").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
+    dealt.select("cluster", "block", "cid", "v").write.parquet(f"{path}/vectors")
+    return read_vectors(spark, path)
 
 
-def _block_topk_fn(k: int, exclude_self: bool, squared: bool):
-    empty = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "doc_id": pd.Series([], dtype="int64"),
-                          "distance": pd.Series([], dtype="float64")})
+def read_vectors(spark: SparkSession, path: str) -> VectorIndex:
+    """The index that :func:`cluster` wrote."""
+    return VectorIndex(spark.read.parquet(f"{path}/vectors"), spark.read.parquet(f"{path}/centres"))
 
+
+def _cell_fn(k: int, exclude_self: bool, schema: T.StructType):
     def fn(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        if qpdf.empty or cpdf.empty:
-            return empty
-        Q_all = np.stack(qpdf["v"].to_numpy()).astype(np.float64)
-        C = np.stack(cpdf["v"].to_numpy()).astype(np.float64)
-        qid_all = qpdf["qid"].to_numpy(np.int64)
-        cid = cpdf["cid"].to_numpy(np.int64)
-        cn = (C * C).sum(1)
-        nc = C.shape[0]
-        kk = min(k, nc)
-        outs_q, outs_c, outs_d = [], [], []
-        for r0 in range(0, Q_all.shape[0], _ROW_CHUNK):
-            Q = Q_all[r0:r0 + _ROW_CHUNK]
-            qid = qid_all[r0:r0 + _ROW_CHUNK]
-            # Fast form only preselects; survivors are recomputed exactly below.
-            d2 = (Q * Q).sum(1)[:, None] + cn[None, :] - 2.0 * (Q @ C.T)
-            np.maximum(d2, 0.0, out=d2)
-            if exclude_self:
-                d2[qid[:, None] == cid[None, :]] = np.inf
-            kth = np.partition(d2, kk - 1, axis=1)[:, kk - 1] if kk < nc else d2.max(axis=1)
-            fin = np.isfinite(kth)
-            tol = 1e-6 * np.maximum(1.0, np.abs(np.where(fin, kth, 0.0)))
-            lim = np.where(fin, kth + tol, np.inf)
-            rows, cols = np.nonzero((d2 <= lim[:, None]) & np.isfinite(d2))
-            if rows.size == 0:
-                continue
-            diff = C[cols] - Q[rows]
-            exact = (diff * diff).sum(1)
-            if not squared:
-                exact = np.sqrt(exact)
-            order = np.lexsort((cid[cols], np.round(exact, 9), rows))
-            rows, cols, exact = rows[order], cols[order], exact[order]
-            first = np.r_[0, np.flatnonzero(np.diff(rows)) + 1]
-            pos = np.arange(rows.size) - np.repeat(first, np.diff(np.r_[first, rows.size]))
-            keep = pos < kk
-            outs_q.append(qid[rows[keep]])
-            outs_c.append(cid[cols[keep]])
-            outs_d.append(exact[keep])
-        if not outs_q:
-            return empty
-        return pd.DataFrame({"query_id": np.concatenate(outs_q), "doc_id": np.concatenate(outs_c),
-                             "distance": np.concatenate(outs_d)})
+        outs = []
+        if len(qpdf) and len(cpdf):
+            Q_all, C = (np.stack(x["v"].to_numpy()).astype(np.float64) for x in (qpdf, cpdf))
+            qid_all, cid = qpdf["query_id"].to_numpy(), cpdf["cid"].to_numpy()
+            place = np.unique(cid, return_inverse=True)[1]  # ids in order, whatever their type
+            want = min(k + exclude_self, len(C))
+            for r0 in range(0, len(Q_all), _ROW_CHUNK):
+                Q, qid = Q_all[r0:r0 + _ROW_CHUNK], qid_all[r0:r0 + _ROW_CHUNK]
+                d2, error = _squared(Q, C)
+                kth = np.partition(d2, want - 1, axis=1)[:, want - 1]
+                rows, cols = np.nonzero(d2 <= (kth + 2 * error + 1e-8)[:, None])
+                if exclude_self:
+                    other = qid[rows] != cid[cols]
+                    rows, cols = rows[other], cols[other]
+                exact = _exact(Q, C, rows, cols)
+                order = np.lexsort((place[cols], np.round(exact, 9), rows))
+                rows, cols, exact = rows[order], cols[order], exact[order]
+                first = np.searchsorted(rows, np.arange(len(Q)))
+                keep = np.arange(len(rows)) - first[rows] < k
+                outs.append(pd.DataFrame({"query_id": qid[rows[keep]], "doc_id": cid[cols[keep]], "distance": exact[keep]}))
+        return pd.concat(outs) if outs else pd.DataFrame({f.name: [] for f in schema})
 
     return fn
 
 
-def knn(queries: DataFrame, catalog: DataFrame, k: int, qid: str = "query_id", cid: str = "doc_id",
+def _probe_fn(centres: list, k: int, exclude_self: bool, far: bool):
+    """For a batch of queries: the clusters to look at, first near ones (``far`` false) and then, given the
+    distance ``goal`` of the k-th neighbour found there, all others that may hold a nearer one."""
+    ids = np.array([c["cluster"] for c in centres], np.int32)
+    P = np.array([c["centre"] for c in centres], np.float64)
+    n, inner, outer = (np.array([c[x] for c in centres]) for x in ("n", "inner", "outer"))
+
+    def fn(it):
+        for pdf in it:
+            parts = []
+            for s in range(0, len(pdf), _ROW_CHUNK):
+                part = pdf.iloc[s:s + _ROW_CHUNK]
+                Q = np.stack(part["v"].to_numpy()).astype(np.float64)
+                d2, error = _squared(Q, P)
+                d = np.sqrt(d2)
+                order = np.argsort(d, axis=1, kind="stable")
+                before = np.cumsum(n[order], axis=1) - n[order]
+                near = np.zeros(d.shape, bool)
+                np.put_along_axis(near, order, before < k + exclude_self, axis=1)
+                if far:
+                    goal = part["goal"].to_numpy(np.float64)
+                    slack = (np.sqrt(error) + 1e-6 + 1e-9 * goal)[:, None]
+                    reach = (d - outer <= goal[:, None] + slack) & (inner - d <= goal[:, None] + slack)
+                    near = (reach | np.isnan(goal)[:, None]) & ~near
+                rows, cols = np.nonzero(near)
+                parts.append(part.iloc[rows][["query_id", "v"]].assign(cluster=ids[cols]))
+            yield pd.concat(parts) if parts else pdf.assign(cluster=np.zeros(0, np.int32))[["query_id", "v", "cluster"]]
+
+    return fn
+
+
+def knn(queries: DataFrame, catalog: DataFrame | None, k: int, qid: str = "query_id", cid: str = "doc_id",
         qvec: str = "embedding", cvec: str = "embedding", exclude_self: bool = False, squared: bool = True,
-        query_block_rows: int = DEFAULT_BLOCK_ROWS, catalog_block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
-    """R5 exact: (query_id, doc_id, distance, rank) with rank <= k; k larger than the catalog is legal."""
-    spark = queries.sparkSession
-    nq = queries.count()
-    nc = catalog.count()
-    qb = max(1, math.ceil(nq / query_block_rows))
-    cb = max(1, math.ceil(nc / catalog_block_rows))
-    q = queries.select(F.col(qid).cast("long").alias("qid"), to_double_array(qvec).alias("v")).withColumn(
-        "qb", F.pmod(F.xxhash64("qid"), F.lit(qb)).cast("int"))
-    c = catalog.select(F.col(cid).cast("long").alias("cid"), to_double_array(cvec).alias("v")).withColumn(
-        "cb", F.pmod(F.xxhash64("cid"), F.lit(cb)).cast("int"))
-    # Each block is replicated across the other side's blocks: cb copies of queries, qb of the catalog.
-    if cb > 1:
-        q = q.withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1))))
-    else:
-        q = q.withColumn("cb", F.lit(0))
-    if qb > 1:
-        c = c.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1))))
-    else:
-        c = c.withColumn("qb", F.lit(0))
-    schema = T.StructType([
-        T.StructField("query_id", T.LongType()),
-        T.StructField("doc_id", T.LongType()),
-        T.StructField("distance", T.DoubleType()),
-    ])
-    cells = (
-        q.groupBy("qb", "cb")
-        .cogroup(c.groupBy("qb", "cb"))
-        .applyInPandas(_block_topk_fn(k, exclude_self, squared), schema)
-    )
+        query_block_rows: int = 65_536, catalog_block_rows: int = DEFAULT_BLOCK_ROWS,
+        index: VectorIndex | None = None) -> DataFrame:
+    """R5 exact: (query_id, doc_id, distance, rank) with rank <= k; k larger than the catalog is legal.
+
+    ``index`` is a prebuilt clustered table; without it one is built from ``catalog``.
+    """
+    index = index or cluster(catalog, cid, cvec, catalog_block_rows)
+    centres = index.centres.orderBy("cluster").collect()  # at most MAX_PIVOTS rows
+    q = queries.select(F.col(qid).alias("query_id"), to_double_array(qvec).alias("v")).where("query_id is not null and v is not null")
+    kind = q.schema["query_id"].dataType.simpleString()
+    schema = T.StructType([T.StructField("query_id", q.schema["query_id"].dataType),
+                           T.StructField("doc_id", index.vectors.schema["cid"].dataType), T.StructField("distance", T.DoubleType())])
+    if not centres:
+        empty = queries.sparkSession.createDataFrame([], schema)
+        return empty.withColumn("rank", F.lit(0))
+    slices = max(1, math.ceil(q.count() / query_block_rows))
     w = Window.partitionBy("query_id").orderBy(F.round("distance", 9).asc(), F.col("doc_id").asc())
-    del spark
-    return cells.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+    def solve(rows: DataFrame, far: bool) -> DataFrame:
+        probes = rows.mapInPandas(_probe_fn(centres, k, exclude_self, far), f"query_id {kind}, v array<double>, cluster int")
+        probes = probes.withColumn("slice", F.pmod(F.xxhash64("query_id"), F.lit(slices)).cast("int"))
+        # the blocks of the catalog that are needed, once for each slice of queries that needs them
+        needed = index.vectors.join(probes.select("cluster", "slice").distinct(), "cluster")
+        blocks = F.broadcast(queries.sparkSession.createDataFrame(
+            [(c["cluster"], int(-(-c["n"] // catalog_block_rows))) for c in centres], "cluster int, blocks int"))
+        probes = probes.join(blocks, "cluster").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        key = ["cluster", "block", "slice"]
+        theirs = needed.select(*[F.col(c).alias(f"of_{c}") for c in key], F.col("cid").alias("cid"), F.col("v").alias("v"))
+        cells = probes.select(*key, "query_id", "v").groupBy(*key).cogroup(theirs.groupBy(*[f"of_{c}" for c in key]))
+        return cells.applyInPandas(_cell_fn(k, exclude_self, schema), schema)
+
+    first = solve(q, False).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    goal = first.where(F.col("rank") == k).select("query_id", F.sqrt("distance").alias("goal"))
+    more = solve(q.join(goal, "query_id", "left").select("query_id", "v", "goal"), True)
+    out = first.drop("rank").unionByName(more)
+    if not squared:
+        out = out.withColumn("distance", F.sqrt("distance"))
+    return out.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def search_text(texts: DataFrame, k: int, index: VectorIndex, embed, qid: str = "query_id", text_col: str = "text") -> DataFrame:
+    """(query_id, doc_id, distance, rank) of the k rows nearest to each text; ``embed`` is Column -> Column."""
+    return knn(texts.select(F.col(qid).alias("query_id"), embed(F.col(text_col)).alias("embedding")), None, k, index=index)
 
 
 def knn_lsh(queries: DataFrame, catalog: DataFrame, k: int, qid: str = "query_id", cid: str = "doc_id",
             qvec: str = "embedding", cvec: str = "embedding", bucket_length: float = 0.5, num_tables: int = 8,
-            max_distance: float = 2.0, seed: int = 7, exclude_self: bool = False) -> DataFrame:
+            seed: int = 7, exclude_self: bool = False) -> DataFrame:
     """R5 approximate: bucketed random projection LSH join (equi-join on hash buckets), then top-k.
 
-    Returns squared distances like :func:`knn`.  Recall is measured against the exact form in tests.
+    Returns squared distances like :func:`knn`, of rows that share a bucket in at least one table; a query may
+    get fewer than k.  Recall against the exact form is tested.
     """
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
-    q = queries.select(F.col(qid).cast("long").alias("qid"), array_to_vector(to_double_array(qvec)).alias("features"))
-    c = catalog.select(F.col(cid).cast("long").alias("cid"), array_to_vector(to_double_array(cvec)).alias("features"))
+    q = queries.select(F.col(qid).alias("qid"), array_to_vector(to_double_array(qvec)).alias("features")).where("qid is not null and features is not null")
+    c = catalog.select(F.col(cid).alias("cid"), array_to_vector(to_double_array(cvec)).alias("features")).where("cid is not null and features is not null")
     lsh = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
                                       numHashTables=num_tables, seed=seed).fit(c)
-    pairs = lsh.approxSimilarityJoin(q, c, max_distance, distCol="dist").select(
+    pairs = lsh.approxSimilarityJoin(q, c, float("inf"), distCol="dist").select(
         F.col("datasetA.qid").alias("query_id"), F.col("datasetB.cid").alias("doc_id"),
         (F.col("dist") * F.col("dist")).alias("distance"))
     if exclude_self:

@@ -13,6 +13,10 @@ from ..functions.text import ABBREVIATIONS, TOKEN_MAP
 from ..operators.lexical import B, EPSILON, K1
 
 
+#: The blanks of functions.text.SPACE in RE2's dialect.
+SPACE = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -29,7 +33,7 @@ def clean(x: str, mapping=ABBREVIATIONS, drop_runs: int | None = None) -> str:
 
 
 def tokens(x: str) -> str:
-    return f"list_filter(regexp_split_to_array(coalesce({x}, ''), '\\s+'), lambda t: t <> '')"
+    return f"list_filter(regexp_split_to_array(coalesce({x}, ''), '{SPACE}+'), lambda t: t <> '')"
 
 
 def clean_tokens(x: str) -> str:
@@ -48,8 +52,12 @@ def name_key_ascii(x: str) -> str:
     return f"lower(trim(regexp_replace({x}, '[^a-zA-Z0-9_]+', ' ', 'g')))"
 
 
+def strip(x: str) -> str:
+    return f"regexp_replace({x}, '^{SPACE}+|{SPACE}+$', '', 'g')"
+
+
 def join_key(x: str) -> str:
-    return f"lower(trim({x}))"
+    return f"lower({strip(x)})"
 
 
 def material_cols(x: str) -> list[str]:
@@ -175,13 +183,13 @@ x AS (SELECT f.*, pq.description,
       FROM fused f JOIN pq ON f.query_id = pq.query_id),
 rr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cross_score, 9) DESC, cand_pos)
        AS rerank_pos FROM x) WHERE rerank_pos <= {rerank_k}),
-mm AS (SELECT *, sem_score + lex_score AS hy,
-              min(sem_score + lex_score) OVER (PARTITION BY query_id) AS hy_lo,
-              max(sem_score + lex_score) OVER (PARTITION BY query_id) AS hy_hi,
-              min(cross_score) OVER (PARTITION BY query_id) AS cr_lo,
-              max(cross_score) OVER (PARTITION BY query_id) AS cr_hi FROM rr),
+mm AS (SELECT *, round(sem_score + lex_score, 9) AS hy, round(cross_score, 9) AS cr,
+              min(round(sem_score + lex_score, 9)) OVER (PARTITION BY query_id) AS hy_lo,
+              max(round(sem_score + lex_score, 9)) OVER (PARTITION BY query_id) AS hy_hi,
+              min(round(cross_score, 9)) OVER (PARTITION BY query_id) AS cr_lo,
+              max(round(cross_score, 9)) OVER (PARTITION BY query_id) AS cr_hi FROM rr),
 merged AS (SELECT *, CASE WHEN hy_hi - hy_lo = 0 THEN 1.0 ELSE (hy - hy_lo) / (hy_hi - hy_lo) END AS hybrid_norm,
-                  CASE WHEN cr_hi - cr_lo = 0 THEN 1.0 ELSE (cross_score - cr_lo) / (cr_hi - cr_lo) END AS cross_norm
+                  CASE WHEN cr_hi - cr_lo = 0 THEN 1.0 ELSE (cr - cr_lo) / (cr_hi - cr_lo) END AS cross_norm
            FROM mm),
 merged2 AS (SELECT *, {alpha} * hybrid_norm + {beta} * cross_norm AS final_score FROM merged)"""]
     if use_hierarchy:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import classify as C
 from ..operators import rank
+from ..session import shared_path
 from ..sources.views import view
 from . import oracle as O
 from .registry import register
@@ -78,11 +79,24 @@ def c_sample(spark, sf):
     return _pred_out(preds.filter(F.col("rank") <= 3))
 
 
-@register("c_nested")
+@register("c_nested", views=VIEWS, sql=f"""WITH {_CTES}
+SELECT p.product_id, p.description, p.commodity_name AS ground_truth, {", ".join("r." + c for c in (
+    "rank", "commodity_code", "commodity_name", "score", "segment", "family", "class", "in_hierarchy"))}
+FROM products p LEFT JOIN (SELECT {O.PRED_COLS} FROM preds WHERE rank <= 10) r ON r.product_id = p.product_id""")
 def c_nested(spark, sf):
-    """C3 nested: one row per product, predictions as array<struct> sorted by rank."""
+    """C3 nested: one row per product, predictions as array<struct> sorted by rank; flattened again to compare."""
     products, catalog = _inputs(spark, sf)
-    return C.nest(C.classify_batch(products, catalog, CFG), products)
+    nested = C.nest(C.classify_batch(products, catalog, CFG), products)
+    flat = nested.select("product_id", "description", "ground_truth", F.explode_outer("top_k_predictions").alias("p"))
+    return flat.select("product_id", "description", "ground_truth", "p.*").withColumn("score", r6("score"))
+
+
+@register("c_prebuilt", views=VIEWS, sql=f"WITH {_CTES}\nSELECT {O.PRED_COLS} FROM preds WHERE rank <= 10")
+def c_prebuilt(spark, sf):
+    """C2 from tables that were written once: index, clustered vectors and enriched catalog."""
+    products, catalog = _inputs(spark, sf)
+    tables = C.prebuild(catalog, shared_path(spark, "classifier"), CFG)
+    return _pred_out(C.classify_batch(products, catalog, CFG, **tables))
 
 
 # ---------------------------------------------------------------- R10, R11, R13

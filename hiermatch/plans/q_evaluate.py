@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.embed import DIM, hash_embed
-from ..functions.text import clean, name_key
+from ..functions.text import clean
 from ..operators import classify as C
 from ..operators import evaluate as E
 from ..operators import hierarchy as H
@@ -34,7 +34,7 @@ def _cat(spark, sf):
 
 def lex_preds(spark, sf, k=10):
     cat = _cat(spark, sf)
-    idx = lexical.build_index(cat, "commodity_code", "corpus")
+    idx = lexical.store_index(lexical.build_index(cat, "commodity_code", "corpus"))
     t = lexical.bm25_topk(view(spark, sf, "products_gate"), "product_id", "description", idx, k)
     return t.select(F.col("query_id").alias("product_id"), F.col("rank").cast("int").alias("rank"),
                     F.col("doc_id").alias("commodity_code"), "score")
@@ -70,7 +70,7 @@ gate AS (SELECT g0.product_id, g0.description, g0.truth_name,
 def per_product_sql(conf: str = "1.0", thr: float = E.THRESHOLD, match_names: bool = False) -> str:
     hit = "commodity_code = true_code"
     if match_names:
-        hit = f"({hit} OR lower(trim(pred_name)) = lower(trim(truth_name)))"
+        hit = f"({hit} OR {O.join_key('pred_name')} = {O.join_key('truth_name')})"
     lvl = ",\n".join(
         f"max(CASE WHEN rank <= {k} AND {col} = true_{lv} THEN 1 ELSE 0 END) AS {lv}_hit_{k}"
         for k in KS for lv, col in E.LEVELS)
@@ -248,25 +248,12 @@ def e_metrics_row(spark, sf):
     return _round_metrics(m)
 
 
-def metric_order():
-    names = ["total_evaluated", "skipped", "no_predictions", "all_filtered", "predictions_filtered",
-             "confidence_threshold", "mrr"]
-    for k in KS:
-        names += [f"accuracy_at_{k}", f"precision_at_{k}", f"ndcg_at_{k}", f"segment_match_at_{k}",
-                  f"family_match_at_{k}", f"class_match_at_{k}", f"insufficient_at_{k}"]
-    return names
-
-
 @register("e_metrics_long", views=VIEWS, sql=_METRICS + "\n" + "\nUNION ALL ".join(
     f"SELECT {i + 1} AS ord, '{n}' AS metric, {O.round6(f'CAST({n} AS DOUBLE)')} AS value FROM mrow"
-    for i, n in enumerate(metric_order())))
+    for i, n in enumerate(E.display_order())))
 def e_metrics_long(spark, sf):
     """Metrics in display order as (ord, metric, value)."""
-    m = e_metrics_row(spark, sf)
-    names = metric_order()
-    long = m.select(*[F.col(n).cast("double").alias(n) for n in names]).unpivot([], names, "metric", "value")
-    order = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i + 1))])
-    return long.select(F.element_at(order, F.col("metric")).alias("ord"), "metric", r6("value").alias("value"))
+    return E.metrics_long(e_metrics_row(spark, sf)).withColumn("value", r6("value"))
 
 
 @register("e_invariants", views=VIEWS, sql=_METRICS + """
@@ -278,73 +265,49 @@ SELECT segment_match_at_1 >= accuracy_at_1 AS segment_ge_accuracy,
 FROM mrow""")
 def e_invariants(spark, sf):
     """P10 and the SURVEY §5 invariants as boolean columns of the metrics row."""
-    m = e_metrics_row(spark, sf)
-    c = F.col
-    return m.select(
-        (c("segment_match_at_1") >= c("accuracy_at_1")).alias("segment_ge_accuracy"),
-        ((c("class_match_at_5") <= c("family_match_at_5")) & (c("family_match_at_5") <= c("segment_match_at_5")))
-        .alias("levels_nested"),
-        ((c("accuracy_at_1") <= c("accuracy_at_5")) & (c("accuracy_at_5") <= c("accuracy_at_10"))).alias(
-            "accuracy_monotone"),
-        (F.abs(c("precision_at_5") - c("accuracy_at_5") / 5) < 1e-4).alias("precision_is_accuracy_over_k"),
-        (F.abs(c("ndcg_at_1") - c("accuracy_at_1")) < 1e-4).alias("ndcg1_is_accuracy1"),
-    )
+    return E.invariants(e_metrics_row(spark, sf))
 
 
 # ---------------------------------------------------------------- E17 error analysis
 
-def errors_long(spark, sf, top_k=5, max_errors=20):
-    cat = view(spark, sf, "catalog")
-    g = E.gate(view(spark, sf, "products_gate"), cat).filter(F.col("status") == "evaluated")
-    preds = E.threshold(lex_preds(spark, sf)).filter(F.col("rank") <= top_k)
-    has = preds.select("product_id").distinct()
-    hit = preds.join(g.select("product_id", "true_code"), "product_id").filter(
-        F.col("commodity_code") == F.col("true_code")).select("product_id").distinct()
-    miss = g.join(has, "product_id", "left_semi").join(hit, "product_id", "left_anti")
-    first = miss.orderBy("product_id").limit(max_errors)
-    h = E.code_hierarchy(cat)
-    rows = first.join(preds, "product_id").join(
-        h.select("commodity_code", F.col("commodity_name").alias("pred_name"), F.col("class_name").alias("pred_class")),
-        "commodity_code", "left")
-    return rows.select(
-        "product_id", "description", F.col("true_code"), F.col("true_name"), F.col("true_class"),
-        F.col("true_family"), "rank", F.col("commodity_code").alias("code"),
-        F.coalesce("pred_name", F.lit("Unknown")).alias("name"), F.lit(0.0).alias("confidence"),
-        F.coalesce("pred_class", F.lit("Unknown")).alias("class"))
-
-
-@register("e_errors", views=VIEWS, sql="WITH " + _LEX_PREDS_SQL.strip() + "," + gate_sql().rstrip() + """,
-ev AS (SELECT * FROM gate WHERE status = 'evaluated'),
+def errors_long(spark, sf):
+    return E.error_analysis(view(spark, sf, "products_gate"), lex_preds(spark, sf), view(spark, sf, "catalog"))
+
+
+def errors_sql(preds: str) -> str:
+    """Rows of E17 for the predictions that the CTEs ``preds`` define."""
+    return "WITH " + preds.strip() + "," + gate_sql().rstrip() + """,
+evd AS (SELECT * FROM gate WHERE status = 'evaluated'),
 p5 AS (SELECT * FROM preds WHERE rank <= 5),
-miss AS (SELECT ev.* FROM ev WHERE product_id IN (SELECT product_id FROM p5)
-         AND product_id NOT IN (SELECT p5.product_id FROM p5 JOIN ev e2 ON e2.product_id = p5.product_id
+miss AS (SELECT evd.* FROM evd WHERE product_id IN (SELECT product_id FROM p5)
+         AND product_id NOT IN (SELECT p5.product_id FROM p5 JOIN evd e2 ON e2.product_id = p5.product_id
                                 WHERE p5.commodity_code = e2.true_code)),
 firstm AS (SELECT * FROM miss ORDER BY product_id LIMIT 20)
 SELECT f.product_id, f.description, f.true_code, f.true_name, f.true_class, f.true_family, p5.rank,
        p5.commodity_code AS code, coalesce(ch.commodity_name, 'Unknown') AS name, CAST(0.0 AS DOUBLE) AS confidence,
        coalesce(ch.class_name, 'Unknown') AS class
-FROM firstm f JOIN p5 ON p5.product_id = f.product_id LEFT JOIN ch ON ch.commodity_code = p5.commodity_code""")
+FROM firstm f JOIN p5 ON p5.product_id = f.product_id LEFT JOIN ch ON ch.commodity_code = p5.commodity_code"""
+
+
+@register("e_errors", views=VIEWS, sql=errors_sql(_LEX_PREDS_SQL))
 def e_errors(spark, sf):
     """E17 long form: one row per (error product, prediction)."""
     return errors_long(spark, sf)
 
 
-@register("e_errors_nested")
+@register("e_errors_nested", views=VIEWS, sql=errors_sql(_LEX_PREDS_SQL))
 def e_errors_nested(spark, sf):
-    """E17 nested form: the reference's error record with predictions as array<struct>."""
-    e = errors_long(spark, sf)
-    rec = F.struct("rank", "code", "name", "confidence", "class")
-    return e.groupBy("product_id", "description", "true_code", "true_name", "true_class", "true_family").agg(
-        F.transform(F.array_sort(F.collect_list(rec)), lambda r: F.struct(
-            r["code"].alias("code"), r["name"].alias("name"), r["confidence"].alias("confidence"),
-            r["class"].alias("class"))).alias("predictions"))
+    """E17 nested form, flattened again for the comparison."""
+    nested = E.nest_errors(errors_long(spark, sf))
+    flat = nested.select(*[c for c in nested.columns if c != "predictions"], F.posexplode("predictions").alias("rank", "p"))
+    return flat.select(*[c for c in nested.columns if c != "predictions"], (F.col("rank") + 1).alias("rank"), "p.*")
 
 
 # ---------------------------------------------------------------- E14, E15 over the query table
 
 def _query_lex(spark, sf):
     cat = _cat(spark, sf)
-    idx = lexical.build_index(cat, "commodity_code", "corpus")
+    idx = lexical.store_index(lexical.build_index(cat, "commodity_code", "corpus"))
     t = lexical.bm25_topk(view(spark, sf, "search_queries"), "query_id", "search_query", idx, 10)
     return t.join(cat.select(F.col("commodity_code").alias("doc_id"), F.col("commodity_name").alias("pred_name"),
                              "segment_name", "family_name", "class_name"), "doc_id")
@@ -352,13 +315,13 @@ def _query_lex(spark, sf):
 
 _QLEX = f"""WITH cat AS (SELECT *, {O.corpus()} AS corpus FROM catalog),
 {O.bm25_ctes("cat", "commodity_code", "corpus", "search_queries", "query_id", "search_query", prefix="s_").strip()},
-top AS (SELECT t.query_id, t.rk, c.commodity_name AS pred_name, c.segment_name, c.family_name, c.class_name FROM (
+top AS (SELECT t.query_id, t.doc_id, t.rk, c.commodity_name AS pred_name, c.segment_name, c.family_name, c.class_name FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rk FROM s_scores) t
   JOIN cat c ON c.commodity_code = t.doc_id WHERE t.rk <= 10)"""
 
 
 @register("e_text_label", views=("catalog", "search_queries"), sql=_QLEX + f""",
-h AS (SELECT s.query_id, min(CASE WHEN lower(trim(top.pred_name)) = lower(trim(s.commodity_name)) THEN top.rk END) AS hr
+h AS (SELECT s.query_id, min(CASE WHEN {O.join_key("top.pred_name")} = {O.join_key("s.commodity_name")} THEN top.rk END) AS hr
       FROM search_queries s LEFT JOIN top ON top.query_id = s.query_id GROUP BY s.query_id)
 SELECT {O.round6("avg(CASE WHEN hr <= 1 THEN 1.0 ELSE 0.0 END)")} AS accuracy_at_1,
        {O.round6("avg(CASE WHEN hr <= 5 THEN 1.0 ELSE 0.0 END)")} AS accuracy_at_5,
@@ -367,14 +330,8 @@ SELECT {O.round6("avg(CASE WHEN hr <= 1 THEN 1.0 ELSE 0.0 END)")} AS accuracy_at
        {O.round6("avg(CASE WHEN hr <= 5 THEN 1.0 ELSE 0.0 END)")} AS recall_at_5 FROM h""")
 def e_text_label(spark, sf):
     """Lean metrics over the query table, relevance = label text equals predicted name."""
-    q = view(spark, sf, "search_queries")
-    t = _query_lex(spark, sf)
-    same = F.lower(F.trim("pred_name")) == F.lower(F.trim("commodity_name"))
-    h = q.join(t, "query_id", "left").groupBy("query_id").agg(F.min(F.when(same, F.col("rank"))).alias("hr"))
-    hk = lambda k: F.when(F.col("hr") <= k, 1.0).otherwise(0.0)
-    return h.agg(r6(F.avg(hk(1))).alias("accuracy_at_1"), r6(F.avg(hk(5))).alias("accuracy_at_5"),
-                 r6(F.avg(hk(10))).alias("accuracy_at_10"), r6(F.avg(hk(5) / 5)).alias("precision_at_5"),
-                 r6(F.avg(hk(5))).alias("recall_at_5"))
+    m = E.text_label_metrics(view(spark, sf, "search_queries"), _query_lex(spark, sf))
+    return m.select(*[r6(c).alias(c) for c in m.columns])
 
 
 @register("e_level5", views=("catalog", "search_queries"), sql=_QLEX + f""",
@@ -390,21 +347,29 @@ SELECT {O.round6("avg(seg)")} AS segment_at_5, {O.round6("avg(fam)")} AS family_
        {O.round6("avg(cls)")} AS class_at_5 FROM h""")
 def e_level5(spark, sf):
     """Hierarchy accuracy @5, truth levels looked up in the catalog by the label name."""
-    q = view(spark, sf, "search_queries")
-    truth = H.reverse_lookup(view(spark, sf, "catalog")).select(
-        "commodity_name", F.col("segment_name").alias("ts"), F.col("family_name").alias("tf"),
-        F.col("class_name").alias("tc"))
-    t = _query_lex(spark, sf)
-    j = q.join(truth, "commodity_name", "left").join(t, "query_id", "left")
-    top5 = F.col("rank") <= 5
-
-    def m(a, b):
-        return F.coalesce(F.max(F.when(top5 & (F.col(a) == F.col(b)), 1).otherwise(0)), F.lit(0))
-
-    h = j.groupBy("query_id").agg(m("segment_name", "ts").alias("seg"), m("family_name", "tf").alias("fam"),
-                                  m("class_name", "tc").alias("cls"))
-    return h.agg(r6(F.avg("seg")).alias("segment_at_5"), r6(F.avg("fam")).alias("family_at_5"),
-                 r6(F.avg("cls")).alias("class_at_5"))
+    truth = H.reverse_lookup(view(spark, sf, "catalog"))
+    m = E.level_accuracy(view(spark, sf, "search_queries"), _query_lex(spark, sf), truth)
+    return m.select(*[r6(c).alias(c) for c in m.columns])
+
+
+@register("e_graded_ndcg", views=("catalog", "search_queries"), sql=_QLEX + f""",
+gr AS (SELECT s.query_id, c.commodity_code AS doc_id, CASE WHEN c.commodity_name = s.commodity_name THEN 3 ELSE 1 END AS grade
+       FROM search_queries s JOIN catalog t ON t.commodity_name = s.commodity_name
+       JOIN catalog c ON c.class_name = t.class_name),
+idl AS (SELECT query_id, sum(CASE WHEN r <= 5 THEN grade / log2(r + 1.0) ELSE 0.0 END) AS best FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY grade DESC, doc_id) AS r FROM gr) GROUP BY query_id),
+got AS (SELECT gr.query_id, sum(CASE WHEN top.rk <= 5 THEN grade / log2(top.rk + 1.0) ELSE 0.0 END) AS dcg
+        FROM gr JOIN top ON top.query_id = gr.query_id AND top.doc_id = gr.doc_id GROUP BY gr.query_id)
+SELECT idl.query_id, {O.round6("coalesce(dcg, 0.0)")} AS dcg_5, {O.round6("coalesce(dcg, 0.0) / best")} AS ndcg_5
+FROM idl LEFT JOIN got USING (query_id)""")
+def e_graded_ndcg(spark, sf):
+    """E8 graded: the true commodity gains 3, others of its class 1."""
+    cat, q = view(spark, sf, "catalog"), view(spark, sf, "search_queries").select("query_id", "commodity_name")
+    of = q.join(cat.select("commodity_name", "class_name"), "commodity_name")
+    grades = of.join(cat.select("class_name", F.col("commodity_code").alias("doc_id"), F.col("commodity_name").alias("name")), "class_name")
+    grades = grades.select("query_id", "doc_id", F.when(F.col("name") == F.col("commodity_name"), 3).otherwise(1).alias("grade"))
+    m = E.graded_ndcg(_query_lex(spark, sf), grades, ks=(5,))
+    return m.select("query_id", r6("dcg_5").alias("dcg_5"), r6("ndcg_5").alias("ndcg_5"))
 
 
 # ---------------------------------------------------------------- full classifier metrics
@@ -425,6 +390,15 @@ def e_metrics_classify(spark, sf):
     return _round_metrics(E.metrics_row(p, preds, cat))
 
 
+@register("e_errors_classify", views=VIEWS, sql=errors_sql(_CLS.strip() + """,
+preds0 AS (SELECT query_id AS product_id, CAST(rank AS INTEGER) AS rank, commodity_code FROM preds WHERE rank <= 10)""").replace(
+    "SELECT * FROM preds WHERE rank <= 5", "SELECT * FROM preds0 WHERE rank <= 5"))
+def e_errors_classify(spark, sf):
+    """E17 over the full classifier's predictions."""
+    p, cat = view(spark, sf, "products_gate"), view(spark, sf, "catalog")
+    return E.error_analysis(p, C.classify_batch(p, cat), cat)
+
+
 # ---------------------------------------------------------------- H3-H7 routing on fused candidates
 
 def _fused(spark, sf):
@@ -489,5 +463,3 @@ FROM segs LEFT JOIN reach ON reach.segment_name = segs.seg GROUP BY segs.query_i
 def h_closure_size(spark, sf):
     return H.closure_size(H.evidence(_fused(spark, sf)), view(spark, sf, "catalog"))
 
-
-__all__ = ["name_key"]

@@ -18,7 +18,7 @@ def r6(c):
 
 
 def doc_index(spark, sf):
-    return lexical.build_index(view(spark, sf, "doc_catalog"), "doc_id", "text")
+    return lexical.store_index(lexical.build_index(view(spark, sf, "doc_catalog"), "doc_id", "text"))
 
 
 def catalog_with_corpus(spark, sf, name="catalog"):
@@ -73,7 +73,7 @@ WHERE rank <= 10
 """)
 def r_bm25_name_only(spark, sf):
     cat = view(spark, sf, "catalog")
-    idx = lexical.build_index(cat, "commodity_code", "commodity_name", tokenizer=lexical.split_tokens)
+    idx = lexical.store_index(lexical.build_index(cat, "commodity_code", "commodity_name", tokenizer=lexical.split_tokens))
     top = lexical.bm25_topk(view(spark, sf, "search_queries"), "query_id", "search_query", idx, 10,
                             tokenizer=lexical.split_tokens)
     return top.select("query_id", F.col("doc_id").alias("commodity_code"), r6("score").alias("score"),
@@ -151,7 +151,7 @@ def r_knn_topk(spark, sf):
 SELECT query_id, doc_id, {O.round6("distance")} AS distance, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 25
 """)
 def r_knn_block(spark, sf):
-    # Small blocks force many (query block, catalog block) cells: the scale form of R5.
+    # Small blocks and slices force many cells.
     e = table(spark, sf, "embeddings")
     t = vectors.knn(e, e, 25, qid="vec_id", cid="vec_id", exclude_self=True, query_block_rows=64,
                     catalog_block_rows=96)

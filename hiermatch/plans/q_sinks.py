@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import classify as C
-from ..operators import training as G
 from ..sources import readers, sinks
 from ..sources.views import view
 from . import oracle as O
@@ -17,7 +16,7 @@ from .registry import register
 @register("s_csv_roundtrip", views=("products",), sql="""
 SELECT description, commodity_name FROM products""")
 def s_csv_roundtrip(spark, sf):
-    """S3 reader over a CSV written with RFC-4180 quoting (S1-S3 share the reader)."""
+    """S3: product CSV written with RFC-4180 quoting and read back."""
     p = view(spark, sf, "products").select(
         F.col("description").alias("Original Description"), F.col("commodity_name").alias("UNSPSC Commodity Name"))
     path = sinks.scratch_path(spark, "products-csv")
@@ -25,6 +24,17 @@ def s_csv_roundtrip(spark, sf):
     return readers.read_products(spark, path).select("description", "commodity_name")
 
 
+@register("s_queries_csv", views=("search_queries",), sql="""
+SELECT search_query, commodity_name FROM search_queries""")
+def s_queries_csv(spark, sf):
+    """Search queries, columns in another order than the reader's, read back by header name."""
+    q = view(spark, sf, "search_queries").select(
+        F.col("commodity_name").alias("UNSPSC Commodity Name"), F.col("search_query").alias("Search Query"))
+    path = sinks.scratch_path(spark, "queries-csv")
+    sinks.write_csv(q, path)
+    return readers.read_queries(spark, path).select("search_query", "commodity_name")
+
+
 @register("s_catalog_csv", views=("catalog",), sql=f"""
 SELECT commodity_code, commodity_name, {O.corpus()} AS corpus FROM catalog""")
 def s_catalog_csv(spark, sf):
@@ -41,14 +51,15 @@ def s_catalog_csv(spark, sf):
 
 
 @register("s_vector_table", views=("catalog",), sql=f"""
-SELECT commodity_code AS doc_id, {O.corpus()} AS corpus, segment_name, 64 AS dim FROM catalog""")
+SELECT commodity_code AS doc_id, {O.corpus()} AS corpus, segment_name, list_transform({O.l2norm_sql("c")}, lambda x: round(x, 6) + 0.0) AS embedding
+FROM (SELECT *, {O.hash_embed(O.corpus(), 64)} AS c FROM catalog)""")
 def s_vector_table(spark, sf):
     """S4 + S5: build the vector table as parquet, load it back."""
     path = sinks.scratch_path(spark, "vectors")
     sinks.build_vector_table(C.with_corpus(view(spark, sf, "catalog")), path)
     t = readers.load_vector_table(spark, path)
     return t.select("doc_id", "corpus", F.col("metadata.segment_name").alias("segment_name"),
-                    F.size("embedding").alias("dim"))
+                    F.transform("embedding", lambda x: F.round(x, 6) + F.lit(0.0)).alias("embedding"))
 
 
 _TRIPLE_SCHEMA = T.StructType([T.StructField(n, t) for n, t in (
@@ -90,24 +101,26 @@ def s_json_mined(spark, sf):
     return spark.read.schema(schema).json(path)
 
 
-@register("s_predictions_csv", views=q_evaluate.VIEWS, sql="WITH " + q_evaluate._LEX_PREDS_SQL.strip() + """
-SELECT p.product_id, count(pr.rank) AS n_predictions, min(CASE WHEN pr.rank = 1 THEN pr.commodity_code END) AS top_code
-FROM products_gate p LEFT JOIN preds pr ON pr.product_id = p.product_id GROUP BY p.product_id""")
+@register("s_predictions_csv", views=q_evaluate.VIEWS, sql="WITH " + q_evaluate._LEX_PREDS_SQL.strip() + f"""
+SELECT p.product_id, p.description, p.commodity_name AS ground_truth, pr.rank, pr.commodity_code, c.commodity_name,
+       {O.round6("pr.score")} AS score, c.segment_name AS segment, c.family_name AS family, c.class_name AS class, false AS in_hierarchy
+FROM products_gate p LEFT JOIN preds pr ON pr.product_id = p.product_id LEFT JOIN catalog c ON c.commodity_code = pr.commodity_code
+WHERE p.product_id > 0""")
 def s_predictions_csv(spark, sf):
-    """Nested predictions -> CSV (``to_json`` column) -> parsed back."""
-    preds = q_evaluate.lex_preds(spark, sf).select(
-        "product_id", "rank", "commodity_code", F.lit(None).cast("string").alias("commodity_name"), "score",
-        F.lit(None).cast("string").alias("segment"), F.lit(None).cast("string").alias("family"),
-        F.lit(None).cast("string").alias("class"), F.lit(False).alias("in_hierarchy"))
-    nested = C.nest(preds, view(spark, sf, "products_gate"))
+    """Nested predictions -> CSV (``to_json`` column) -> whole records parsed back (the gate's edge rows,
+    which have negative ids, hold empty strings that CSV cannot tell from null)."""
+    cat = view(spark, sf, "catalog").select(
+        "commodity_code", "commodity_name", F.col("segment_name").alias("segment"), F.col("family_name").alias("family"),
+        F.col("class_name").alias("class"), F.lit(False).alias("in_hierarchy"))
+    nested = C.nest(q_evaluate.lex_preds(spark, sf).join(cat, "commodity_code"), view(spark, sf, "products_gate"))
     path = sinks.scratch_path(spark, "predictions")
     sinks.write_predictions_csv(nested, path)
     back = spark.read.schema("product_id long, description string, top_k_predictions string, ground_truth string") \
-        .option("header", True).option("escape", '"').option("multiLine", True).csv(path)
-    arr = F.from_json("top_k_predictions", "array<struct<rank:int,commodity_code:long>>")
-    return back.select(
-        "product_id", F.size(arr).cast("long").alias("n_predictions"),
-        F.try_element_at(F.filter(arr, lambda r: r["rank"] == 1), F.lit(1))["commodity_code"].alias("top_code"))
+        .option("header", True).option("escape", '"').option("multiLine", True).csv(path).where("product_id > 0")
+    rec = "array<struct<rank:int,commodity_code:long,commodity_name:string,score:double,segment:string,family:string,class:string,in_hierarchy:boolean>>"
+    rows = back.select("product_id", "description", "ground_truth", F.explode_outer(F.from_json("top_k_predictions", rec)).alias("p"))
+    return rows.select("product_id", "description", "ground_truth", "p.*").withColumn("score", F.round("score", 6) + F.lit(0.0)).withColumn(
+        "in_hierarchy", F.coalesce("in_hierarchy", F.lit(False)))
 
 
 @register("s_metrics_csv", views=q_evaluate.VIEWS, sql=q_evaluate._METRICS + "\nSELECT * FROM mrow")
@@ -118,5 +131,3 @@ def s_metrics_csv(spark, sf):
     sinks.write_metrics_csv(m, path)
     return spark.read.schema(m.schema).option("header", True).csv(path)
 
-
-__all__ = ["G"]

@@ -74,30 +74,41 @@ def p_corpus_stats(spark, sf):
 
 _COVER_SIDE = """
 SELECT '{side}' AS side, count(*) AS distinct_names,
-       count(*) FILTER (WHERE k IN (SELECT lower(trim(commodity_name)) FROM catalog)) AS matched
-FROM (SELECT DISTINCT lower(trim(commodity_name)) AS k FROM {view} WHERE commodity_name IS NOT NULL)"""
+       count(*) FILTER (WHERE k IN (SELECT {key} FROM catalog)) AS matched
+FROM (SELECT DISTINCT {key} AS k FROM {view} WHERE commodity_name IS NOT NULL)"""
 
 
 @register("p_key_coverage", views=("catalog", "products_gate", "search_queries"), sql=f"""
 SELECT side, distinct_names, matched,
        {O.round6("CASE WHEN distinct_names > 0 THEN matched / distinct_names * 100.0 END")} AS match_rate,
        distinct_names - matched AS missing FROM (
-{_COVER_SIDE.format(side="products", view="products_gate")}
-UNION ALL {_COVER_SIDE.format(side="queries", view="search_queries")})""")
+{_COVER_SIDE.format(side="products", view="products_gate", key=O.join_key("commodity_name"))}
+UNION ALL {_COVER_SIDE.format(side="queries", view="search_queries", key=O.join_key("commodity_name"))})""")
 def p_key_coverage(spark, sf):
     cov = P.key_coverage(view(spark, sf, "catalog"), {"products": view(spark, sf, "products_gate"),
                                                       "queries": view(spark, sf, "search_queries")})
     return cov.select("side", "distinct_names", "matched", r6("match_rate").alias("match_rate"), "missing")
 
 
-@register("p_missing_keys", views=("catalog", "products_gate"), sql="""
-SELECT DISTINCT lower(trim(commodity_name)) AS missing_name FROM products_gate
+@register("p_missing_keys", views=("catalog", "products_gate"), sql=f"""
+SELECT DISTINCT {O.join_key("commodity_name")} AS missing_name FROM products_gate
 WHERE commodity_name IS NOT NULL
-  AND lower(trim(commodity_name)) NOT IN (SELECT lower(trim(commodity_name)) FROM catalog)""")
+  AND {O.join_key("commodity_name")} NOT IN (SELECT {O.join_key("commodity_name")} FROM catalog)""")
 def p_missing_keys(spark, sf):
     return P.missing_keys(view(spark, sf, "catalog"), view(spark, sf, "products_gate"))
 
 
+@register("p_compatibility", views=("catalog", "products_gate"), sql=f"""
+SELECT count(*) AS total_products, count(DISTINCT k) AS distinct_names,
+       count(DISTINCT k) FILTER (WHERE k IN (SELECT {O.join_key("commodity_name")} FROM catalog)) AS matched,
+       count(DISTINCT k) FILTER (WHERE k NOT IN (SELECT {O.join_key("commodity_name")} FROM catalog)) AS missing,
+       {O.round6("count(DISTINCT k) FILTER (WHERE k IN (SELECT " + O.join_key("commodity_name") + " FROM catalog)) / count(DISTINCT k) * 100.0")} AS match_rate
+FROM (SELECT {O.join_key("commodity_name")} AS k FROM products_gate)""")
+def p_compatibility(spark, sf):
+    r = P.compatibility_report(view(spark, sf, "catalog"), view(spark, sf, "products_gate"))
+    return r.withColumn("match_rate", r6("match_rate"))
+
+
 @register("p_preview", views=("products",), sql="""
 SELECT product_id, description FROM products ORDER BY product_id LIMIT 5""")
 def p_preview(spark, sf):
@@ -121,8 +132,8 @@ def t_corpus(spark, sf):
                     .alias("corpus"))
 
 
-@register("t_key", views=("products_gate",), sql="""
-SELECT product_id, lower(trim(commodity_name)) AS name_key FROM products_gate""")
+@register("t_key", views=("products_gate",), sql=f"""
+SELECT product_id, {O.join_key("commodity_name")} AS name_key FROM products_gate""")
 def t_key(spark, sf):
     return view(spark, sf, "products_gate").select("product_id", TX.join_key("commodity_name").alias("name_key"))
 

@@ -32,12 +32,12 @@ def _pool_sql(name: str, group: str) -> str:
 _OFFSET = f"((('0x' || substr(md5('{SEED}|' || CAST(q.query_id AS VARCHAR)), 1, 8))::BIGINT) % p.group_size)"
 
 _BASE = f"""WITH cat AS (SELECT *, {O.corpus()} AS corpus FROM catalog),
-ntc AS (SELECT lower(trim(commodity_name)) AS truth_key, arg_max(corpus, commodity_code) AS positive
-        FROM cat GROUP BY lower(trim(commodity_name))),
+ntc AS (SELECT {O.join_key("commodity_name")} AS truth_key, arg_max(corpus, commodity_code) AS positive
+        FROM cat GROUP BY {O.join_key("commodity_name")}),
 frl AS (SELECT lower(commodity_name) AS truth_key, arg_min(segment_name, commodity_code) AS true_segment,
                arg_min(family_name, commodity_code) AS true_family FROM cat GROUP BY lower(commodity_name)),
-qs AS (SELECT s.query_id, s.search_query AS query_text, lower(trim(s.commodity_name)) AS truth_key, ntc.positive
-       FROM search_queries s JOIN ntc ON ntc.truth_key = lower(trim(s.commodity_name))
+qs AS (SELECT s.query_id, s.search_query AS query_text, {O.join_key("s.commodity_name")} AS truth_key, ntc.positive
+       FROM search_queries s JOIN ntc ON ntc.truth_key = {O.join_key("s.commodity_name")}
        WHERE ntc.positive IS NOT NULL AND ntc.positive <> ''),
 {_pool_sql("fam", "family_name")},
 {_pool_sql("seg", "segment_name")},
@@ -92,8 +92,8 @@ def g_pairs(spark, sf):
 
 @register("g_name_lookup", views=("catalog",), sql=f"""
 WITH cat AS (SELECT *, {O.corpus()} AS corpus FROM catalog)
-SELECT lower(trim(commodity_name)) AS truth_key, arg_max(corpus, commodity_code) AS positive
-FROM cat GROUP BY lower(trim(commodity_name))""")
+SELECT {O.join_key("commodity_name")} AS truth_key, arg_max(corpus, commodity_code) AS positive
+FROM cat GROUP BY {O.join_key("commodity_name")}""")
 def g_name_lookup(spark, sf):
     return G.name_to_corpus(_cat(spark, sf))
 
@@ -109,7 +109,7 @@ hits AS (SELECT query_id, doc_id, rk FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), doc_id) AS rk FROM dist) WHERE rk <= 50),
 h AS (SELECT s.search_query AS query, s.commodity_name AS positive, c.corpus, hits.rk, hits.query_id
       FROM hits JOIN search_queries s ON s.query_id = hits.query_id JOIN cat c ON c.commodity_code = hits.doc_id
-      WHERE lower(trim(c.commodity_name)) IS DISTINCT FROM lower(trim(s.commodity_name))),
+      WHERE {O.join_key("c.commodity_name")} IS DISTINCT FROM {O.join_key("s.commodity_name")}),
 fs AS (SELECT query, positive, corpus, min(rk) AS rk FROM h GROUP BY query, positive, corpus),
 top AS (SELECT *, row_number() OVER (PARTITION BY query, positive ORDER BY rk, corpus) AS k FROM fs)
 SELECT query, positive, list(corpus ORDER BY k) AS negatives FROM top WHERE k <= 5 GROUP BY query, positive"""

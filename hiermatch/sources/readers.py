@@ -1,8 +1,8 @@
 """Readers (S1-S3, S5) with explicit schemas.
 
-The reference's CSV files are RFC-4180: fields hold doubled quotes, so the
-escape character must be the quote itself (Spark's default backslash escape
-mis-parses such rows).  Headers are mapped to snake_case column names.
+The CSV files are RFC-4180: fields hold doubled quotes, so the escape character must be the quote itself
+(Spark's default backslash escape mis-parses such rows).  Columns are taken by header name, whatever their
+order, and mapped to snake_case; every file of a folder must have the same header.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import corpus
+from ..operators.position import ROW_POS
 
 CATALOG_HEADER = (
     ("Segment Code", "segment_code", T.LongType()),
@@ -28,34 +29,44 @@ QUERIES_HEADER = (("Search Query", "search_query", T.StringType()),
 PRODUCTS_HEADER = (("Original Description", "description", T.StringType()),
                    ("UNSPSC Commodity Name", "commodity_name", T.StringType()))
 
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true", "mode": "FAILFAST"}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST", "enforceSchema": "false"}
 
 
-def _read_csv(spark: SparkSession, path: str, header) -> DataFrame:
-    schema = T.StructType([T.StructField(src, t, True) for src, _, t in header])
-    df = spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
-    return df.select(*[F.col(f"`{src}`").alias(dst) for src, dst, _ in header])
+def _read_csv(spark: SparkSession, path: str, header, multi_line: bool) -> DataFrame:
+    """The columns of ``header`` by name, plus ``row_pos``: (file, start of the part of it, row number there),
+    which orders the rows as the files have them.
+
+    Without ``multi_line`` large files are split over tasks; a quoted line break then fails the read.  With
+    it each file is one task.
+    """
+    df = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
+    missing = [src for src, _, _ in header if src not in df.columns]
+    if missing:
+        raise ValueError(f"{path}: no column {', '.join(missing)}; it has {', '.join(df.columns)}")
+    pos = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                   F.monotonically_increasing_id().alias("nth"))
+    return df.select(*[F.col(f"`{src}`").cast(t).alias(dst) for src, dst, t in header], pos.alias(ROW_POS))
 
 
 def _with_row_id(df: DataFrame, name: str) -> DataFrame:
-    """Stable row id in file order: (input file, byte-ordered position within the file's partition)."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+    """A row id from the row's position, the same in every read of the same files."""
+    return df.withColumn(name, F.xxhash64(f"{ROW_POS}.file", f"{ROW_POS}.start", f"{ROW_POS}.nth"))
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
+def read_catalog(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Catalog CSV plus the derived ``corpus`` (null when any level name is null)."""
-    df = _read_csv(spark, path, CATALOG_HEADER)
+    df = _read_csv(spark, path, CATALOG_HEADER, multi_line)
     return df.withColumn("corpus", corpus("segment_name", "family_name", "class_name", "commodity_name"))
 
 
-def read_queries(spark: SparkSession, path: str) -> DataFrame:
+def read_queries(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Search-query CSV with a generated ``query_id``."""
-    return _with_row_id(_read_csv(spark, path, QUERIES_HEADER), "query_id")
+    return _with_row_id(_read_csv(spark, path, QUERIES_HEADER, multi_line), "query_id")
 
 
-def read_products(spark: SparkSession, path: str) -> DataFrame:
+def read_products(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """S3: product CSV with a generated ``product_id``."""
-    return _with_row_id(_read_csv(spark, path, PRODUCTS_HEADER), "product_id")
+    return _with_row_id(_read_csv(spark, path, PRODUCTS_HEADER, multi_line), "product_id")
 
 
 VECTOR_SCHEMA = T.StructType([

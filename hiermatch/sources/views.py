@@ -54,7 +54,7 @@ FROM part
 """
 
 # Products plus literal edge rows: null description, empty description,
-# null truth, truth absent from the catalog, truth with odd spacing/case.
+# null truth, truth absent from the catalog, truth with odd spacing/case, blanks other than the space.
 PRODUCTS_GATE_SQL = (
     PRODUCTS_SQL
     + """
@@ -63,6 +63,8 @@ UNION ALL SELECT CAST(-2 AS BIGINT), '', 'small ring 0'
 UNION ALL SELECT CAST(-3 AS BIGINT), 'RED WIDGET 12 GAL', CAST(NULL AS STRING)
 UNION ALL SELECT CAST(-4 AS BIGINT), 'RED WIDGET 12 GAL', 'no such commodity'
 UNION ALL SELECT CAST(-5 AS BIGINT), 'BLUE BOLT 5 GAL SMALL', '  Blue Bolt 2 '
+UNION ALL SELECT CAST(-6 AS BIGINT), 'SS\u00a0VLV 5 GAL\u3000SMALL', '\u00a0Blue Bolt 2\u3000'
+UNION ALL SELECT CAST(-7 AS BIGINT), 'SS\tVLV 5 GAL', '\tBlue Bolt 2\t '
 """
 )
 

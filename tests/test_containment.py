@@ -13,3 +13,9 @@ def test_contains_join_matches_brute_force(spark):
         got = {(r["item_id"], r["doc_id"]) for r in
                containment.contains_join(p, d, max_broadcast_bytes=bound).collect()}
         assert got == want
+
+
+def test_passage_with_line_break_takes_the_token_join(spark):
+    passages = spark.createDataFrame([(1, "one two\nthree four"), (2, "zz")], "item_id long, text string")
+    docs = spark.createDataFrame([(5, "x one two\nthree four y"), (6, "azzb"), (7, None)], "doc_id long, text string")
+    assert sorted(tuple(r) for r in containment.contains_join(passages, docs).collect()) == [(1, 5), (2, 6)]

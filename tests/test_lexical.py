@@ -1,6 +1,7 @@
-"""BM25 (R1-R3): hand formula vs the token-join form vs the blocked form."""
+"""BM25 (R1-R3): the pruned top-k against the formula."""
 
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -38,12 +39,11 @@ def py_bm25(docs, queries, k1=1.5, b=0.75, eps=0.25):
     return out
 
 
-@pytest.mark.parametrize("method", ["join", "blocked"])
-def test_bm25_matches_formula(spark, method):
+def test_bm25_matches_formula(spark):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     qs = spark.createDataFrame(QUERIES, "qid long, text string")
     idx = lexical.build_index(docs, "doc_id", "text", tokenizer=lexical.split_tokens)
-    got = lexical.bm25_topk(qs, "qid", "text", idx, k=10, tokenizer=lexical.split_tokens, method=method).collect()
+    got = lexical.bm25_topk(qs, "qid", "text", idx, k=10, tokenizer=lexical.split_tokens).collect()
     want = py_bm25(DOCS, QUERIES)
     assert {(r["query_id"], r["doc_id"]) for r in got} == set(want)
     for r in got:
@@ -63,22 +63,53 @@ def test_negative_idf_floor(spark):
     # 'steel' is in 3 of 5 docs: raw idf ln(2.5) - ln(3.5) < 0, floored to eps * mean idf.
     docs = spark.createDataFrame(DOCS, "doc_id long, text string")
     idx = lexical.build_index(docs, "doc_id", "text", tokenizer=lexical.split_tokens)
+    mean = idx.stats.first()["mean_idf"]
     row = idx.idf.filter(F.col("token") == "steel").first()
     assert row["df"] == 3
-    assert row["idf"] == pytest.approx(0.25 * idx.mean_idf)
-    assert idx.mean_idf > 0
+    assert row["idf"] == pytest.approx(0.25 * mean)
+    assert mean > 0
 
 
-def test_blocked_equals_join_on_catalog(spark, sf):
+def plain_topk(docs, queries, k):
+    by = {}
+    for (q, d), s in py_bm25(docs, queries).items():
+        by.setdefault(q, []).append((-round(s, 9), d))
+    return {(q, d, n + 1) for q, rows in by.items() for n, (_, d) in enumerate(sorted(rows)[:k])}
+
+
+@pytest.mark.parametrize("k", [1, 3, 10, 1000])
+def test_topk_prunes_exactly(spark, k):
+    """Hot tokens in nearly every document, string ids, repeated query tokens, few and many results."""
+    rng = random.Random(k)
+    rare = [f"r{i}" for i in range(60)]
+    common = ["brand", "the", "of", "steel"]
+    docs = [(f"d{i:03d}", " ".join([c for c in common if rng.random() < 0.95] + rng.choices(rare, k=rng.randint(0, 4)))) for i in range(300)]
+    queries = [(f"q{i}", " ".join(rng.choices(rare, k=rng.randint(0, 3)) + rng.choices(common, k=rng.randint(1, 4)))) for i in range(30)]
+    idx = lexical.build_index(spark.createDataFrame(docs, "doc_id string, text string"), "doc_id", "text", tokenizer=lexical.split_tokens)
+    qs = spark.createDataFrame(queries, "qid string, text string")
+    for index in (idx, lexical.store_index(idx)):
+        got = lexical.bm25_topk(qs, "qid", "text", index, k, tokenizer=lexical.split_tokens).collect()
+        assert {(r["query_id"], r["doc_id"], r["rank"]) for r in got} == plain_topk(docs, queries, k)
+
+
+def test_topk_with_negative_weights(spark):
+    # Every token is in most documents, so the mean idf and with it the floored idf are negative.
+    docs = [(i, "a b c" if i % 5 else "a b") for i in range(20)]
+    queries = [(1, "a b c"), (2, "c c"), (3, "a")]
+    idx = lexical.build_index(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", tokenizer=lexical.split_tokens)
+    got = lexical.bm25_topk(spark.createDataFrame(queries, "qid long, text string"), "qid", "text", idx, 4, tokenizer=lexical.split_tokens).collect()
+    assert {(r["query_id"], r["doc_id"], r["rank"]) for r in got} == plain_topk(docs, queries, 4)
+
+
+def test_topk_plan_has_no_python_and_no_pairs(spark, sf):
     from hiermatch.operators import classify as C
     from hiermatch.sources.views import view
 
-    c = C.with_corpus(view(spark, sf, "catalog"))
-    q = view(spark, sf, "products").select(F.col("product_id").alias("query_id"), "description")
-    idx = lexical.build_index(c, "commodity_code", "corpus")
-    cols = ["query_id", "doc_id", F.round("score", 6).alias("s"), "rank"]
-    a = lexical.bm25_topk(q, "query_id", "description", idx, 20, method="join").select(*cols)
-    # Tiny blocks force many cells and the cross-cell merge.
-    b = lexical.bm25_topk_blocked(q, "query_id", "description", idx, 20, query_block=16, doc_block=32).select(*cols)
-    assert a.count() > 0
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    idx = lexical.build_index(C.with_corpus(view(spark, sf, "catalog")), "commodity_code", "corpus")
+    plan = lexical.bm25_topk(view(spark, sf, "products"), "product_id", "description", idx, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "Python" not in plan and "CartesianProduct" not in plan
+
+
+def test_odd_blanks_split(spark):
+    df = spark.createDataFrame([("a\u00a0b\u3000c\td",)], "t string")
+    assert df.select(lexical.split_tokens("t")).first()[0] == ["a", "b", "c", "d"]

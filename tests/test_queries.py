@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from hiermatch.plans import ORACLES, QUERIES
 from hiermatch.sources.views import TABLES
 from tools.check_oracle import digest
 
@@ -15,6 +16,8 @@ DIFF = [
     "r_postings", "r_idf", "r_bm25_topk", "r_bm25_name_only", "r_knn_topk", "r_knn_block", "r_hybrid_fuse",
     "x_merge", "h_edges", "h_top_families", "h_boost", "c_classify_batch", "g_hard_triples", "g_pairs",
     "g_mined_triplets", "e_gate", "e_mrr", "e_metrics_row", "e_errors", "s_csv_roundtrip", "s_json_triples",
+    "p_compatibility", "p_missing_keys", "s_queries_csv", "s_vector_table", "s_predictions_csv", "c_nested", "c_prebuilt",
+    "e_errors_nested", "e_text_label", "e_level5", "e_graded_ndcg", "e_metrics_long", "e_invariants", "h_top_classes", "h_closure_size",
 ]
 
 
@@ -29,10 +32,9 @@ def con(sf):
 
 
 def test_every_query_has_a_callable_and_most_an_oracle():
-    qs, os_ = E.queries(), E.oracle_sql()
-    assert set(os_) <= set(qs)
-    assert len(qs) >= 90
-    assert set(qs) - set(os_) <= {"c_nested", "e_errors_nested", "r_knn_lsh"}
+    assert set(E.oracle_sql()) <= set(E.queries()) and set(QUERIES) <= set(E.queries())
+    assert len(QUERIES) >= 95
+    assert set(QUERIES) - set(ORACLES) <= {"r_knn_lsh"}
 
 
 @pytest.mark.parametrize("name", DIFF)
@@ -91,14 +93,47 @@ def test_pure_column_queries_stay_in_jvm(spark, sf, name):
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
-def test_scan_prunes_columns(spark, sf):
-    from pyspark.sql import functions as F
-    from hiermatch.sources.views import table
-
-    df = table(spark, sf, "part").select("p_partkey").filter(F.col("p_partkey") < 10)
-    p = _plan(df)
-    assert "PushedFilters: [IsNotNull(p_partkey), LessThan(p_partkey,10)]" in p
-    assert "ReadSchema: struct<p_partkey:" in p
+@pytest.mark.parametrize("name,table,columns", [
+    ("t_corpus", "part", {"p_partkey", "p_name", "p_brand", "p_type", "p_size"}), ("r_text_truth", "documents", {"doc_id", "text"}),
+    ("p_preview", "part", {"p_partkey", "p_name", "p_brand", "p_type", "p_size"})])
+def test_registered_scans_read_only_their_columns(spark, sf, name, table, columns):
+    import re
+
+    for line in _plan(E.queries()[name](spark, sf)).splitlines():
+        if f"/{table}.parquet" in line:
+            assert set(re.findall(r"(\w+):", line.split("ReadSchema: struct<")[1])) <= columns
+
+
+def test_evidence_of_another_width(spark, sf):
+    """H5, H6 take the number of counted names from the evidence table itself."""
+    from collections import Counter
+
+    from hiermatch.operators import hierarchy as H
+    from hiermatch.sources.views import view
+
+    for name, key in (("catalog", "name"), ("catalog_raw", "name"), ("catalog_raw", "path")):
+        cat = H.keyed(view(spark, sf, name), key)
+        rows = cat.collect()
+        cands = spark.createDataFrame([(q, p + 1, *(rows[(q * 37 + p * 11) % len(rows)][c] for c in ("segment_name", "family_name", "class_name")))
+                                       for q in range(20) for p in range(10)],
+                                      "query_id long, cand_pos int, segment_name string, family_name string, class_name string")
+        ev = H.evidence(cands, top=10)
+        fams, classes = {}, {}
+        for r in rows:
+            fams.setdefault(r.segment_name, set()).add(r.family_name)
+            classes.setdefault(r.family_name, set()).add(r.class_name)
+        want_f, want_c = set(), set()
+        by = {}
+        for c in cands.collect():
+            by.setdefault(c.query_id, []).append(c)
+        for q, cs in by.items():
+            segs, fc, cc = {c.segment_name for c in cs}, Counter(c.family_name for c in cs), Counter(c.class_name for c in cs)
+            f = {x for s in segs for x in fams.get(s, ())}
+            k = {x for y in f for x in classes.get(y, ())}
+            want_f |= {(q, x, fc[x], n + 1) for n, x in enumerate(sorted(f, key=lambda x: (-fc[x], x))[:5])}
+            want_c |= {(q, x, cc[x], n + 1) for n, x in enumerate(sorted(k, key=lambda x: (-cc[x], x))[:5])}
+        assert {tuple(r) for r in H.top_families(ev, cat).collect()} == want_f
+        assert {tuple(r) for r in H.top_classes(ev, cat).collect()} == want_c
 
 
 def test_metric_invariants(spark, sf):

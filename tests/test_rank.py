@@ -25,3 +25,33 @@ def test_rerank_is_stable_on_ties(spark):
     df = spark.createDataFrame([(1, 3, 0.5), (1, 1, 0.5), (1, 2, 0.9)], "query_id int, cand_pos int, cross_score double")
     got = [r["cand_pos"] for r in rank.rerank(df, 2).orderBy("rerank_pos").collect()]
     assert got == [2, 1]
+
+
+def test_minmax_ignores_the_last_bit(spark):
+    from pyspark.sql import functions as F
+
+    from hiermatch.operators import rank
+
+    df = spark.createDataFrame([(1, 0.1 + 0.2), (1, 0.3), (2, 1.0), (2, 3.0)], "query_id long, s double")
+    got = [r["m"] for r in df.select("query_id", "s", rank.minmax(F.col("s")).alias("m")).orderBy("query_id", "s").collect()]
+    assert got == [1.0, 1.0, 0.0, 1.0]
+
+
+def test_fuse_keeps_rows_without_text(spark):
+    from hiermatch.operators import rank
+
+    sem = spark.createDataFrame([(1, 10, 0.9, 1), (1, 11, 0.8, 2), (1, 12, 0.7, 3)], "query_id long, doc_id long, sem_score double, sem_rank int")
+    lex = spark.createDataFrame([(1, 13, 5.0, 1)], "query_id long, doc_id long, lex_score double, lex_rank int")
+    cat = spark.createDataFrame([(10, None), (11, None), (12, "same"), (13, "same")], "doc_id long, corpus string")
+    got = rank.fuse(sem, lex, cat).orderBy("cand_pos").collect()
+    assert [(r["doc_id"], r["sem_score"], r["lex_score"]) for r in got] == [(10, 0.9, 0.0), (11, 0.8, 0.0), (12, 0.7, 5.0)]
+    rows = rank.uniform_rows(rank.fuse(sem, lex, cat), ["corpus"], scores=False)
+    assert rows.columns == ["query_id", "doc_id", "cand_pos", "corpus"]
+
+
+def test_pluggable_pair_model(spark):
+    from hiermatch.operators import rank
+
+    df = spark.createDataFrame([(1, "ab", "abc"), (2, None, "x")], "id long, q string, d string")
+    got = rank.pair_scores_with(df, "q", "d", lambda: lambda qs, ds: [len(a) + len(b) for a, b in zip(qs, ds)]).orderBy("id").collect()
+    assert [r["cross_score"] for r in got] == [5.0, 1.0]

@@ -1,4 +1,4 @@
-"""Blocked exact k-NN vs numpy brute force; k larger than the catalog."""
+"""Clustered exact k-NN vs numpy brute force, and the approximate form's recall."""
 
 import numpy as np
 import pytest
@@ -37,3 +37,50 @@ def test_k_larger_than_catalog(spark):
     assert [(r["doc_id"], r["distance"], r["rank"]) for r in got] == [(7, 1.0, 1), (8, 4.0, 2)]
     sim = q.select(vectors.similarity(F.lit(1.0)).alias("s"), vectors.relevance(F.lit(0.0)).alias("r")).first()
     assert sim["s"] == 0.5 and sim["r"] == 1.0
+
+
+def _frame(spark, rows, name, kind="long"):
+    return spark.createDataFrame(rows, f"{name} {kind}, embedding array<double>")
+
+
+@pytest.mark.parametrize("scale", [1e-3, 1.0, 1e7])
+def test_knn_exact_at_any_norm(spark, scale):
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=(6, 8)) * scale
+    c = [(i, (centre[i % 6] + rng.normal(size=8) * scale * 1e-3).tolist()) for i in range(400)]
+    q = [(1000 + i, (centre[i % 6] + rng.normal(size=8) * scale * 1e-3).tolist()) for i in range(40)]
+    got = vectors.knn(_frame(spark, q, "query_id"), _frame(spark, c, "doc_id"), 5, catalog_block_rows=50).collect()
+    assert sorted((r["query_id"], r["doc_id"], r["rank"]) for r in got) == sorted((a, b, r) for a, b, _, r in brute(q, c, 5))
+
+
+def test_knn_nulls_strings_and_ties(spark):
+    zero = [0.0] * 4
+    c = [(f"c{i:04d}", zero) for i in range(1000)] + [("far", [9.0] * 4), ("null", None), (None, zero)]
+    q = [("q1", zero), ("q2", [9.0] * 4), ("q3", None)]
+    got = vectors.knn(_frame(spark, q, "query_id", "string"), _frame(spark, c, "doc_id", "string"), 3, catalog_block_rows=64).collect()
+    assert sorted((r["query_id"], r["rank"], r["doc_id"]) for r in got) == [
+        ("q1", 1, "c0000"), ("q1", 2, "c0001"), ("q1", 3, "c0002"), ("q2", 1, "far"), ("q2", 2, "c0000"), ("q2", 3, "c0001")]
+    assert vectors.knn(_frame(spark, q, "query_id", "string"), _frame(spark, [], "doc_id", "string"), 3).count() == 0
+
+
+def test_prebuilt_index_and_text_search(spark, tmp_path):
+    from hiermatch.functions.embed import hash_embed
+
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(["red pipe", "blue valve", "red valve", "bolt"])], "doc_id long, text string")
+    vectors.cluster(rows.select("doc_id", hash_embed("text").alias("embedding")), path=f"{tmp_path}/v")
+    index = vectors.read_vectors(spark, f"{tmp_path}/v")
+    got = vectors.search_text(spark.createDataFrame([(7, "valve blue")], "query_id long, text string"), 2, index, hash_embed).orderBy("rank").collect()
+    assert [r["doc_id"] for r in got] == [1, 2]
+
+
+def test_lsh_recall(spark, sf):
+    e = spark.read.parquet(f"{sf}/embeddings.parquet")
+    exact = {(r["query_id"], r["doc_id"]) for r in vectors.knn(e, e, 5, qid="vec_id", cid="vec_id", exclude_self=True).collect()}
+    near = {(r["query_id"], r["doc_id"]) for r in vectors.knn_lsh(e, e, 5, qid="vec_id", cid="vec_id", exclude_self=True).collect()}
+    assert len(exact & near) / len(exact) >= 0.9
+
+
+def test_pluggable_embedder(spark):
+    df = spark.createDataFrame([(1, "ab"), (2, None), (3, "abcd")], "id long, t string")
+    got = vectors.embed_with(df, "t", "v", lambda: lambda texts: np.array([[len(t), 1.0] for t in texts]), 2, batch_rows=2).orderBy("id").collect()
+    assert [r["v"] for r in got] == [[2.0, 1.0], [0.0, 1.0], [4.0, 1.0]]
