@@ -32,7 +32,9 @@ def _named(rows: DataFrame, keys: list[str]) -> DataFrame:
     """
     place = F.struct("doc", "pos")
     first = rows.groupBy(*keys).agg(F.min(place).alias("f"), F.max(place).alias("l")).where("f != l").drop("l")
-    return rows.join(first, keys).select("doc", "pos", "f")
+    # A table of its own, so that the join stands alone in its stage and a hot class can be split there.  It is
+    # one plan at every size: a broadcast would depend on how well the classes compress.
+    return rows.join(save(first, "line-classes").hint("merge"), keys).select("doc", "pos", "f")
 
 
 def suffix_classes(lines: DataFrame, min_lines: int) -> list[tuple[int, DataFrame]]:
@@ -107,7 +109,7 @@ def line_dedup(docs: DataFrame, min_lines: int = 3, id_col: str = "doc_id", text
     runs = maximal_runs(starts, min_lines).groupBy("doc").agg(  # at most the lines of one text
         F.collect_list(F.struct("first_line", "n_lines")).alias("runs"))
     runs = save(runs, "line-runs")
-    rows = base.join(runs, "doc", "left").select(F.col("doc.id").alias("doc_id"), "text", "runs")
+    rows = base.join(runs.hint("merge"), "doc", "left").select(F.col("doc.id").alias("doc_id"), "text", "runs")
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_lines long, n_removed long, kept_sha256 string, text string"
 
     def cut(batches):
