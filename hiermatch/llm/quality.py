@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import save
-from .wordhash import BLANK, LOWER, chunks, hashes, mix, words
+from .wordhash import LOWER, chunks, hashes, mix, words
 
 STATISTICS = ("log_words", "log_lines", "mean_word", "upper", "digits", "pipes", "bangs", "symbols", "stops",
               "commas", "other_punct", "non_ascii", "short_words", "long_words", "new_words", "top_repeat",
@@ -39,9 +39,12 @@ def _distinct(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.bincount(owner[at], minlength=n), top
 
 
-_IS = {name: np.isin(np.arange(256), list(chars)) for name, chars in {
-    "upper": range(0x41, 0x5B), "digits": range(0x30, 0x3A), "pipes": b"|", "bangs": b"!", "symbols": b"#$%&*@^~<>=+_\\/{}[]",
-    "stops": b".?", "commas": b",;:", "other_punct": b"'\"()-`", "non_ascii": range(0x80, 0x100)}.items()}
+#: Disjoint classes of bytes, numbered from 1; class 0 is all others.
+_CLASSES = {"upper": range(0x41, 0x5B), "digits": range(0x30, 0x3A), "pipes": b"|", "bangs": b"!", "symbols": b"#$%&*@^~<>=+_\\/{}[]",
+            "stops": b".?", "commas": b",;:", "other_punct": b"'\"()-`", "non_ascii": range(0x80, 0x100)}
+_CLASS = np.zeros(256, np.uint8)
+for _i, _chars in enumerate(_CLASSES.values(), 1):
+    _CLASS[list(_chars)] = _i
 
 
 def statistics_of(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -53,15 +56,17 @@ def statistics_of(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     width = ends - starts
     same = np.r_[False, h[1:] == h[:-1]] if len(h) else np.zeros(0, bool)
     same[first[:-1][first[:-1] < len(same)]] = False
-    caps = np.r_[0, np.cumsum(_IS["upper"][buf])]
+    kinds = _CLASS[buf]
+    of_kind = np.bincount(np.repeat(np.arange(len(size)) * 16, size) + kinds, minlength=16 * len(size)).reshape(-1, 16)
+    caps = np.r_[0, np.cumsum(kinds == 1, dtype=np.int64)]
     shout = (caps[ends] - caps[starts] >= 2)
     new_words, top = _distinct(h, first)
     newline = np.arange(256) == 10
     ls, le, lfirst = words(buf, off, newline)
     n_lines = np.diff(lfirst)
     new_lines, _ = _distinct(hashes(buf, ls, le), lfirst)
-    cols = [np.log1p(n_words), np.log1p(n_lines), _share(~BLANK[buf], off, n_words)]
-    cols += [_share(_IS[k][buf], off, size) for k in ("upper", "digits", "pipes", "bangs", "symbols", "stops", "commas", "other_punct", "non_ascii")]
+    cols = [np.log1p(n_words), np.log1p(n_lines), np.bincount(np.repeat(np.arange(len(size)), n_words), width, len(size)) / np.maximum(n_words, 1)]
+    cols += [of_kind[:, i] / np.maximum(size, 1) for i in range(1, len(_CLASSES) + 1)]
     cols += [_share(width <= 3, first, n_words), _share(width >= 15, first, n_words), new_words / np.maximum(n_words, 1),
              top / np.maximum(n_words, 1), _share(same, first, n_words), new_lines / np.maximum(n_lines, 1),
              n_words / np.maximum(n_lines, 1), _share(shout, first, n_words)]

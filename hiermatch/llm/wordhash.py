@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text taken at once inside a task; one longer text is taken alone.
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 _U = np.uint64
 
 BLANK = np.zeros(256, bool)
