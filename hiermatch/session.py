@@ -7,9 +7,12 @@ operator supplies ``spark.checkpoint.dir`` pointing at shared storage.
 
 from __future__ import annotations
 
+import io
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -65,6 +68,24 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per Spark context, if it lies in a plain folder."""
+    sc, root = spark.sparkContext, Path(__file__).resolve().parent
+    if getattr(sc, "_hiermatch_shipped", False) or not root.is_dir():
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"{root.name}/{f.relative_to(root)}")
+    path = f"{shared_path(spark, 'package')}/{root.name}-package.zip"
+    hadoop = sc._jvm.org.apache.hadoop.fs.Path(path)
+    out = hadoop.getFileSystem(sc._jsc.hadoopConfiguration()).create(hadoop)
+    out.write(packed.getvalue())
+    out.close()
+    sc.addPyFile(path)
+    sc._hiermatch_shipped = True
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared folder, removed when the session's JVM ends."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
