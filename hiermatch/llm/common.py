@@ -2,38 +2,22 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``."""
-    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return (conf or ensure_checkpoint_dir(spark)).rstrip("/")
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder; it goes when the session's JVM ends."""
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    hadoop = jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return path
+from ..session import ship_package, shared_path
 
 
 def save(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: cuts the lineage, survives
     lost executors, and gives the planner the real size."""
-    path = new_folder(df.sparkSession, name)
+    path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -41,6 +25,3 @@ def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only the two columns an operator needs, so other columns cannot clash; null text is empty."""
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
-
-def ascii_lower(col):
-    return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

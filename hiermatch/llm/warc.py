@@ -13,7 +13,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_folder, save
+from ..session import shared_path
+from .common import save
 
 #: Fixed values of the seekable Zstandard format and of the WARC standard.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -120,7 +121,7 @@ def write_warc(pages: DataFrame, folder: str | None = None, min_revisit_bytes: i
     the archives in the returned index are part of the result, so a repeated attempt does no harm.
     """
     spark = pages.sparkSession
-    folder = folder or new_folder(spark, "warc")
+    folder = folder or shared_path(spark, "warc")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("html", 256)))
     first = rows.where(F.octet_length("html") >= min_revisit_bytes).groupBy("digest").agg(F.min("page_id").alias("first_id"))

@@ -160,9 +160,11 @@ def test_exact_odd_rows(spark):
     assert {r.keep_id for r in by.collect()} == {1}
 
 
-def test_exact_moves_texts_once(spark, mixed):
-    plan = exact._runs(frame(spark, mixed), "min", 8)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("rangepartitioning") == 1 and "Exchange hashpartitioning(lead" not in plan
+@pytest.mark.parametrize("hot", [True, False])
+def test_exact_moves_texts_once(spark, mixed, hot):
+    rows = mixed + [(1000 + i, "the same text" if hot else f"own text {i}") for i in range(3000)]
+    plan = exact._runs(frame(spark, rows), "min", 8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Exchange rangepartitioning") == 1
 
 
 # 4 WARC ----------------------------------------------------------------------------------------------
