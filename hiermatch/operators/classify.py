@@ -83,8 +83,8 @@ def retrieve(products: DataFrame, catalog: DataFrame, cfg: ClassifyConfig = Clas
     c = with_corpus(catalog)
     q = products.select(F.col("product_id").alias("query_id"), F.col(desc_col).alias("description"))
     if index is None:
-        index = lexical.store_index(lexical.build_index(c, "commodity_code", "corpus"))
-    lex = lexical.bm25_topk(q, "query_id", "description", index, cfg.retrieve_k).select(
+        index = lexical.build_stored_index(c, "commodity_code", "corpus")
+    lex = lexical.bm25_topk_dense(q, "query_id", "description", index, cfg.retrieve_k).select(
         "query_id", "doc_id", F.col("score").alias("lex_score"), F.col("rank").alias("lex_rank"))
     qv = q.select("query_id", hash_embed(clean("description"), cfg.embed_dim).alias("embedding"))
     if catalog_vectors is None:
@@ -101,7 +101,7 @@ def prebuild(catalog: DataFrame, path: str, cfg: ClassifyConfig = ClassifyConfig
     """Write the BM25 index, the clustered catalog vectors and the enriched catalog under ``path``, once per
     catalog; the result (or :func:`prebuilt`) goes to :func:`classify_batch` as keywords."""
     c = with_corpus(catalog)
-    lexical.store_index(lexical.build_index(c, "commodity_code", "corpus"), f"{path}/lexical")
+    lexical.build_stored_index(c, "commodity_code", "corpus", path=f"{path}/lexical")
     vectors.cluster(c.select(F.col("commodity_code").alias("doc_id"), hash_embed("corpus", cfg.embed_dim).alias("embedding")), path=f"{path}/vectors")
     enriched_catalog(c, cfg).write.parquet(f"{path}/enriched")
     return prebuilt(catalog.sparkSession, path)

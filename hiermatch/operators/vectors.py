@@ -80,13 +80,14 @@ def cluster(catalog: DataFrame, cid: str = "doc_id", cvec: str = "embedding", bl
             pivots: int | None = None, path: str | None = None) -> VectorIndex:
     """R5 index: vectors dealt to their nearest pivot, written as tables and opened (default: a new shared folder).
 
-    Pivots are the catalog vectors with the smallest hash of their id, about the square root of the row count.
+    Pivots are the catalog vectors with the smallest hash of their id, about four for each full block of rows:
+    a query's vector travels to every cluster it needs, and without structure in the data that is all of them.
     """
     spark = catalog.sparkSession
     path = path or shared_path(spark, "vector-index")
     c = catalog.select(F.col(cid).alias("cid"), to_double_array(cvec).alias("v")).where("cid is not null and v is not null")
     n = c.count()
-    pivots = max(1, min(pivots or math.isqrt(n), MAX_PIVOTS))
+    pivots = max(1, min(pivots or max(8, 4 * math.ceil(n / block_rows)), MAX_PIVOTS))
     centres = [r.v for r in c.orderBy(F.xxhash64("cid"), "cid").limit(pivots).collect()]
     P = np.array(centres, np.float64) if centres else np.zeros((0, 0))
 
@@ -120,12 +121,13 @@ def _cell_fn(k: int, exclude_self: bool, schema: T.StructType):
         if len(qpdf) and len(cpdf):
             Q_all, C = (np.stack(x["v"].to_numpy()).astype(np.float64) for x in (qpdf, cpdf))
             qid_all, cid = qpdf["query_id"].to_numpy(), cpdf["cid"].to_numpy()
+            goal = (qpdf["goal"].to_numpy(np.float64) * (1 + 1e-9) + 1e-6) ** 2
             place = np.unique(cid, return_inverse=True)[1]  # ids in order, whatever their type
             want = min(k + exclude_self, len(C))
             for r0 in range(0, len(Q_all), _ROW_CHUNK):
                 Q, qid = Q_all[r0:r0 + _ROW_CHUNK], qid_all[r0:r0 + _ROW_CHUNK]
                 d2, error = _squared(Q, C)
-                kth = np.partition(d2, want - 1, axis=1)[:, want - 1]
+                kth = np.minimum(np.partition(d2, want - 1, axis=1)[:, want - 1], goal[r0:r0 + _ROW_CHUNK])
                 rows, cols = np.nonzero(d2 <= (kth + 2 * error + 1e-8)[:, None])
                 if exclude_self:
                     other = qid[rows] != cid[cols]
@@ -160,14 +162,14 @@ def _probe_fn(centres: list, k: int, exclude_self: bool, far: bool):
                 before = np.cumsum(n[order], axis=1) - n[order]
                 near = np.zeros(d.shape, bool)
                 np.put_along_axis(near, order, before < k + exclude_self, axis=1)
+                goal = part["goal"].fillna(np.inf).to_numpy(np.float64)
                 if far:
-                    goal = part["goal"].to_numpy(np.float64)
-                    slack = (np.sqrt(error) + 1e-6 + 1e-9 * goal)[:, None]
-                    reach = (d - outer <= goal[:, None] + slack) & (inner - d <= goal[:, None] + slack)
-                    near = (reach | np.isnan(goal)[:, None]) & ~near
+                    slack = (np.sqrt(error) + 1e-6 + 1e-9 * np.where(np.isinf(goal), 0.0, goal))[:, None]
+                    near = (d - outer <= goal[:, None] + slack) & (inner - d <= goal[:, None] + slack) & ~near
                 rows, cols = np.nonzero(near)
-                parts.append(part.iloc[rows][["query_id", "v"]].assign(cluster=ids[cols]))
-            yield pd.concat(parts) if parts else pdf.assign(cluster=np.zeros(0, np.int32))[["query_id", "v", "cluster"]]
+                parts.append(part.iloc[rows][["query_id", "v"]].assign(goal=goal[rows], cluster=ids[cols]))
+            if parts:
+                yield pd.concat(parts)
 
     return fn
 
@@ -193,7 +195,7 @@ def knn(queries: DataFrame, catalog: DataFrame | None, k: int, qid: str = "query
     w = Window.partitionBy("query_id").orderBy(F.round("distance", 9).asc(), F.col("doc_id").asc())
 
     def solve(rows: DataFrame, far: bool) -> DataFrame:
-        probes = rows.mapInPandas(_probe_fn(centres, k, exclude_self, far), f"query_id {kind}, v array<double>, cluster int")
+        probes = rows.mapInPandas(_probe_fn(centres, k, exclude_self, far), f"query_id {kind}, v array<double>, goal double, cluster int")
         probes = probes.withColumn("slice", F.pmod(F.xxhash64("query_id"), F.lit(slices)).cast("int"))
         # the blocks of the catalog that are needed, once for each slice of queries that needs them
         needed = index.vectors.join(probes.select("cluster", "slice").distinct(), "cluster")
@@ -202,10 +204,10 @@ def knn(queries: DataFrame, catalog: DataFrame | None, k: int, qid: str = "query
         probes = probes.join(blocks, "cluster").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         key = ["cluster", "block", "slice"]
         theirs = needed.select(*[F.col(c).alias(f"of_{c}") for c in key], F.col("cid").alias("cid"), F.col("v").alias("v"))
-        cells = probes.select(*key, "query_id", "v").groupBy(*key).cogroup(theirs.groupBy(*[f"of_{c}" for c in key]))
+        cells = probes.select(*key, "query_id", "v", "goal").groupBy(*key).cogroup(theirs.groupBy(*[f"of_{c}" for c in key]))
         return cells.applyInPandas(_cell_fn(k, exclude_self, schema), schema)
 
-    first = solve(q, False).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    first = solve(q.withColumn("goal", F.lit(None).cast("double")), False).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     goal = first.where(F.col("rank") == k).select("query_id", F.sqrt("distance").alias("goal"))
     more = solve(q.join(goal, "query_id", "left").select("query_id", "v", "goal"), True)
     out = first.drop("rank").unionByName(more)

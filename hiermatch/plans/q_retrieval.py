@@ -18,7 +18,7 @@ def r6(c):
 
 
 def doc_index(spark, sf):
-    return lexical.store_index(lexical.build_index(view(spark, sf, "doc_catalog"), "doc_id", "text"))
+    return lexical.build_stored_index(view(spark, sf, "doc_catalog"), "doc_id", "text")
 
 
 def catalog_with_corpus(spark, sf, name="catalog"):
@@ -73,7 +73,7 @@ WHERE rank <= 10
 """)
 def r_bm25_name_only(spark, sf):
     cat = view(spark, sf, "catalog")
-    idx = lexical.store_index(lexical.build_index(cat, "commodity_code", "commodity_name", tokenizer=lexical.split_tokens))
+    idx = lexical.build_stored_index(cat, "commodity_code", "commodity_name", tokenizer=lexical.split_tokens)
     top = lexical.bm25_topk(view(spark, sf, "search_queries"), "query_id", "search_query", idx, 10,
                             tokenizer=lexical.split_tokens)
     return top.select("query_id", F.col("doc_id").alias("commodity_code"), r6("score").alias("score"),

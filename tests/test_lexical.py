@@ -101,6 +101,19 @@ def test_topk_with_negative_weights(spark):
     assert {(r["query_id"], r["doc_id"], r["rank"]) for r in got} == plain_topk(docs, queries, 4)
 
 
+def test_dense_form_equals_pruned_plan(spark, sf):
+    from hiermatch.operators import classify as C
+    from hiermatch.sources.views import view
+
+    c = C.with_corpus(view(spark, sf, "catalog")).withColumn("code", F.concat(F.lit("c"), F.lpad(F.col("commodity_code").cast("string"), 6, "0")))
+    q = view(spark, sf, "products")
+    idx = lexical.build_stored_index(c, "code", "corpus")
+    cols = ["query_id", "doc_id", F.round("score", 6).alias("s"), "rank"]
+    a = lexical.bm25_topk(q, "product_id", "description", idx, 20).select(*cols)
+    b = lexical.bm25_topk_dense(q, "product_id", "description", idx, 20, query_block=48, doc_block=64).select(*cols)
+    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_topk_plan_has_no_python_and_no_pairs(spark, sf):
     from hiermatch.operators import classify as C
     from hiermatch.sources.views import view
