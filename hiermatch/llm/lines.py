@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 from .common import save
 
+#: What counts as a word when a run is judged by its length in words.
+WORD = re.compile(r"[^\x20\t-\r]+")
+
 
 def _doc_key(id_col: str, text_col: str):
     """Texts repeated under one id are told apart by a hash; equal rows have one key."""
@@ -62,16 +66,42 @@ def _paired(level: DataFrame, by: int) -> DataFrame:
     return level.withColumnRenamed("f", "name").join(ahead, ["doc", "pos"])
 
 
+def _of_length(levels: list[tuple[int, DataFrame]], n: int) -> DataFrame:
+    """(doc, pos, f): the classes of ``n`` lines, as two overlapping prefixes of the longest doubled length up to n."""
+    h, level = [x for x in levels if x[0] <= n][-1]
+    return level if h == n else _named(_paired(level, n - h), ["name", "next"])
+
+
+_LATER = "doc != f.doc or pos != f.pos"
+
+
 def repeated_starts(lines: DataFrame, min_lines: int) -> DataFrame:
     """(doc, pos, f): starts of ``min_lines`` consecutive lines that occur earlier, and the first place
     (smallest doc, then pos) where they do.
 
     The class of ``min_lines`` lines is that of two overlapping prefixes of the last doubled length.
     """
-    h, level = suffix_classes(lines, min_lines)[-1]
-    if h < min_lines:
-        level = _named(_paired(level, min_lines - h), ["name", "next"])
-    return level.where("doc != f.doc or pos != f.pos")
+    return _of_length(suffix_classes(lines, min_lines), min_lines).where(_LATER)
+
+
+def short_starts(levels: list[tuple[int, DataFrame]], min_lines: int, min_words: int | None, min_docs: int | None) -> DataFrame | None:
+    """(doc, first_line, n_lines, need): starts of fewer than ``min_lines`` lines that occur earlier and go if they
+    hold at least ``need`` words: ``min_words``, or one if ``min_docs`` different ids share the line.
+
+    Lines of a shared run are each shared as widely, so classes of single lines are enough for ``min_docs``.
+    """
+    out = None
+    for n in range(1, min_lines) if min_words is not None else ():
+        later = _of_length(levels, n).where(_LATER).select("doc", F.col("pos").alias("first_line"), F.lit(n).cast("long").alias("n_lines"),
+                                                           F.lit(min_words).alias("need"))
+        out = later if out is None else out.unionByName(later)
+    if min_docs is not None and min_lines > 1:
+        line = levels[0][1]
+        wide = line.select("f", F.col("doc.id").alias("id")).distinct().groupBy("f").count().where(F.col("count") >= min_docs).select("f")
+        wide = line.where(_LATER).join(save(wide, "line-wide").hint("merge"), "f").select(
+            "doc", F.col("pos").alias("first_line"), F.lit(1).cast("long").alias("n_lines"), F.lit(1).alias("need"))
+        out = wide if out is None else out.unionByName(wide)
+    return out
 
 
 def maximal_runs(starts: DataFrame, min_lines: int) -> DataFrame:
@@ -89,13 +119,15 @@ def maximal_runs(starts: DataFrame, min_lines: int) -> DataFrame:
 
 
 def line_dedup(docs: DataFrame, min_lines: int = 3, id_col: str = "doc_id", text_col: str = "text",
-               normalise=None, with_text: bool = False) -> DataFrame:
+               normalise=None, with_text: bool = False, min_words: int | None = None, min_docs: int | None = None) -> DataFrame:
     """One row per input row: doc_id, n_lines, n_removed, kept_sha256 (and ``text``, the lines that stay).
 
     Lines are what stands between newlines, compared whole (by SHA-256) after ``normalise`` (Column ->
     Column, default none).  A run of at least ``min_lines`` consecutive lines of one text that also occurs
     at an earlier place (smaller id, or the same id and an earlier line) is a later copy, and its lines go;
     runs are judged on the input, not on what is left.  Copies inside one text, overlapping ones too, count.
+    With ``min_words`` a shorter run that occurs earlier goes too if it has that many words (what stands between
+    ASCII white space), and with ``min_docs`` a line with a word in it that stands under that many different ids.
 
     A null text has no line, n_removed 0 and the hash of the empty text; an empty text has one empty line.
     Rows with a null id are returned unchanged and are nobody's earlier copy.  Equal rows repeated with one
@@ -104,20 +136,30 @@ def line_dedup(docs: DataFrame, min_lines: int = 3, id_col: str = "doc_id", text
     """
     if min_lines < 1:
         raise ValueError("min_lines must be at least 1")
+    if min(x for x in (min_words, min_docs, 1) if x is not None) < 1:
+        raise ValueError("min_words and min_docs must be at least 1")
     base = docs.select(_doc_key(id_col, text_col).alias("doc"), F.col(text_col).alias("text"))
-    starts = save(repeated_starts(line_rows(docs, id_col, text_col, normalise), min_lines), "line-starts")
-    runs = maximal_runs(starts, min_lines).groupBy("doc").agg(  # at most the lines of one text
-        F.collect_list(F.struct("first_line", "n_lines")).alias("runs"))
+    levels = suffix_classes(line_rows(docs, id_col, text_col, normalise), min_lines)
+    starts = save(_of_length(levels, min_lines).where(_LATER), "line-starts")
+    runs = maximal_runs(starts, min_lines).select("doc", "first_line", "n_lines", F.lit(0).alias("need"))
+    short = short_starts(levels, min_lines, min_words, min_docs)
+    runs = runs if short is None else runs.unionByName(short)
+    runs = runs.groupBy("doc").agg(  # at most the lines of one text, for each length
+        F.collect_list(F.struct("first_line", "n_lines", "need")).alias("runs"))
     runs = save(runs, "line-runs")
     rows = base.join(runs.hint("merge"), "doc", "left").select(F.col("doc.id").alias("doc_id"), "text", "runs")
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_lines long, n_removed long, kept_sha256 string, text string"
 
+    judged = short is not None
+
     def cut(batches):
         for b in batches:
             out = []
             for text, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 parts = [] if text is None else text.split("\n")
-                gone = {i for r in found or () for i in range(r["first_line"], r["first_line"] + r["n_lines"])}
+                words = [len(WORD.findall(x)) for x in parts] if found and judged else None
+                gone = {i for r in found or () for i in range(r["first_line"], r["first_line"] + r["n_lines"])
+                        if not r["need"] or sum(words[r["first_line"]:r["first_line"] + r["n_lines"]]) >= r["need"]}
                 kept = "\n".join(x for i, x in enumerate(parts) if i not in gone)
                 out.append((len(parts), len(gone), hashlib.sha256(kept.encode()).hexdigest(), kept if with_text else None))
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]

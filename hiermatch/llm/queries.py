@@ -117,3 +117,17 @@ SELECT d.doc_id, coalesce(len(w), 0) AS n_lines, coalesce(len(gone), 0) AS n_rem
 FROM d LEFT JOIN x USING (doc_id)""")
 def op10(spark, sf_dir):
     return line_dedup(table(spark, sf_dir, "documents"), min_lines=3)
+
+
+@query("op10_lines_production", r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS w FROM documents),
+s AS (SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], chr(10)) AS g, len(regexp_extract_all(array_to_string(w[p:p + n - 1], chr(10)), '[^\x20\x09-\x0D]+')) AS n_words
+      FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT unnest([1, 2, 3]) AS n))),
+c AS (SELECT n, g, min((doc_id, p)) AS f, count(DISTINCT doc_id) AS n_docs FROM s GROUP BY n, g),
+m AS (SELECT doc_id, n, p FROM s JOIN c USING (n, g) WHERE (doc_id, p) <> f AND (n = 3 OR n_words >= 50 OR (n_words >= 1 AND n_docs >= 10 AND n = 1))),
+x AS (SELECT doc_id, list_distinct(flatten(list(range(p, p + n)))) AS gone FROM m GROUP BY doc_id)
+SELECT d.doc_id, coalesce(len(w), 0) AS n_lines, coalesce(len(gone), 0) AS n_removed,
+       sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT coalesce(list_contains(gone, i), false)), lambda i: w[i]), chr(10)), '')) AS kept_sha256
+FROM d LEFT JOIN x USING (doc_id)""")
+def op10_production(spark, sf_dir):
+    return line_dedup(table(spark, sf_dir, "documents"), min_lines=3, min_words=50, min_docs=10)

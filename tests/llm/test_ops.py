@@ -424,3 +424,31 @@ def test_lines_runs_are_maximal(spark):
     assert got == {(2, 1, 3, 1, 1), (3, 0, 5, 1, 0)}
     assert lines.line_dedup(frame(spark, [])).count() == 0
     assert {r.doc_id: r.text for r in lines.line_dedup(frame(spark, rows), 2, with_text=True).collect()}[2] == "x\ny"
+
+
+@pytest.mark.parametrize("w", [1, 3, 4])
+def test_lines_long_or_widely_shared(spark, w):
+    rng = random.Random(3)
+    long = [" ".join(f"w{rng.randint(0, 99)}" for _ in range(n)) for n in (4, 5, 8, 9, 20)]
+    rows = []
+    for i in range(40):
+        ls = [rng.choice(["", "  ", f"only {i}", "shared by all", f"pair {i // 2}"]) for _ in range(rng.randint(1, 5))]
+        at = rng.randint(0, 4)
+        ls[1:1] = long[at:at + rng.randint(0, 2)]
+        rows.append((i, "\n".join(ls)))
+    docs = [(i, t.split("\n")) for i, t in rows]
+    first, ids = {}, defaultdict(set)
+    for i, ls in docs:
+        for n in range(1, w + 1):
+            for p in range(len(ls) - n + 1):
+                first.setdefault(tuple(ls[p:p + n]), (i, p))
+                ids[tuple(ls[p:p + n])].add(i)
+    want = {}
+    for i, ls in docs:
+        goes = lambda g: len(g) == w or len(" ".join(g).split()) >= 9 or (len(g) == 1 and g[0].strip() and len(ids[g]) >= 10)
+        gone = {q for n in range(1, w + 1) for p in range(len(ls) - n + 1)
+                if first[g := tuple(ls[p:p + n])] != (i, p) and goes(g) for q in range(p, p + n)}
+        want[i] = "\n".join(x for q, x in enumerate(ls) if q not in gone)
+    got = {r.doc_id: r.text for r in lines.line_dedup(frame(spark, rows), w, with_text=True, min_words=9, min_docs=10).collect()}
+    assert got == want
+    assert sum("shared by all" in t for t in got.values()) == 1
