@@ -262,6 +262,23 @@ def test_pii_adds_spans_and_keeps_base(spark):
     assert sum(len(got[1000 + i].found) > 0 for i in range(20)) >= 10
 
 
+def prose(rng, n):
+    return " ".join("".join(rng.choice("aeioulnrst") for _ in range(rng.randint(3, 8))) for _ in range(n))
+
+
+def test_pii_adds_obfuscated_addresses(spark):
+    rng = random.Random(6)
+    rows = [(i, f"{prose(rng, 8)} {prose(rng, 1)}.{i}@mail{i % 9}.example.{rng.choice(['com', 'de', 'org'])} {prose(rng, 4)}") for i in range(400)]
+    rows += [(1000 + i, f"{prose(rng, 5)} we look at {prose(rng, 1)}{'. ' if i % 3 else '.'}{prose(rng, 1).title()} {prose(rng, 5)}") for i in range(100)]
+    forms = ["john at example.com", "john @ example . com", "john (at) example (dot) com", "john\tat\texample dot com", "john at\nexample.com", "john[at]example[dot]org"]
+    rows += [(2000 + i, f"{prose(rng, 6)} {forms[i % 6]}. Then {prose(rng, 4)}") for i in range(60)]
+    got = {r.doc_id: r for r in pii.pii(frame(spark, rows)).collect()}
+    assert all(len(got[i].base) == 1 for i in range(400))
+    found = Counter(i % 6 for i in range(60) if [(x.kind, rows[500 + i][1][x.start:x.end]) for x in got[2000 + i].found] == [("soft_email", forms[i % 6])])
+    assert all(found[k] >= 9 for k in range(6)), found
+    assert sum(len(got[1000 + i].found) for i in range(100)) <= 3
+
+
 # 7 secrets -------------------------------------------------------------------------------------------
 
 def plain_secrets(text):
