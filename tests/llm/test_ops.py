@@ -279,6 +279,23 @@ def test_pii_adds_obfuscated_addresses(spark):
     assert sum(len(got[1000 + i].found) for i in range(100)) <= 3
 
 
+def test_pii_adds_national_numbers(spark):
+    rng = random.Random(7)
+    num = lambda n: "".join(rng.choice("23456789") for _ in range(n))
+    cue = lambda: rng.choice(["", "", "tel ", "phone "])
+    rows = [(i, f"{prose(rng, 6)} {cue()}+{rng.choice(['1', '49', '34'])} ({num(3)}) {num(3)}-{num(4)} {prose(rng, 4)}") for i in range(400)]
+    rows += [(1000 + i, f"{prose(rng, 6)} serial {num(16)} and order {num(10)} of 20{num(2)}-0{rng.randint(1, 9)}-1{rng.randint(0, 9)} {prose(rng, 3)}") for i in range(100)]
+    forms = [lambda: f"{num(3)}-{num(3)}-{num(4)}", lambda: f"0{num(3)} {num(7)}", lambda: f"({num(3)}) {num(3)}-{num(4)}"]
+    planted = {2000 + i: forms[i % 3]() for i in range(60)}
+    rows += [(i, f"{prose(rng, 6)} {'tel ' * (i % 2)}{x} {prose(rng, 4)}") for i, x in planted.items()]
+    texts = dict(rows)
+    got = {r.doc_id: r for r in pii.pii(frame(spark, rows)).collect()}
+    found = Counter(i % 2 for i, x in planted.items() if [texts[i][f.start:f.end] for f in got[i].found] == [x])
+    assert found[0] >= 27 and found[1] >= 27, found
+    # of 16, 10 and 8 digits; a sixteen-digit number may pass Luhn by chance
+    assert sum(f.kind == "soft_number" for i in range(1000, 1100) for f in got[i].found) <= 6
+
+
 # 7 secrets -------------------------------------------------------------------------------------------
 
 def plain_secrets(text):
