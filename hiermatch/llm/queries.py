@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from . import bpe
 from .common import table
 from .contamination import contamination
 from .exact import exact_dedup
@@ -131,3 +132,10 @@ SELECT d.doc_id, coalesce(len(w), 0) AS n_lines, coalesce(len(gone), 0) AS n_rem
 FROM d LEFT JOIN x USING (doc_id)""")
 def op10_production(spark, sf_dir):
     return line_dedup(table(spark, sf_dir, "documents"), min_lines=3, min_words=50, min_docs=10)
+
+
+@query("op13_bpe")
+def op13(spark, sf_dir):
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("text", 256).alias("decoded_sha256"))
