@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 from pyspark.sql import functions as F
 
 from . import bpe
-from .common import table
+from .common import save, table
 from .contamination import contamination
 from .exact import exact_dedup
 from .lines import line_dedup
 from .packing import pack
 from .pii import pii
 from .quality import quality
+from .repair import damage, repair, repaired_digests
 from .secrets import joined, secrets
 from .simhash import simhash_dedup
 from .substring import substring_dedup
@@ -134,6 +137,54 @@ def op10_production(spark, sf_dir):
     return line_dedup(table(spark, sf_dir, "documents"), min_lines=3, min_words=50, min_docs=10)
 
 
+#: crc32 of an ASCII string, bit by bit.
+_CRC = """CAST(xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({}, ''), lambda x: CAST(ord(x) AS BIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(0 AS BIGINT)] || [0, 0, 0, 0, 0, 0, 0]), lambda v, _: xor(v >> 1, 3988292384 * (v & 1))))) AS BIGINT)"""
+
+# The lattice row by row: w holds the cheapest, then ASCII-least edits to each place after the first i rows.
+_REPAIR = rf"""
+WITH RECURSIVE raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations),
+dam AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+               CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+        FROM (SELECT *, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) FROM raw WHERE kind <> 0)),
+num AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+               row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST) > 1 AS seen, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM dam),
+flt AS (SELECT *, CASE WHEN body = '' THEN 'b' WHEN seen THEN 'd' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS fault, left(role, 1) AS r,
+               lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM num),
+cnt AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate,
+               count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (before IS NOT NULL AND before || r NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n FROM flt GROUP BY conv_id),
+ins AS (SELECT * FROM (VALUES (0, 0, '', ''), (1, 1, '', ''), (2, 2, '', ''), (3, 3, '', ''), (0, 2, 'I', 'u'), (1, 2, 'I', 'u'), (3, 2, 'I', 'u'), (2, 3, 'I', 'a'), (0, 3, 'II', 'ua'), (1, 3, 'II', 'ua')) t(q, z, e, x)),
+arc AS (SELECT conv_id, i, q, z, e, c, l FROM (
+          SELECT f.conv_id, f.i, s.q, CASE k WHEN 'D' THEN s.q WHEN 'R' THEN CASE s.q WHEN 2 THEN 3 ELSE 2 END
+                   ELSE CASE WHEN r = 's' AND s.q = 0 THEN 1 WHEN r = 'u' AND s.q IN (0, 1, 3) THEN 2 WHEN r = 'a' AND s.q = 2 THEN 3 END END AS z, k AS e,
+                 CASE k WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN k <> 'D' AND fault = 't' THEN 5 ELSE 0 END AS c,
+                 CASE k WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || text] ELSE [CASE s.q WHEN 2 THEN 'assistant' ELSE 'user' END || ':' || text] END AS l
+          FROM flt f, (SELECT unnest([0, 1, 2, 3]) AS q) s, (SELECT unnest(['D', 'K', 'R']) AS k) WHERE k = 'D' OR fault IN ('', 't')) WHERE z IS NOT NULL),
+w AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, n, 0 AS q, CAST(0 AS BIGINT) AS cost, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM cnt
+      UNION ALL
+      SELECT conv_id, i, any_value(n), z, min(cost), arg_min(audit, (cost, audit)), arg_min(lines, (cost, audit)) FROM (
+        SELECT w.conv_id, w.i + 1 AS i, w.n, arc.z, w.cost + 5 * length(ins.e) + arc.c AS cost, w.audit || ins.e || arc.e AS audit,
+               w.lines || list_transform(string_split(ins.x, ''), lambda y: CASE y WHEN 'u' THEN 'user:' ELSE 'assistant:' END)[1:length(ins.x)] || arc.l AS lines
+        FROM w JOIN ins ON ins.q = w.q JOIN arc ON arc.conv_id IS NOT DISTINCT FROM w.conv_id AND arc.i = w.i + 1 AND arc.q = ins.z) GROUP BY conv_id, i, z),
+fin AS (SELECT conv_id, cost + 5 * length(ins.e) AS cost, audit || ins.e AS audit, lines || list_transform(string_split(ins.x, ''), lambda y: CASE y WHEN 'u' THEN 'user:' ELSE 'assistant:' END)[1:length(ins.x)] AS lines
+        FROM w JOIN ins ON ins.q = w.q WHERE w.i = n AND ins.z IN (0, 3)),
+best AS (SELECT conv_id, min(cost) AS cost, arg_min(audit, (cost, audit)) AS audit, arg_min(lines, (cost, audit)) AS lines FROM fin GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN cnt ON cnt.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id"""
+
+
+@query("op12_repair", _REPAIR)
+def op12(spark, sf_dir):
+    all_turns = table(spark, sf_dir, "conversations")
+    turns = damage(all_turns)
+    audits = save(repair(turns), "repair-audits")
+    found = audits.join(repaired_digests(turns, audits).withColumnRenamed("conv_id", "c"), F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
+    every = all_turns.select(F.col("conv_id").alias("c")).distinct()
+    out = every.join(found, F.col("conv_id").eqNullSafe(F.col("c")), "left").select(F.col("c").alias("conv_id"), *found.columns[1:])
+    return out.fillna(0, ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]).fillna({"audit": "", "repaired_sha256": sha256(b"").hexdigest()})
+
+
 @query("op13_bpe")
 def op13(spark, sf_dir):
     out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
