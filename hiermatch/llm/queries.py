@@ -18,6 +18,7 @@ from .repair import damage, repair, repaired_digests
 from .secrets import joined, secrets
 from .simhash import simhash_dedup
 from .substring import substring_dedup
+from .trie import numbered, prefix_trie, share_openings
 from .warc import round_trip
 
 QUERIES, ORACLES = {}, {}
@@ -141,6 +142,31 @@ def op10_production(spark, sf_dir):
 _CRC = """CAST(xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({}, ''), lambda x: CAST(ord(x) AS BIGINT))),
   lambda c, b: list_reduce(list_prepend(xor(c, b), [CAST(0 AS BIGINT)] || [0, 0, 0, 0, 0, 0, 0]), lambda v, _: xor(v >> 1, 3988292384 * (v & 1))))) AS BIGINT)"""
 
+_TRIE = rf"""
+WITH t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS p
+           FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, {_CRC.format("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+r AS (SELECT c.conv_id, 0 AS part, p, role, text FROM c JOIN t ON t.conv_id = c.conv_id - c.conv_id % 20 AND p < h
+      UNION ALL SELECT conv_id, 1, p, role, text FROM t JOIN c USING (conv_id) WHERE p >= h),
+s AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS d, sha256(length(role) || ':' || role || ':' || text) AS k,
+             len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM r),
+path AS (SELECT conv_id, d, words, sha256(array_to_string(list(k) OVER (PARTITION BY conv_id ORDER BY d), ',')) AS g FROM s UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+node AS (SELECT min(conv_id) AS rep, d, g, count(*) AS n, any_value(words) AS words FROM path GROUP BY d, g),
+at AS (SELECT path.conv_id, d, rep FROM path JOIN node USING (d, g)),
+kin AS (SELECT node.rep, node.d, n, words, up.rep AS parent FROM node LEFT JOIN at AS up ON up.conv_id = node.rep AND up.d = node.d - 1),
+kid AS (SELECT parent AS rep, d - 1 AS d, count(*) AS n_children FROM kin WHERE parent IS NOT NULL GROUP BY ALL),
+cnt AS (SELECT kin.*, coalesce(n_children, 0) AS n_children FROM kin LEFT JOIN kid USING (rep, d)),
+sub AS (SELECT at.rep, at.d, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n - 1) * words) AS saved FROM cnt JOIN at ON at.conv_id = cnt.rep AND at.d <= cnt.d GROUP BY ALL),
+fin AS (SELECT rep, d, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM at JOIN (SELECT conv_id, max(d) AS d FROM path GROUP BY conv_id) USING (conv_id, d) GROUP BY ALL)
+SELECT rep AS conv_id, CAST(d AS BIGINT) AS depth, parent AS parent_conv_id, n AS n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM cnt JOIN sub USING (rep, d) LEFT JOIN fin USING (rep, d)"""
+
+
+@query("op11_trie", _TRIE)
+def op11(spark, sf_dir):
+    return prefix_trie(*share_openings(numbered(table(spark, sf_dir, "conversations")), every=20, most=4))
+
+
 # The lattice row by row: w holds the cheapest, then ASCII-least edits to each place after the first i rows.
 _REPAIR = rf"""
 WITH RECURSIVE raw AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC.format("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind FROM conversations),
