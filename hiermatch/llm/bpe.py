@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
+from array import array
 from functools import lru_cache
 from itertools import product
 
@@ -30,12 +32,20 @@ LEAF = 256
 #: Characters of a text that one task encodes in one go.
 PIECE = 1 << 18
 #: Encoded pre-tokens that a worker remembers.
-MEMO = 1 << 18
+MEMO = 1 << 19
 #: Bytes of text (and about as many of ids) in one Arrow batch.
 BATCH = 1 << 22
 
-# Fixed value: the split pattern of this vocabulary family, with places for its three classes.
-_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?[^{S}{L}{N}]+|{S}+(?![^{S}])|{S}+"
+def split_pattern(letters: str, numbers: str, blanks: str) -> str:
+    """The split pattern of this vocabulary family over three classes, given as what stands inside a set."""
+    # Fixed value: the order and form of the alternatives.
+    return (rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^{blanks}{letters}{numbers}]+"
+            rf"|[{blanks}]+(?![^{blanks}])|[{blanks}]+")
+
+
+# Letters, numbers and blanks up to U+024F, for the plainer and faster engine.
+_LATIN = re.compile(split_pattern(r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f", r"0-9\xb2\xb3\xb9\xbc-\xbe", r"\t-\r \x85\xa0"))
+_BEYOND = re.compile(r"[^\x00-\u024f]")
 # Letters up to here are the same in all Unicode versions in use.
 _OLD = regex.compile(r"[^\x00-\u0557]")
 #: In a set that would else be empty; no text holds it.
@@ -64,7 +74,7 @@ class _Memo(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= MEMO:
             self.clear()
-        ids = np.array(self.encode(word.encode()), np.int32).tobytes()
+        ids = array("i", self.encode(word.encode())).tobytes()
         if len(word) <= LEAF:
             self[word] = ids
         return ids
@@ -88,7 +98,10 @@ class Vocabulary:
         self.rank = {(vocab[a], vocab[b]): r for r, (a, b) in enumerate(pairs)}
         self.made = [vocab[a + b] for a, b in pairs]
         self.memo = _Memo(self.tree)
-        self._pattern = regex.compile(_SPLIT.format(L=r"\p{L}", N=r"\p{N}", S=r"\s"))
+        tokens = [self.table.get(i, b"") for i in range(max(self.table) + 1)]
+        self._raw, self._sizes = np.frombuffer(b"".join(tokens), np.uint8), np.array([len(t) for t in tokens], np.int64)
+        self._starts = np.cumsum(self._sizes) - self._sizes
+        self._pattern = regex.compile(split_pattern(r"\p{L}", r"\p{N}", r"\s"))
         self._library = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         self._seen, self._fixes = set(), {(n, b): [] for n in "LN" for b in (True, False)}
         self._marks = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -99,20 +112,17 @@ class Vocabulary:
         """Ids of a byte string taken as one pre-token: lowest merge first, leftmost of equals."""
         ids, rank, made = [self.first[b] for b in raw], self.rank, self.made
         n = len(ids)
-        if n <= 32:
-            while len(ids) > 1:
-                best = min((rank.get(p, 1 << 60) for p in zip(ids, ids[1:])))
-                if best == 1 << 60:
-                    break
-                out, i, last = [], 0, len(ids) - 1
-                while i <= last:
-                    if i < last and rank.get((ids[i], ids[i + 1])) == best:
-                        out.append(made[best])
-                        i += 2
-                    else:
-                        out.append(ids[i])
-                        i += 1
-                ids = out
+        if n <= 64:
+            none, get = len(made), rank.get
+            ranks = [get(p, none) for p in zip(ids, ids[1:])]
+            while ranks and (best := min(ranks)) < none:
+                i = ranks.index(best)
+                ids[i:i + 2] = [made[best]]
+                del ranks[i]
+                if i:
+                    ranks[i - 1] = get((ids[i - 1], ids[i]), none)
+                if i < len(ranks):
+                    ranks[i] = get((ids[i], ids[i + 1]), none)
             return ids
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, i) for i, p in enumerate(zip(ids, ids[1:])) if (r := rank.get(p)) is not None]
@@ -133,10 +143,12 @@ class Vocabulary:
 
     def tree(self, raw: bytes) -> list[int]:
         """Ids of one pre-token of any length: halves apart, then joined."""
+        if len(raw) <= LEAF:
+            return self.merge(raw)
         level = [self.merge(raw[i:i + LEAF]) for i in range(0, len(raw), LEAF)]
         while len(level) > 1:
             level = [self.join(*level[i:i + 2]) if i + 1 < len(level) else level[i] for i in range(0, len(level), 2)]
-        return level[0] if level else []
+        return level[0]
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """Ids of two encoded neighbours as one pre-token: the window grows until both its sides agree."""
@@ -155,6 +167,8 @@ class Vocabulary:
     def pattern(self, text: str):
         """The split pattern with the letters and numbers that the library itself takes for such: newer versions
         of Unicode have more of them, so every new character is shown to the library once."""
+        if not _BEYOND.search(text):
+            return _LATIN
         if not _OLD.search(text) or not (new := set(text) - self._seen):
             return self._pattern
         self._seen |= new
@@ -164,7 +178,7 @@ class Vocabulary:
                 self._fixes[name, inside].append(f"\\U{ord(c):08x}")
         if any(self._fixes.values()):
             sets = {n: f"[[{k}--[{''.join(self._fixes[n, False]) or NEVER}]]||[{''.join(self._fixes[n, True]) or NEVER}]]" for n, k in (("L", r"\p{L}"), ("N", r"\p{N}"))}
-            self._pattern = regex.compile(_SPLIT.format(S=r"\s", **sets), regex.V1)
+            self._pattern = regex.compile(split_pattern(sets["L"], sets["N"], r"\s"), regex.V1)
         return self._pattern
 
     def spans(self, text: str, at: int = 0, to: int | None = None):
@@ -188,8 +202,15 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """Text of ids, those of special tokens included; unknown ids are nothing, broken UTF-8 is U+FFFD."""
-        get = self.table.get
-        return b"".join([get(i, b"") for i in ids]).decode("utf-8", "replace")
+        ids = np.asarray(ids, np.int64)
+        return self.bytes_of(ids[(ids >= 0) & (ids < len(self._sizes))]).decode("utf-8", "replace")
+
+    def bytes_of(self, ids: np.ndarray) -> bytes:
+        sizes = self._sizes[ids]
+        ends = np.cumsum(sizes)
+        if not len(ends):
+            return b""
+        return self._raw[np.arange(ends[-1]) + np.repeat(self._starts[ids] - ends + sizes, sizes)].tobytes()
 
     def pieces(self, text: str, size: int):
         """(run, node, text) parts of a long text: parts of one run are one pre-token cut anywhere."""
@@ -323,6 +344,6 @@ def decode(encoded: DataFrame, ids_col: str = "ids", path: str | None = None) ->
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(
-                    [vocab.decode(x.values.to_numpy().tolist()) if x.is_valid else None for x in part.column(1)], pa.string())], ["doc_id", "ids", "text"])
+                    [vocab.decode(x.values.to_numpy()) if x.is_valid else None for x in part.column(1)], pa.string())], ["doc_id", "ids", "text"])
 
     return rows.mapInArrow(run, f"doc_id {id_type}, ids array<int>, text string")
