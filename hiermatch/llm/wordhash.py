@@ -5,6 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Bytes of text taken at once inside a task; one longer text is taken alone.
 CHUNK = 1 << 19
@@ -18,8 +19,9 @@ NOT_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x8
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
-_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)  # odd, so they have an inverse modulo 2^64
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+#: Words of more bytes are hashed one by one.
+_LONG = 64
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,19 +32,6 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> _U(31))
 
 
-def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base^0..base^n and the inverses, modulo 2^64."""
-    if base not in _powers or len(_powers[base][0]) <= n:
-        size = max(n, CHUNK + 1) + 1
-        with np.errstate(over="ignore"):
-            table = tuple(np.multiply.accumulate(np.r_[_U(1), np.full(size - 1, _U(b), _U)])
-                          for b in (base, pow(base, -1, 1 << 64)))
-        if size > 2 * CHUNK:  # of one very long text; not kept
-            return table
-        _powers[base] = table
-    return _powers[base]
-
-
 def chunks(batch: pa.RecordBatch, text: int):
     """Slices of ``batch`` with about CHUNK bytes of text each, as (slice, buffer, offsets)."""
     col = pc.fill_null(batch.column(text).cast(pa.large_string()), "")
@@ -73,12 +62,27 @@ def words(buf: np.ndarray, off: np.ndarray, sep: np.ndarray = BLANK):
 
 
 def hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """A 64-bit hash of each byte range; ``which`` picks one of two independent hashes."""
-    base = _BASES[which]
-    up, down = _power(base, len(buf))
+    """A 64-bit hash of each byte range; ``which`` picks one of two independent hashes.
+
+    Eight bytes at a time go through the finaliser, so that no structure of a word survives, as it does in sums of
+    letters times powers.
+    """
+    n, base = (ends - starts).astype(np.int64), _U(_BASES[which])
     with np.errstate(over="ignore"):
-        total = np.r_[_U(0), np.cumsum((buf.astype(_U) + _U(1)) * up[:len(buf)], dtype=_U)]
-        return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(_U) * _U(base))
+        out = mix(n.astype(_U) * base + base)
+        eights = np.lib.stride_tricks.sliding_window_view(np.r_[buf, np.zeros(8, np.uint8)], 8)
+        todo = np.flatnonzero((n > 0) & (n <= _LONG))
+        for done in range(0, _LONG, 8):
+            todo = todo[n[todo] > done]
+            if not len(todo):
+                break
+            block = np.ascontiguousarray(eights[starts[todo] + done]).view("<u8").reshape(-1)
+            rest = np.minimum(n[todo] - done, 8).astype(_U)
+            block = block & (~_U(0) >> (_U(64) - _U(8) * rest))
+            out[todo] = mix((out[todo] ^ block) + base)
+    for i in np.flatnonzero(n > _LONG):
+        out[i] = xxhash.xxh3_64_intdigest(buf[starts[i]:ends[i]].tobytes(), which)
+    return out
 
 
 def rolling(h: np.ndarray, n: int, which: int = 0) -> np.ndarray:

@@ -220,6 +220,31 @@ def plain_substring(rows, w):
     return out
 
 
+def test_substring_keeps_words_that_only_look_alike(spark):
+    """Thue-Morse words and their complements collide under every polynomial modulo 2^64."""
+    a = "a"
+    while len(a) < 4096:
+        a += a.translate(str.maketrans("ab", "ba"))
+    for n in (8, 64, 1024, 4096):
+        x, y = a[:n], a[:n].translate(str.maketrans("ab", "ba"))
+        lead = " ".join(f"w{i}" for i in range(12))
+        got = substring.substring_dedup(frame(spark, [(1, f"{lead} {x}"), (2, f"{lead} {y}"), (3, f"{lead} {x}")])).collect()
+        assert {r.doc_id: r.n_removed for r in got} == {1: 0, 2: 0, 3: 13}
+
+
+def test_word_hashes_tell_words_apart():
+    import numpy as np
+    from hiermatch.llm import wordhash as W
+
+    rng = random.Random(9)
+    texts = sorted({bytes(rng.choice(b"ab\x00\xff") for _ in range(rng.randint(0, 40))) for _ in range(20_000)} | {b"a" * n for n in range(200)})
+    buf, ends = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+    both = [W.hashes(buf, ends - [len(t) for t in texts], ends, k) for k in (0, 1)]
+    assert all(len(set(h.tolist())) == len(texts) for h in both) and not (both[0] == both[1]).any()
+    again = W.hashes(np.frombuffer(b"zz" + texts[77] + b"zzzzzzzzzz", np.uint8), np.array([2]), np.array([2 + len(texts[77])]))
+    assert again[0] == both[0][77]
+
+
 @pytest.mark.parametrize("w,size", [(13, 8 << 20), (13, 700), (4, 700), (1, 5000)])
 def test_substring_brute_force(spark, mixed, w, size):
     rows = mixed + ODD
