@@ -264,6 +264,34 @@ def test_substring_text_and_empty(spark):
 PII_TEXT = "mail jo.é.x@a-b.example.com é 10.0.0.255 10.0.0.256 1.2.3.4.5 4111 1111 1111 1111 4111111111111112 +1 (705) 555-5569 +12 3"
 
 
+def test_pii_finders_equal_their_patterns():
+    """The linear finders against the patterns they stand for, on texts of the characters that matter."""
+    rng = random.Random(11)
+    bits = ["a", "b1", ".", "..", "@", " @ ", " at ", "(at)", " [at] ", " dot ", "(dot)", "-", "_", "+", " ", "9", "1.2", "255.", "\n", "é", "%", "\t", "at"]
+    for _ in range(6000):
+        t = "".join(rng.choice(bits) for _ in range(rng.randint(0, 30)))
+        base = pii.base_spans(t)
+        assert [x[1:] for x in base if x[0] == "email"] == [m.span() for m in pii.EMAIL.finditer(t)], t
+        assert [x[1:] for x in base if x[0] == "ip"] == [m.span() for m in pii.IP.finditer(t) if pii._octets(m[0].split("."))], t
+        assert list(pii._addresses(t, pii._AT_HIT, pii._SOFT_HOST, pii._NAME_START)) == [m.span() for m in pii.GENERATORS[0].finditer(t)], t
+        over = pii._overlaps(base)
+        for _ in range(5):
+            s = rng.randint(0, len(t))
+            e = s + rng.randint(1, 9)
+            assert over(s, e) == {k for k, a, b in base if a < e and s < b}
+
+
+@pytest.mark.parametrize("text", ["a" * 1_000_000 + " x @ at", "@" + "a" * 1_000_000, "a@" * 300_000, "1" * 1_000_000 + ".2", "1." * 500_000, "a.b@" + "c." * 300_000 + "d",
+                                  "+1" + " -" * 500_000, "x at " * 200_000, "1 2-" * 200_000, "u@h.de " * 20_000])
+def test_pii_very_long_texts(text):
+    import time
+
+    start = time.process_time()
+    good = pii.base_spans(text)
+    pii.candidates(text, good)
+    assert time.process_time() - start < 30
+
+
 def test_pii_base_spans(spark):
     got = {r.doc_id: r for r in pii.pii(clash(frame(spark, [(1, PII_TEXT), (2, None), (None, PII_TEXT), (1, PII_TEXT)]))).collect()}
     text = lambda r: [(x.kind, PII_TEXT[x.start:x.end]) for x in r.base]
