@@ -20,10 +20,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.embed import DIM, hash_embed
+from ..functions.embed import DIM
 from ..functions.features import feature_similarity, feature_vector
-from ..functions.text import clean, clean_token_list, corpus
-from . import hierarchy, lexical, rank, vectors
+from ..functions.text import clean_token_list, corpus
+from . import grouped, hierarchy, lexical, rank, vectors
+from .parts import Parts
 from .position import row_position
 
 
@@ -51,14 +52,14 @@ def with_corpus(catalog: DataFrame) -> DataFrame:
     return catalog.withColumn("corpus", corpus("segment_name", "family_name", "class_name", "commodity_name"))
 
 
-def catalog_features(catalog: DataFrame, pos_col: str | None = None) -> DataFrame:
+def catalog_features(catalog: DataFrame, pos_col: str | None = None, extractor=feature_vector) -> DataFrame:
     """feature vector of the corpus per commodity name, last row wins."""
     c = with_corpus(catalog)
     pos = row_position(c, pos_col)
-    return c.groupBy("commodity_name").agg(F.max_by(feature_vector("corpus"), pos).alias("cat_features"))
+    return c.groupBy("commodity_name").agg(F.max_by(extractor(F.col("corpus")), pos).alias("cat_features"))
 
 
-def enriched_catalog(catalog: DataFrame, cfg: ClassifyConfig = ClassifyConfig()) -> DataFrame:
+def enriched_catalog(catalog: DataFrame, cfg: ClassifyConfig = ClassifyConfig(), parts: Parts = Parts()) -> DataFrame:
     """One row per catalog entry with everything the per-query stages read.
 
     Built once per catalog (persist or write it): corpus, names, distinct corpus tokens for the
@@ -67,65 +68,65 @@ def enriched_catalog(catalog: DataFrame, cfg: ClassifyConfig = ClassifyConfig())
     c = with_corpus(catalog)
     out = c.select(
         F.col("commodity_code").alias("doc_id"), "commodity_code", "commodity_name", "segment_name", "family_name",
-        "class_name", "corpus", F.array_distinct(clean_token_list("corpus")).alias("doc_tokens"),
+        "class_name", "corpus", F.array_distinct(parts.tokens("corpus")).alias("doc_tokens"),
     )
     if cfg.use_features:
-        out = out.join(catalog_features(c), "commodity_name", "left")
+        out = out.join(catalog_features(c, extractor=parts.extractor), "commodity_name", "left")
     if cfg.use_hierarchy:
         out = out.join(hierarchy.reach_segments(c), "commodity_name", "left")
     return out
 
 
 def retrieve(products: DataFrame, catalog: DataFrame, cfg: ClassifyConfig = ClassifyConfig(),
-             index: lexical.LexicalIndex | None = None, catalog_vectors: vectors.VectorIndex | None = None,
-             enriched: DataFrame | None = None, desc_col: str = "description") -> DataFrame:
+             groups: grouped.GroupedIndex | None = None, catalog_vectors: vectors.VectorIndex | None = None,
+             enriched: DataFrame | None = None, desc_col: str = "description", parts: Parts | None = None) -> DataFrame:
     """R10 + R11: fused candidates per product with their catalog row attached."""
     c = with_corpus(catalog)
     q = products.select(F.col("product_id").alias("query_id"), F.col(desc_col).alias("description"))
-    if index is None:
-        index = lexical.build_stored_index(c, "commodity_code", "corpus")
-    lex = lexical.bm25_topk_dense(q, "query_id", "description", index, cfg.retrieve_k).select(
+    parts = parts or Parts(dim=cfg.embed_dim)
+    if groups is None:
+        groups = grouped.group_index(lexical.build_stored_index(c, "commodity_code", "corpus", parts.tokens))
+    lex = grouped.bm25_topk_grouped(q, "query_id", "description", groups, cfg.retrieve_k, parts.tokens).select(
         "query_id", "doc_id", F.col("score").alias("lex_score"), F.col("rank").alias("lex_rank"))
-    qv = q.select("query_id", hash_embed(clean("description"), cfg.embed_dim).alias("embedding"))
+    qv = parts.queries(q, "query_id", "description")
     if catalog_vectors is None:
-        catalog_vectors = vectors.cluster(c.select(F.col("commodity_code").alias("doc_id"),
-                                                   hash_embed("corpus", cfg.embed_dim).alias("embedding")))
+        catalog_vectors = vectors.cluster(parts.catalog(c, "commodity_code", "corpus"))
     sem = vectors.knn(qv, None, cfg.retrieve_k, index=catalog_vectors).select(
         "query_id", "doc_id", vectors.similarity(F.col("distance")).alias("sem_score"), F.col("rank").alias("sem_rank"))
     if enriched is None:
-        enriched = enriched_catalog(c, cfg)
+        enriched = enriched_catalog(c, cfg, parts)
     return rank.fuse(sem, lex, enriched, key=cfg.key)
 
 
-def prebuild(catalog: DataFrame, path: str, cfg: ClassifyConfig = ClassifyConfig()) -> dict:
-    """Write the BM25 index, the clustered catalog vectors and the enriched catalog under ``path``, once per
-    catalog; the result (or :func:`prebuilt`) goes to :func:`classify_batch` as keywords."""
-    c = with_corpus(catalog)
-    lexical.build_stored_index(c, "commodity_code", "corpus", path=f"{path}/lexical")
-    vectors.cluster(c.select(F.col("commodity_code").alias("doc_id"), hash_embed("corpus", cfg.embed_dim).alias("embedding")), path=f"{path}/vectors")
-    enriched_catalog(c, cfg).write.parquet(f"{path}/enriched")
+def prebuild(catalog: DataFrame, path: str, cfg: ClassifyConfig = ClassifyConfig(), parts: Parts | None = None) -> dict:
+    """Write the BM25 index, its groups, the clustered catalog vectors and the enriched catalog under ``path``, once per
+    catalog; the result (or :func:`prebuilt`) goes to :func:`classify_batch` as keywords, with the same ``parts``."""
+    c, parts = with_corpus(catalog), parts or Parts(dim=cfg.embed_dim)
+    grouped.group_index(lexical.build_stored_index(c, "commodity_code", "corpus", parts.tokens, f"{path}/lexical"), f"{path}/groups")
+    vectors.cluster(parts.catalog(c, "commodity_code", "corpus"), path=f"{path}/vectors")
+    enriched_catalog(c, cfg, parts).write.parquet(f"{path}/enriched")
     return prebuilt(catalog.sparkSession, path)
 
 
 def prebuilt(spark: SparkSession, path: str) -> dict:
     """The tables that :func:`prebuild` wrote."""
-    return {"index": lexical.read_index(spark, f"{path}/lexical"), "catalog_vectors": vectors.read_vectors(spark, f"{path}/vectors"),
+    return {"groups": grouped.read_groups(spark, f"{path}/groups"), "catalog_vectors": vectors.read_vectors(spark, f"{path}/vectors"),
             "enriched": spark.read.parquet(f"{path}/enriched")}
 
 
 def score_candidates(cands: DataFrame, products: DataFrame, cfg: ClassifyConfig = ClassifyConfig(),
-                     desc_col: str = "description") -> DataFrame:
+                     desc_col: str = "description", parts: Parts = Parts()) -> DataFrame:
     """Steps 4-6 on fused candidates: routing evidence, pair score, cut, merge, boost, blend."""
     # Per-product values are computed once per product, before the join fans them out to candidates.
-    per_product = [F.array_distinct(clean_token_list("description")).alias("_q_tokens")]
+    per_product = [F.array_distinct(parts.tokens("description")).alias("_q_tokens")]
     if cfg.use_features:
-        per_product.append(feature_vector("description").alias("_q_features"))
+        per_product.append(parts.extractor(F.col("description")).alias("_q_features"))
     p = products.select(F.col("product_id").alias("query_id"), F.col(desc_col).alias("description")) \
                 .select("query_id", "description", *per_product)
     x = cands.join(p, "query_id")
     if cfg.use_hierarchy:
         x = hierarchy.evidence_segments(x, cfg.route_top)
-    x = x.withColumn("cross_score", rank.token_cosine(F.col("_q_tokens"), F.col("doc_tokens")))
+    x = parts.pair_scores(x)
     x = rank.rerank(x, cfg.rerank_k)
     x = rank.merge(x, cfg.alpha, cfg.beta)
     if cfg.use_hierarchy:
@@ -172,10 +173,12 @@ def predictions(scored: DataFrame, top_k: int = 10) -> DataFrame:
 
 
 def classify_batch(products: DataFrame, catalog: DataFrame, cfg: ClassifyConfig = ClassifyConfig(),
-                   desc_col: str = "description", **prebuilt) -> DataFrame:
-    """Predictions for every product (products without candidates get no rows)."""
-    cands = retrieve(products, catalog, cfg, desc_col=desc_col, **prebuilt)
-    return predictions(score_candidates(cands, products, cfg, desc_col), cfg.top_k)
+                   desc_col: str = "description", parts: Parts | None = None, **prebuilt) -> DataFrame:
+    """Predictions for every product (products without candidates get no rows); ``parts`` replaces the text
+    cleaner, embedder, pair model and feature extractor."""
+    parts = parts or Parts(dim=cfg.embed_dim)
+    cands = retrieve(products, catalog, cfg, desc_col=desc_col, parts=parts, **prebuilt)
+    return predictions(score_candidates(cands, products, cfg, desc_col, parts), cfg.top_k)
 
 
 def classify_lean(products: DataFrame, catalog: DataFrame, cfg: ClassifyConfig = ClassifyConfig(), **kw) -> DataFrame:

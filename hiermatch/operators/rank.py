@@ -52,8 +52,10 @@ def fuse(sem: DataFrame, lex: DataFrame, catalog: DataFrame, key: str = "text",
 
 
 def uniform_rows(cands: DataFrame, cols: list[str], scores: bool = True) -> DataFrame:
-    """Candidates of any retriever as (query_id, doc_id, cand_pos, cols...), with or without both scores."""
-    return cands.select("query_id", "doc_id", "cand_pos", *cols, *(["sem_score", "lex_score"] if scores else []))
+    """Candidates of any retriever as (query_id, doc_id, cand_pos, cols..., sem_score, lex_score); without
+    ``scores`` both are 0."""
+    both = ["sem_score", "lex_score"]
+    return cands.select("query_id", "doc_id", "cand_pos", *cols, *(both if scores else [F.lit(0.0).alias(c) for c in both]))
 
 
 def candidate_counts(cands: DataFrame) -> DataFrame:
@@ -71,7 +73,7 @@ def token_cosine(q_tokens: Column, d_tokens: Column) -> Column:
 
 def pair_scores_with(pairs: DataFrame, query_col: str, doc_col: str, model_factory, out_col: str = "cross_score",
                      batch_rows: int = 256) -> DataFrame:
-    """X1 with a pluggable pair model: ``model_factory()`` (once per task) returns
+    """X1 with a pluggable pair model: ``model_factory()`` (in each task; a ``parts.Model`` loads once per worker) returns
     ``score(list[str], list[str]) -> array[n]``; pairs travel as Arrow batches."""
     schema = T.StructType(pairs.schema.fields + [T.StructField(out_col, T.DoubleType())])
 

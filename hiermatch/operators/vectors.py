@@ -246,7 +246,7 @@ def knn_lsh(queries: DataFrame, catalog: DataFrame, k: int, qid: str = "query_id
 
 
 def embed_with(df: DataFrame, text_col: str, out_col: str, model_factory, dim: int, batch_rows: int = 256) -> DataFrame:
-    """R4 with a pluggable model: ``model_factory()`` is called once per task and must return
+    """R4 with a pluggable model: ``model_factory()`` is called in each task (a ``parts.Model`` loads once per worker) and must return
     ``encode(list[str]) -> np.ndarray[n, dim]``.  Arrow batches keep the transfer vectorised."""
     schema = T.StructType(df.schema.fields + [T.StructField(out_col, T.ArrayType(T.DoubleType()))])
 

@@ -40,6 +40,13 @@ def clean_tokens(x: str) -> str:
     return tokens(clean(x))
 
 
+def token_map(x: str) -> str:
+    """T5."""
+    mapped = "CASE " + " ".join(f"WHEN t = {q(k)} THEN {q(v)}" for k, v in TOKEN_MAP) + " ELSE t END"
+    e = f"array_to_string(list_transform({tokens(f'lower({x})')}, lambda t: {mapped}), ' ')"
+    return f"trim(regexp_replace(regexp_replace({e}, '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
 def split_tokens(x: str) -> str:
     return tokens(f"lower(coalesce({x}, ''))")
 
@@ -145,20 +152,28 @@ def norm_sql(a: str) -> str:
 
 def classify_ctes(products: str = "products", catalog: str = "catalog", retrieve_k: int = 50, rerank_k: int = 20,
                   use_hierarchy: bool = True, use_features: bool = True, key: str = "text", dim: int = 64,
-                  alpha: float = 0.4, beta: float = 0.6, boost: float = 1.3, route_top: int = 5) -> str:
-    """CTE chain for the batch classifier; defines cat, fused (candidates), scored, preds."""
+                  alpha: float = 0.4, beta: float = 0.6, boost: float = 1.3, route_top: int = 5, tok=clean_tokens,
+                  clean=clean, embed=None, cross=None, features=feature_vector, n_features: int = 21) -> str:
+    """CTE chain for the batch classifier; defines cat, fused (candidates), scored, preds.
+
+    ``tok``, ``clean``, ``embed`` (whole vector), ``cross`` (of query and catalog text) and ``features`` take and give
+    SQL, for the classifier's replaceable parts.
+    """
+    vec = embed or (lambda x: hash_embed(x, dim))
+    unit = l2norm_sql if embed is None else (lambda c: c)
+    cross_sql = cross and cross("pq.description", "f.corpus")
     key_expr = "corpus" if key == "text" else "CAST(doc_id AS VARCHAR)"
     parts = [f"""
 cat AS (SELECT commodity_code, segment_name, family_name, class_name, commodity_name, {corpus()} AS corpus
         FROM {catalog}),
-{bm25_ctes("cat", "commodity_code", "corpus", products, "product_id", "description", prefix="c_").strip()},
+{bm25_ctes("cat", "commodity_code", "corpus", products, "product_id", "description", tok=tok, prefix="c_").strip()},
 lex AS (SELECT query_id, doc_id, score AS lex_score, rk AS lex_rank FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rk FROM c_scores)
         WHERE rk <= {retrieve_k}),
-qv0 AS (SELECT product_id AS query_id, {hash_embed(clean("description"), dim)} AS c FROM {products}),
-qv AS (SELECT query_id, {l2norm_sql("c")} AS v FROM qv0),
-cv0 AS (SELECT commodity_code AS doc_id, {hash_embed("corpus", dim)} AS c FROM cat),
-cv AS (SELECT doc_id, {l2norm_sql("c")} AS v FROM cv0),
+qv0 AS (SELECT product_id AS query_id, {vec(clean("description"))} AS c FROM {products}),
+qv AS (SELECT query_id, {unit("c")} AS v FROM qv0),
+cv0 AS (SELECT commodity_code AS doc_id, {vec("corpus")} AS c FROM cat),
+cv AS (SELECT doc_id, {unit("c")} AS v FROM cv0),
 dist AS (SELECT qv.query_id, cv.doc_id, {sqdist("qv.v", "cv.v")} AS d FROM qv, cv),
 sem AS (SELECT query_id, doc_id, 1.0 / (1.0 + d) AS sem_score, rk AS sem_rank FROM (
         SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), doc_id) AS rk FROM dist)
@@ -174,12 +189,12 @@ fused AS (SELECT g.*, c.commodity_code, c.commodity_name, c.segment_name, c.fami
                  row_number() OVER (PARTITION BY g.query_id ORDER BY (g.sem_rank IS NULL), g.sem_rank, g.lex_rank,
                                     g.doc_id) AS cand_pos
           FROM g JOIN cat c ON c.commodity_code = g.doc_id),
-pq AS (SELECT product_id AS query_id, description, list_distinct({clean_tokens("description")}) AS qt FROM {products}),
+pq AS (SELECT product_id AS query_id, description, list_distinct({tok("description")}) AS qt FROM {products}),
 x AS (SELECT f.*, pq.description,
-             CASE WHEN len(pq.qt) * len(list_distinct({clean_tokens("f.corpus")})) > 0
-                  THEN len(list_intersect(pq.qt, list_distinct({clean_tokens("f.corpus")})))
-                       / sqrt(CAST(len(pq.qt) AS DOUBLE) * len(list_distinct({clean_tokens("f.corpus")})))
-                  ELSE 0.0 END AS cross_score
+             {cross_sql or f"""CASE WHEN len(pq.qt) * len(list_distinct({tok("f.corpus")})) > 0
+                  THEN len(list_intersect(pq.qt, list_distinct({tok("f.corpus")})))
+                       / sqrt(CAST(len(pq.qt) AS DOUBLE) * len(list_distinct({tok("f.corpus")})))
+                  ELSE 0.0 END"""} AS cross_score
       FROM fused f JOIN pq ON f.query_id = pq.query_id),
 rr AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cross_score, 9) DESC, cand_pos)
        AS rerank_pos FROM x) WHERE rerank_pos <= {rerank_k}),
@@ -208,10 +223,10 @@ boosted AS (SELECT m.*, (inh.query_id IS NOT NULL) AS in_hierarchy,
         parts.append("""
 boosted AS (SELECT *, false AS in_hierarchy, final_score AS boosted_score FROM merged2)""")
     if use_features:
-        zeros = "[" + ", ".join(["0.0"] * 21) + "]::DOUBLE[]"
+        zeros = "[" + ", ".join(["0.0"] * n_features) + "]::DOUBLE[]"
         parts.append(f"""
-catf AS (SELECT commodity_name, arg_max({feature_vector("corpus")}, commodity_code) AS cf FROM cat GROUP BY commodity_name),
-fb AS (SELECT b.*, {feature_vector("b.description")} AS pf, coalesce(catf.cf, {zeros}) AS cf2
+catf AS (SELECT commodity_name, arg_max({features("corpus")}, commodity_code) AS cf FROM cat GROUP BY commodity_name),
+fb AS (SELECT b.*, {features("b.description")} AS pf, coalesce(catf.cf, {zeros}) AS cf2
        FROM boosted b LEFT JOIN catf ON catf.commodity_name = b.commodity_name),
 scored AS (SELECT *, 1.0 - {norm_sql("list_transform(list_zip(pf, cf2), lambda p: p[1] - p[2])")}
                       / (1.0 + {norm_sql("pf")} + {norm_sql("cf2")}) AS feature_sim FROM fb),

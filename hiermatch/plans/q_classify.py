@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.embed import hash_embed
+from ..functions.text import clean, clean_tokens
 from ..operators import classify as C
-from ..operators import rank
+from ..operators import grouped, lexical, rank, vectors
+from ..operators.parts import Model, Parts
 from ..session import shared_path
+from ..sources import sinks
 from ..sources.views import view
 from . import oracle as O
 from .registry import register
@@ -187,3 +191,90 @@ SELECT query_id, doc_id, {O.round6("final_boosted_score")} AS final_boosted_scor
 def f_blend(spark, sf):
     x = _scored(spark, sf)
     return x.select("query_id", "doc_id", r6("final_boosted_score").alias("final_boosted_score"))
+
+
+# ---------------------------------------------------------------- C2 with replaced parts; R7, R11
+
+def _letter_counts():
+    """A stand-in for a text model: shares of four letters, so that SQL can compute the same vectors."""
+    import numpy as np
+
+    return lambda texts: np.array([[t.count(c) / (1.0 + len(t)) for c in "aeio"] for t in texts]).reshape(len(texts), 4)
+
+
+def _length_ratio():
+    """A stand-in for a pair model: the shorter text's length by the longer one's."""
+    return lambda qs, ds: [min(len(q), len(d)) / (1.0 + max(len(q), len(d))) for q, d in zip(qs, ds)]
+
+
+def _letters(c):
+    return F.array(*[(F.length(c) - F.length(F.replace(c, F.lit(x), F.lit("")))).cast("double") for x in "rst"])
+
+
+CUSTOM = Parts(cleaner=clean_tokens, embedder=Model("letter-counts", _letter_counts), dim=4, pair_model=Model("length-ratio", _length_ratio), extractor=_letters)
+_LETTER_SQL = lambda x: f"list_transform(['a', 'e', 'i', 'o'], lambda l: (length({x}) - length(replace({x}, l, ''))) / (1.0 + length({x})))"
+_CUSTOM = O.classify_ctes(
+    tok=lambda x: O.tokens(O.token_map(x)), clean=O.token_map, embed=_LETTER_SQL,
+    cross=lambda a, b: f"least(length({a}), length({b})) / (1.0 + greatest(length({a}), length({b})))",
+    features=lambda x: "[" + ", ".join(f"length({x}) - length(replace({x}, '{l}', ''))" for l in "rst") + "]::DOUBLE[]", n_features=3)
+
+
+@register("c_custom_parts", views=VIEWS, sql=f"WITH {_CUSTOM}\nSELECT {O.PRED_COLS} FROM preds WHERE rank <= 10")
+def c_custom_parts(spark, sf):
+    """C2 with another cleaner, embedder, pair model and extractor, from tables prebuilt with the same parts."""
+    products, catalog = _inputs(spark, sf)
+    tables = C.prebuild(catalog, shared_path(spark, "classifier-custom"), CFG, CUSTOM)
+    return _pred_out(C.classify_batch(products, catalog, CFG, parts=CUSTOM, **tables))
+
+
+_SEM_ONLY = f"WITH {_CTES}, hit AS (SELECT s.query_id, s.doc_id, s.sem_score, s.sem_rank, cat.* EXCLUDE (corpus), corpus FROM sem s JOIN cat ON cat.commodity_code = s.doc_id WHERE sem_rank <= 10)"
+
+
+@register("r_search_text", views=VIEWS, sql=f"""{_SEM_ONLY}
+SELECT query_id, CAST(sem_rank AS INTEGER) AS rank, corpus, commodity_code, commodity_name, segment_name, family_name, class_name FROM hit""")
+def r_search_text(spark, sf):
+    """Description texts in, the documents (text and metadata) of the ten nearest catalog rows out."""
+    products, catalog = _inputs(spark, sf)
+    docs = C.with_corpus(catalog)
+    table = sinks.build_vector_table(docs, shared_path(spark, "searched"))
+    found = vectors.search_text(products, 10, vectors.cluster(table), lambda c: hash_embed(clean(c), CFG.embed_dim), "product_id", "description")
+    out = found.join(table.select("doc_id", "corpus", "metadata"), "doc_id")
+    return out.select("query_id", F.col("rank").cast("int").alias("rank"), "corpus", F.col("doc_id").alias("commodity_code"), "metadata.commodity_name",
+                      "metadata.segment_name", "metadata.family_name", "metadata.class_name")
+
+
+_UNIFORM = ["commodity_code", "commodity_name", "segment_name"]
+
+
+@register("r_uniform_scored", views=VIEWS, sql=f"""WITH {_CTES}
+SELECT query_id, doc_id, CAST(cand_pos AS INTEGER) AS cand_pos, commodity_code, commodity_name, segment_name,
+       {O.round6("sem_score")} AS sem_score, {O.round6("lex_score")} AS lex_score FROM fused""")
+def r_uniform_scored(spark, sf):
+    """R11 with scores: the fused candidates as uniform rows."""
+    cands, _ = _fused(spark, sf)
+    out = rank.uniform_rows(cands, _UNIFORM)
+    return out.select("query_id", "doc_id", F.col("cand_pos").cast("int").alias("cand_pos"), *_UNIFORM, r6("sem_score").alias("sem_score"), r6("lex_score").alias("lex_score"))
+
+
+@register("r_uniform_plain", views=VIEWS, sql=f"""{_SEM_ONLY}
+SELECT query_id, doc_id, CAST(sem_rank AS INTEGER) AS cand_pos, commodity_code, commodity_name, segment_name, CAST(0 AS DOUBLE) AS sem_score, CAST(0 AS DOUBLE) AS lex_score FROM hit""")
+def r_uniform_plain(spark, sf):
+    """R11 without scores: the hits of one retriever as the same rows, both scores 0."""
+    products, catalog = _inputs(spark, sf)
+    docs = C.with_corpus(catalog)
+    index = vectors.cluster(docs.select(F.col("commodity_code").alias("doc_id"), hash_embed("corpus", CFG.embed_dim).alias("embedding")))
+    found = vectors.search_text(products, 10, index, lambda c: hash_embed(clean(c), CFG.embed_dim), "product_id", "description")
+    hits = found.withColumnRenamed("rank", "cand_pos").join(docs.withColumnRenamed("commodity_code", "doc_id").withColumn("commodity_code", F.col("doc_id")), "doc_id")
+    return rank.uniform_rows(hits, _UNIFORM, scores=False).withColumn("cand_pos", F.col("cand_pos").cast("int"))
+
+
+# ---------------------------------------------------------------- R2, R3 by group bounds
+
+@register("r_bm25_grouped", views=VIEWS, sql=f"""WITH {_CTES}
+SELECT query_id, doc_id, {O.round6("lex_score")} AS score, CAST(lex_rank AS INTEGER) AS rank FROM lex""")
+def r_bm25_grouped(spark, sf):
+    """The fifty best catalog rows of every description, hardly any of whose words is selective."""
+    products, catalog = _inputs(spark, sf)
+    index = grouped.group_index(lexical.build_stored_index(C.with_corpus(catalog), "commodity_code", "corpus"))
+    top = grouped.bm25_topk_grouped(products, "product_id", "description", index, CFG.retrieve_k)
+    return top.select("query_id", "doc_id", r6("score").alias("score"), F.col("rank").cast("int").alias("rank"))

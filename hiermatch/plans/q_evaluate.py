@@ -14,7 +14,7 @@ from ..functions.text import clean
 from ..operators import classify as C
 from ..operators import evaluate as E
 from ..operators import hierarchy as H
-from ..operators import lexical, vectors
+from ..operators import grouped, lexical, vectors
 from ..sources.views import view
 from . import oracle as O
 from .registry import register
@@ -34,8 +34,8 @@ def _cat(spark, sf):
 
 def lex_preds(spark, sf, k=10):
     cat = _cat(spark, sf)
-    idx = lexical.build_stored_index(cat, "commodity_code", "corpus")
-    t = lexical.bm25_topk_dense(view(spark, sf, "products_gate"), "product_id", "description", idx, k)
+    idx = grouped.group_index(lexical.build_stored_index(cat, "commodity_code", "corpus"))
+    t = grouped.bm25_topk_grouped(view(spark, sf, "products_gate"), "product_id", "description", idx, k)
     return t.select(F.col("query_id").alias("product_id"), F.col("rank").cast("int").alias("rank"),
                     F.col("doc_id").alias("commodity_code"), "score")
 
@@ -307,8 +307,8 @@ def e_errors_nested(spark, sf):
 
 def _query_lex(spark, sf):
     cat = _cat(spark, sf)
-    idx = lexical.build_stored_index(cat, "commodity_code", "corpus")
-    t = lexical.bm25_topk_dense(view(spark, sf, "search_queries"), "query_id", "search_query", idx, 10)
+    idx = grouped.group_index(lexical.build_stored_index(cat, "commodity_code", "corpus"))
+    t = grouped.bm25_topk_grouped(view(spark, sf, "search_queries"), "query_id", "search_query", idx, 10)
     return t.join(cat.select(F.col("commodity_code").alias("doc_id"), F.col("commodity_name").alias("pred_name"),
                              "segment_name", "family_name", "class_name"), "doc_id")
 

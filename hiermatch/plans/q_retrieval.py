@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.embed import DIM, hash_embed
 from ..functions.text import clean, corpus
-from ..operators import containment, evaluate, lexical, vectors
+from ..operators import containment, evaluate, grouped, lexical, vectors
 from ..sources.views import table, view
 from . import oracle as O
 from .registry import register

@@ -101,28 +101,41 @@ def s_json_mined(spark, sf):
     return spark.read.schema(schema).json(path)
 
 
-@register("s_predictions_csv", views=q_evaluate.VIEWS, sql="WITH " + q_evaluate._LEX_PREDS_SQL.strip() + f"""
+_PREDICTIONS_SQL = "WITH " + q_evaluate._LEX_PREDS_SQL.strip() + f"""
 SELECT p.product_id, p.description, p.commodity_name AS ground_truth, pr.rank, pr.commodity_code, c.commodity_name,
        {O.round6("pr.score")} AS score, c.segment_name AS segment, c.family_name AS family, c.class_name AS class, false AS in_hierarchy
-FROM products_gate p LEFT JOIN preds pr ON pr.product_id = p.product_id LEFT JOIN catalog c ON c.commodity_code = pr.commodity_code
-WHERE p.product_id > 0""")
-def s_predictions_csv(spark, sf):
-    """Nested predictions -> CSV (``to_json`` column) -> whole records parsed back (the gate's edge rows,
-    which have negative ids, hold empty strings that CSV cannot tell from null)."""
+FROM products_gate p LEFT JOIN preds pr ON pr.product_id = p.product_id LEFT JOIN catalog c ON c.commodity_code = pr.commodity_code"""
+
+
+def _nested(spark, sf):
     cat = view(spark, sf, "catalog").select(
         "commodity_code", "commodity_name", F.col("segment_name").alias("segment"), F.col("family_name").alias("family"),
         F.col("class_name").alias("class"), F.lit(False).alias("in_hierarchy"))
-    nested = C.nest(q_evaluate.lex_preds(spark, sf).join(cat, "commodity_code"), view(spark, sf, "products_gate"))
-    path = sinks.scratch_path(spark, "predictions")
-    sinks.write_predictions_csv(nested, path)
-    back = spark.read.schema("product_id long, description string, top_k_predictions string, ground_truth string") \
-        .option("header", True).option("escape", '"').option("multiLine", True).csv(path).where("product_id > 0")
-    rec = "array<struct<rank:int,commodity_code:long,commodity_name:string,score:double,segment:string,family:string,class:string,in_hierarchy:boolean>>"
-    rows = back.select("product_id", "description", "ground_truth", F.explode_outer(F.from_json("top_k_predictions", rec)).alias("p"))
+    return C.nest(q_evaluate.lex_preds(spark, sf).join(cat, "commodity_code"), view(spark, sf, "products_gate"))
+
+
+def _flat(nested):
+    rows = nested.select("product_id", "description", "ground_truth", F.explode_outer("top_k_predictions").alias("p"))
     return rows.select("product_id", "description", "ground_truth", "p.*").withColumn("score", F.round("score", 6) + F.lit(0.0)).withColumn(
         "in_hierarchy", F.coalesce("in_hierarchy", F.lit(False)))
 
 
+@register("s_predictions_csv", views=q_evaluate.VIEWS, sql=_PREDICTIONS_SQL)
+def s_predictions_csv(spark, sf):
+    """Nested predictions -> CSV (``to_json`` column) -> whole records parsed back, null and empty strings apart."""
+    path = sinks.scratch_path(spark, "predictions")
+    sinks.write_predictions_csv(_nested(spark, sf), path)
+    return _flat(readers.read_predictions_csv(spark, path))
+
+
+@register("s_predictions_parquet", views=q_evaluate.VIEWS, sql=_PREDICTIONS_SQL)
+def s_predictions_parquet(spark, sf):
+    """S8, native form: nested predictions -> Parquet -> whole records read back."""
+    path = sinks.scratch_path(spark, "predictions-parquet")
+    sinks.write_predictions_parquet(_nested(spark, sf), path)
+    return _flat(spark.read.parquet(path))
+
+
 @register("s_metrics_csv", views=q_evaluate.VIEWS, sql=q_evaluate._METRICS + "\nSELECT * FROM mrow")
 def s_metrics_csv(spark, sf):
     """The metrics row written as CSV and read back with its schema."""

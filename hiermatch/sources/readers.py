@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 
 from ..functions.text import corpus
 from ..operators.position import ROW_POS
+from .sinks import EXACT_CSV
 
+# The CSV headers.
 CATALOG_HEADER = (
     ("Segment Code", "segment_code", T.LongType()),
     ("Segment Name", "segment_name", T.StringType()),
@@ -85,3 +87,14 @@ VECTOR_SCHEMA = T.StructType([
 def load_vector_table(spark: SparkSession, path: str) -> DataFrame:
     """The persisted vector table (its row count is one cheap parquet-metadata aggregate)."""
     return spark.read.schema(VECTOR_SCHEMA).parquet(path)
+
+
+PREDICTIONS = "array<struct<rank:int,commodity_code:long,commodity_name:string,score:double,segment:string,family:string,class:string,in_hierarchy:boolean>>"
+
+
+def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The table that :func:`sinks.write_predictions_csv` wrote: product_id, description, top_k_predictions
+    (array of records, null if the product has none), ground_truth."""
+    flat = spark.read.schema("product_id long, description string, top_k_predictions string, ground_truth string").options(
+        **EXACT_CSV, emptyValue="", multiLine="true", mode="FAILFAST", enforceSchema="false").csv(path)
+    return flat.withColumn("top_k_predictions", F.from_json("top_k_predictions", PREDICTIONS))

@@ -7,19 +7,22 @@ cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.embed import DIM, hash_embed
-from ..session import ensure_checkpoint_dir
+from ..session import shared_path
+
+
+#: CSV in which every string comes back as it was: null and the empty string are told apart, blanks are kept.
+NULL_MARK = "\x01N"
+EXACT_CSV = {"header": "true", "quote": '"', "escape": '"', "nullValue": NULL_MARK,
+             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/hiermatch-out/{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared checkpoint folder, removed when the session ends."""
+    return shared_path(spark, name)
 
 
 def build_vector_table(catalog: DataFrame, path: str, dim: int = DIM, embedding: DataFrame | None = None,
@@ -27,7 +30,7 @@ def build_vector_table(catalog: DataFrame, path: str, dim: int = DIM, embedding:
     """One (doc_id, corpus, metadata, embedding) row per catalog entry, written as parquet.
 
     ``embedding`` may supply (doc_id, embedding) from a model job; the default is the
-    built-in hashed embedding of the raw corpus.
+    built-in hashed embedding of the raw corpus.  Returns the written table.
     """
     base = catalog.select(
         F.col("commodity_code").alias("doc_id"), "corpus",
@@ -37,7 +40,7 @@ def build_vector_table(catalog: DataFrame, path: str, dim: int = DIM, embedding:
     else:
         out = base.join(embedding, "doc_id")
     out.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
-    return out
+    return catalog.sparkSession.read.schema(out.schema).parquet(path)
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -46,9 +49,10 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_predictions_csv(nested: DataFrame, path: str) -> None:
-    """CSV with a header; the nested prediction list is serialised with ``to_json``."""
+    """CSV with a header; the nested prediction list is serialised with ``to_json``.  Null is ``NULL_MARK``,
+    an empty string is empty; :func:`readers.read_predictions_csv` brings both back."""
     flat = nested.withColumn("top_k_predictions", F.to_json("top_k_predictions"))
-    flat.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    flat.write.mode("overwrite").options(**EXACT_CSV, emptyValue='""').csv(path)
 
 
 def write_predictions_parquet(nested: DataFrame, path: str) -> None:

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from hiermatch.operators import lexical
+from hiermatch.operators import grouped, lexical
 
 DOCS = [
     (1, "steel pipe steel"),
@@ -101,19 +101,65 @@ def test_topk_with_negative_weights(spark):
     assert {(r["query_id"], r["doc_id"], r["rank"]) for r in got} == plain_topk(docs, queries, 4)
 
 
-def test_dense_form_equals_pruned_plan(spark, sf):
+@pytest.mark.parametrize("groups", [1, 20, 10_000])
+@pytest.mark.parametrize("k", [1, 7, 1000])
+def test_grouped_topk_is_exact(spark, groups, k):
+    """Few, some and as many groups as documents; hot tokens, ties, string ids, repeated and unknown query tokens."""
+    rng = random.Random(k + groups)
+    rare = [f"r{i}" for i in range(60)]
+    common = ["brand", "the", "of", "steel", "big", "red", "blue"]
+    docs = [(f"d{i:03d}", " ".join([c for c in common if rng.random() < 0.6] + rng.choices(rare, k=rng.randint(0, 3)))) for i in range(300)]
+    docs += [("e1", ""), ("e2", None)]
+    queries = [(f"q{i}", " ".join(rng.choices(rare, k=rng.randint(0, 3)) + rng.choices(common, k=rng.randint(0, 4)) + ["nowhere"])) for i in range(30)]
+    idx = lexical.build_index(spark.createDataFrame(docs, "doc_id string, text string"), "doc_id", "text", tokenizer=lexical.split_tokens)
+    got = grouped.bm25_topk_grouped(spark.createDataFrame(queries, "qid string, text string"), "qid", "text", grouped.group_index(idx, groups=groups), k,
+                                    tokenizer=lexical.split_tokens).collect()
+    assert {(r["query_id"], r["doc_id"], r["rank"]) for r in got} == plain_topk([(d, t or "") for d, t in docs], queries, k)
+
+
+def test_grouped_topk_with_negative_weights(spark):
+    docs = [(i, "a b c" if i % 5 else "a b") for i in range(20)]
+    queries = [(1, "a b c"), (2, "c c"), (3, "a")]
+    idx = lexical.build_index(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", tokenizer=lexical.split_tokens)
+    got = grouped.bm25_topk_grouped(spark.createDataFrame(queries, "qid long, text string"), "qid", "text", grouped.group_index(idx), 4, tokenizer=lexical.split_tokens).collect()
+    assert {(r["query_id"], r["doc_id"], r["rank"]) for r in got} == plain_topk(docs, queries, 4)
+
+
+def test_grouped_topk_of_empty_tables(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    some = spark.createDataFrame(DOCS, "doc_id long, text string")
+    assert grouped.bm25_topk_grouped(some, "doc_id", "text", grouped.group_index(lexical.build_index(none, "doc_id", "text")), 3).count() == 0
+    assert grouped.bm25_topk_grouped(none, "doc_id", "text", grouped.group_index(lexical.build_index(some, "doc_id", "text")), 3).count() == 0
+
+
+def test_grouped_scores_fewer_pairs_as_the_catalog_grows(spark):
+    """Pairs that are scored, as a share of queries x rows: it falls, and the rows equal the pruned plan's."""
     from hiermatch.operators import classify as C
     from hiermatch.sources.views import view
 
-    c = C.with_corpus(view(spark, sf, "catalog")).withColumn("code", F.concat(F.lit("c"), F.lpad(F.col("commodity_code").cast("string"), 6, "0")))
-    q = view(spark, sf, "products")
-    idx = lexical.build_stored_index(c, "code", "corpus")
+    shares = []
+    for sf in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
+        c, q = C.with_corpus(view(spark, sf, "catalog")), view(spark, sf, "products")
+        idx = lexical.build_stored_index(c, "commodity_code", "corpus")
+        g = grouped.group_index(idx)
+        shares.append(grouped.candidates(q, "product_id", "description", g, 20).count() / (c.count() * q.count()))
+    assert shares[1] < 0.7 * shares[0]
+    few = q.where("product_id % 50 = 0")
     cols = ["query_id", "doc_id", F.round("score", 6).alias("s"), "rank"]
-    a = lexical.bm25_topk(q, "product_id", "description", idx, 20).select(*cols)
-    b = lexical.bm25_topk_dense(q, "product_id", "description", idx, 20, query_block=48, doc_block=64).select(*cols)
+    a = lexical.bm25_topk(few, "product_id", "description", idx, 20).select(*cols)
+    b = grouped.bm25_topk_grouped(few, "product_id", "description", g, 20).select(*cols)
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_grouped_plan_has_no_python_and_no_pairs(spark, sf):
+    from hiermatch.operators import classify as C
+    from hiermatch.sources.views import view
+
+    idx = grouped.group_index(lexical.build_index(C.with_corpus(view(spark, sf, "catalog")), "commodity_code", "corpus"))
+    plan = grouped.bm25_topk_grouped(view(spark, sf, "products"), "product_id", "description", idx, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "Python" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_topk_plan_has_no_python_and_no_pairs(spark, sf):
     from hiermatch.operators import classify as C
     from hiermatch.sources.views import view
