@@ -17,27 +17,28 @@ from hiermatch.llm.simhash import keep_apart
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rule ensemble rejects go."""
+    """Documents that the rule ensemble rejects go; null and empty texts are scored like any other, equal texts alike."""
     return keep_good(docs, table(spark, sf_dir, "labels"), threshold=0.7)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id stays."""
+    """Of equal texts the document with the smallest id stays, null ids last; null and empty texts are equal."""
     return keep_first(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by SimHash (3-word shingles, 3 bits) the one with the smallest id stays."""
+    """Of documents linked by SimHash (3-word shingles, 3 bits) the one with the smallest id stays, null ids last and
+    ties by digest of the text; different texts under one id are different documents."""
     return keep_apart(docs, shingle=3, distance=3)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents whose own text holds a benchmark item go, whatever their id."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"), n=5, threshold=0.8)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per document: its length bucket, batch and place."""
+    """One row per document: its length bucket, batch and place; null and repeated ids keep a row each."""
     return pack(docs)
 
 
