@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import id_text, save
 from .wordhash import LOWER, NOT_WORD, chunks, hashes, rolling, whole, words
@@ -106,7 +107,7 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 5, threshold: floa
     wanted = items.select(F.col(item_col).alias("item_id"), F.col(item_text).alias("text")).distinct()
     kinds = docs.schema["doc_id"].dataType.simpleString(), wanted.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, n_shingles long, n_found long, containment double"
-    item_type = pa.array([], pa.int64()).type if kinds[1] == "bigint" else None
+    item_type = to_arrow_type(wanted.schema["item_id"].dataType)
     spark, out, block, size = docs.sparkSession, [], [], 0
 
     def search(block):
@@ -142,8 +143,13 @@ def contamination(docs: DataFrame, items: DataFrame, n: int = 5, threshold: floa
     return result
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **kw) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns; rows with a null id are judged
-    together and all go if one holds an item."""
-    bad = save(contamination(docs, items, id_col=id_col, **kw).select(F.col("doc_id").alias("bad_id")).distinct(), "contaminated")
-    return docs.join(bad, docs[id_col].eqNullSafe(bad["bad_id"]), "left_anti")
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns.
+
+    Every text is judged by itself, whatever its id: rows with a null id, or with an id that another text also has,
+    go only if their own text holds an item.  Null and empty texts hold none; repeated rows stay or go together.
+    """
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    texts = docs.select(digest.alias("digest"), F.col(text_col).alias("text"))
+    bad = save(contamination(texts, items, id_col="digest", **kw).select("doc_id").distinct(), "contaminated")
+    return docs.join(bad.select(F.struct("doc_id").alias("bad of text")), digest == F.col("bad of text.doc_id"), "left_anti")

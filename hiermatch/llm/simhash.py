@@ -102,8 +102,14 @@ def simhash_dedup(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col:
 
 
 def keep_apart(docs: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, with all their columns; rows with a
-    null id stay."""
-    found = simhash_dedup(docs, shingle, distance, id_col, text_col)
-    gone = save(found.where("doc_id != component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "simhash-gone")
-    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+    """One document of each component stays, with all its columns: the one with the smallest id, null ids last, and
+    of equal ids the one whose text has the smallest SHA-256.
+
+    A document is an (id, text) pair, so different texts under one id (or without one) are judged apart; rows
+    that repeat both are one document and stay or go together.  Null and empty texts are equal.  An empty table stays empty.
+    """
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), digest.alias("digest"))
+    found = simhash_dedup(docs.select(key.alias("key"), F.col(text_col).alias("text")), shingle, distance, "key")
+    gone = save(found.where("doc_id != component_id").select(F.col("doc_id").alias("gone of key")).distinct(), "simhash-gone")
+    return docs.join(gone, docs[id_col].eqNullSafe(gone["gone of key"]["id"]) & (digest == gone["gone of key"]["digest"]), "left_anti")

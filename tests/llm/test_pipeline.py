@@ -23,7 +23,7 @@ def documents(sf):
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_equals_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
     df = queries.QUERIES[name](spark, sf)
     cur = con.execute(queries.ORACLES[name])
@@ -98,3 +98,25 @@ def plain_shingles_of(text, k):
 def test_text_queries_brute_force(spark, sf, documents):
     assert {tuple(r) for r in queries.QUERIES["op5_substring"](spark, sf).collect()} == set(plain_substring(documents, 13))
     assert {tuple(r) for r in queries.QUERIES["op10_lines"](spark, sf).collect()} == set(plain_lines(documents, 3))
+
+
+@pytest.mark.parametrize("rows", [0, 40])
+def test_whole_pipeline_on_odd_tables(spark, sf, tmp_path, rows):
+    """No rows; and null ids, repeated ids and rows, null texts, and columns with the names the operators use."""
+    path, docs = str(tmp_path), table(spark, sf, "documents")
+    docs = docs.limit(rows).unionByName(docs.limit(rows // 4).withColumn("doc_id", docs["doc_id"] * 0 if rows else docs["doc_id"]))
+    odd = docs.limit(rows // 8).selectExpr("cast(null as bigint) as doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")])
+    docs = docs.unionByName(odd).unionByName(odd.withColumn("text", odd["text"].substr(0, 0))).unionByName(odd.selectExpr(
+        "doc_id", "cast(null as string) as text", *[c for c in docs.columns if c not in ("doc_id", "text")]))
+    for c in ("digest", "fp", "hot", "salt", "bucket", "stats", "length", "score", "label", "id", "key", "rest", "bad_id", "gone_id", "component_id"):
+        docs = docs.selectExpr("*", f"'x' as {c}")
+    docs.write.parquet(f"{path}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        table(spark, sf, t).write.parquet(f"{path}/{t}.parquet")
+    now, texts = spark.read.parquet(f"{path}/documents.parquet"), None
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = save(stage(spark, now, path), "test-odd")
+        assert after.columns == now.columns
+        texts, now = {r.text for r in after.collect()}, after
+        assert name != "exact_dedup" or now.count() == len({t or "" for t in texts})
+    assert corpus_pipeline.run(spark, path).count() == now.count()
