@@ -85,22 +85,25 @@ def dedupe(predictions: DataFrame) -> DataFrame:
 
 def per_product(gated: DataFrame, predictions: DataFrame, catalog: DataFrame, ks=KS, min_conf: float = THRESHOLD,
                 conf_col: str | None = None, pos_col: str | None = None, match_names: bool = False) -> DataFrame:
-    """Per evaluated product: counts, hit rank and per-k level matches."""
+    """Per evaluated product: counts, hit rank and per-k level matches.
+
+    The predictions are read once: one aggregate per (product, code) counts raw and confident rows and keeps the
+    best confident rank, the codes are ranked anew, and one aggregate per product does the rest.
+    """
     ev = gated.filter(F.col("status") == "evaluated")
-    keep = ["product_id", "rank", "commodity_code"] + ([conf_col] if conf_col else [])
-    preds = predictions.select(*keep).join(ev.select("product_id"), "product_id", "left_semi")
-    raw_n = preds.groupBy("product_id").agg(F.count(F.lit(1)).alias("n_raw"))
-    kept = threshold(preds, min_conf, conf_col)
-    kept_n = kept.groupBy("product_id").agg(F.count(F.lit(1)).alias("n_kept"))
-    dd = dedupe(kept)
-    h = code_hierarchy(catalog, pos_col)
-    dd = dd.join(h, "commodity_code", "left").join(
-        ev.select("product_id", "true_code", "true_segment", "true_family", "true_class", "truth_name"), "product_id"
-    )
+    confident = F.coalesce(F.col(conf_col), F.lit(1.0)) >= F.lit(min_conf) if conf_col else F.lit(1.0 >= min_conf)
+    real = F.col("commodity_code").isNotNull() & (F.col("commodity_code") != 0)
+    codes = predictions.groupBy("product_id", "commodity_code").agg(
+        F.count(F.lit(1)).alias("n_raw"), F.sum(confident.cast("long")).alias("n_kept"), F.min(F.when(confident & real, F.col("rank"))).alias("best"))
+    w = Window.partitionBy("product_id").orderBy(F.col("best").asc_nulls_last(), "commodity_code")
+    codes = codes.withColumn("rank", F.when(F.col("best").isNotNull(), F.row_number().over(w)))
+    truth = ev.select("product_id", "true_code", "true_segment", "true_family", "true_class", "truth_name")
+    rows = truth.join(codes, "product_id", "left").join(code_hierarchy(catalog, pos_col), "commodity_code", "left")
     hit = F.col("commodity_code") == F.col("true_code")
     if match_names:  # E13: code or lower/stripped name
         hit = hit | (join_key("commodity_name") == join_key("truth_name"))
-    aggs = [F.count(F.lit(1)).alias("n_dedup"), F.min(F.when(hit, F.col("rank"))).alias("hit_rank")]
+    count = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    aggs = [count("n_raw"), count("n_kept"), F.count("rank").alias("n_dedup"), F.min(F.when(hit, F.col("rank"))).alias("hit_rank")]
     for k in ks:
         for lvl, col in LEVELS:
             aggs.append(
@@ -108,14 +111,7 @@ def per_product(gated: DataFrame, predictions: DataFrame, catalog: DataFrame, ks
                     f"{lvl}_hit_{k}"
                 )
             )
-    agg = dd.groupBy("product_id").agg(*aggs)
-    out = (
-        ev.select("product_id")
-        .join(raw_n, "product_id", "left")
-        .join(kept_n, "product_id", "left")
-        .join(agg, "product_id", "left")
-        .fillna(0, subset=["n_raw", "n_kept", "n_dedup"])
-    )
+    out = rows.groupBy("product_id").agg(*aggs)
     cols = [
         "product_id", "n_raw", "n_kept", "n_dedup", "hit_rank",
         F.when(F.col("n_raw") == 0, 1).otherwise(0).alias("no_pred"),
