@@ -116,18 +116,6 @@ def query_terms(queries: DataFrame, qid_col: str, text_col: str, tokenizer=clean
     return terms.groupBy("query_id", "token").agg(F.count(F.lit(1)).alias("qtf"))
 
 
-def bm25_scores(
-    queries: DataFrame, qid_col: str, text_col: str, index: LexicalIndex, tokenizer=clean_token_list
-) -> DataFrame:
-    """R2: (query_id, doc_id, score) for every document sharing a token with the query."""
-    qt = query_terms(queries, qid_col, text_col, tokenizer)
-    return (
-        qt.join(index.weights.select("token", "doc_id", "w"), "token")
-        .groupBy("query_id", "doc_id")
-        .agg(F.sum(F.col("qtf") * F.col("w")).alias("score"))
-    )
-
-
 def top_k(scores: DataFrame, k: int, score_col: str = "score", id_col: str = "doc_id", part_col: str = "query_id",
           ascending: bool = False, rank_col: str = "rank") -> DataFrame:
     """First k per partition by score (rounded to 9 places), ties by id."""
@@ -148,18 +136,33 @@ def bm25_topk(queries: DataFrame, qid_col: str, text_col: str, index: LexicalInd
     terms = query_terms(queries, qid_col, text_col, tokenizer).join(index.idf, "token").select(
         "query_id", "token", "qtf", "df", F.greatest(F.col("qtf") * F.col("w_max"), F.lit(0.0)).alias("most"),
         F.least(F.col("qtf") * F.col("w_min"), F.lit(0.0)).alias("least"))
-    rarest = Window.partitionBy("query_id").orderBy("df", "token")
-    terms = terms.withColumn("before", F.coalesce(F.sum("df").over(rarest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    terms = terms.withColumn("seed", F.col("before") < SEED_FACTOR * k)
     post = index.weights.select("token", "doc_id", "w")
 
     def summed(chosen: DataFrame) -> DataFrame:
         return chosen.select("query_id", "token", "qtf").join(post, "token").groupBy("query_id", "doc_id").agg(
             F.sum(F.col("qtf") * F.col("w")).alias("part"))
 
+    def completed(pairs: DataFrame) -> DataFrame:
+        return pairs.join(post, ["token", "doc_id"]).groupBy("query_id", "doc_id").agg(F.sum(F.col("qtf") * F.col("w")).alias("rest"))
+
+    return pruned_topk(terms, k, summed, completed)
+
+
+def pruned_topk(terms: DataFrame, k: int, summed, completed) -> DataFrame:
+    """The three steps over any index.
+
+    ``terms`` has (query_id, token, qtf, df, most, least) and more; ``summed(terms)`` gives (query_id, doc_id, part),
+    the documents with any of these tokens; ``completed(pairs)`` takes (query_id, doc_id) with the columns of ``terms`` of
+    one token each and gives (query_id, doc_id, rest), what these tokens add.
+    """
+    cols = [c for c in terms.columns if c not in ("most", "least", "df")]
+    rarest = Window.partitionBy("query_id").orderBy("df", "token")
+    terms = terms.withColumn("before", F.coalesce(F.sum("df").over(rarest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    terms = terms.withColumn("seed", F.col("before") < SEED_FACTOR * k)
+
     # 1: a score that k documents reach, even if the other tokens count against them
     nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("part").desc()))
-    reached = summed(terms.where("seed")).withColumn("n", nth).where(F.col("n") <= k).where(F.col("n") == k).select("query_id", "part")
+    reached = summed(terms.where("seed").select(*cols)).withColumn("n", nth).where(F.col("n") <= k).where(F.col("n") == k).select("query_id", "part")
     against = terms.groupBy("query_id").agg(F.sum(F.when(~F.col("seed"), F.col("least")).otherwise(0.0)).alias("against"))
     goal = reached.join(against, "query_id").select("query_id", (F.col("part") + F.col("against") - _SLACK).alias("goal"))
 
@@ -168,11 +171,10 @@ def bm25_topk(queries: DataFrame, qid_col: str, text_col: str, index: LexicalInd
     terms = terms.join(goal, "query_id", "left").withColumn("sum_most", F.sum("most").over(commonest.rowsBetween(Window.unboundedPreceding, 0)))
     terms = terms.withColumn("late", F.coalesce(F.col("sum_most") < F.col("goal"), F.lit(False)))
     bound = terms.groupBy("query_id").agg(F.first("goal").alias("goal"), F.coalesce(F.max(F.when(F.col("late"), F.col("sum_most"))), F.lit(0.0)).alias("more"))
-    cands = summed(terms.where("not late")).join(bound, "query_id").where("goal is null or part + more >= goal").select("query_id", "doc_id", "part")
+    cands = summed(terms.where("not late").select(*cols)).join(bound, "query_id").where("goal is null or part + more >= goal").select("query_id", "doc_id", "part")
 
     # 3: their weights for the tokens left out
-    rest = cands.join(terms.where("late").select("query_id", "token", "qtf"), "query_id").join(post, ["token", "doc_id"]).groupBy(
-        "query_id", "doc_id").agg(F.sum(F.col("qtf") * F.col("w")).alias("rest"))
+    rest = completed(cands.select("query_id", "doc_id").join(terms.where("late").select(*cols), "query_id"))
     scores = cands.join(rest, ["query_id", "doc_id"], "left").select(
         "query_id", "doc_id", (F.col("part") + F.coalesce("rest", F.lit(0.0))).alias("score"))
     return top_k(scores, k)

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions.embed import DIM, hash_embed
 from ..functions.text import clean, corpus
-from ..operators import containment, evaluate, grouped, lexical, vectors
+from ..operators import containment, evaluate, lexical, segments, vectors
+from ..session import shared_path
 from ..sources.views import table, view
 from . import oracle as O
 from .registry import register
@@ -49,18 +50,32 @@ def r_idf(spark, sf):
     return idx.idf.select("token", F.col("df").cast("long").alias("df"), r6("idf").alias("idf"))
 
 
-@register("r_bm25_topk", views=("doc_catalog", "bench_queries"), sql=f"""
+_BM25_TOP_SQL = f"""
 WITH {_BM25_DOCS.strip()}
 SELECT query_id, doc_id, {O.round6("score")} AS score, CAST(rank AS INTEGER) AS rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM scores)
 WHERE rank <= 10
-""")
+"""
+
+
+@register("r_bm25_topk", views=("doc_catalog", "bench_queries"), sql=_BM25_TOP_SQL)
 def r_bm25_topk(spark, sf):
     idx = doc_index(spark, sf)
     top = lexical.bm25_topk(view(spark, sf, "bench_queries"), "item_id", "text", idx, 10)
     return top.select("query_id", "doc_id", r6("score").alias("score"), F.col("rank").cast("int").alias("rank"))
 
 
+@register("r_bm25_segments", views=("doc_catalog", "bench_queries"), sql=_BM25_TOP_SQL)
+def r_bm25_segments(spark, sf):
+    """The same top ten from a stored index that got the documents in two appends, one half of the languages each."""
+    docs, path = view(spark, sf, "doc_catalog"), shared_path(spark, "segmented-index")
+    first = F.coalesce(F.col("lang") < "es", F.lit(False))
+    segments.add_segment(docs.where(first), "doc_id", "text", path)
+    segments.add_segment(docs.where(~first), "doc_id", "text", path)
+    top = segments.bm25_topk_segments(view(spark, sf, "bench_queries"), "item_id", "text", segments.open_segments(spark, path), 10)
+    return top.select("query_id", "doc_id", r6("score").alias("score"), F.col("rank").cast("int").alias("rank"))
+
+
 _NAME_ONLY = O.bm25_ctes("catalog", "commodity_code", "commodity_name", "search_queries", "query_id",
                          "search_query", tok=O.split_tokens)
 
