@@ -278,7 +278,7 @@ def errors_sql(preds: str) -> str:
     """Rows of E17 for the predictions that the CTEs ``preds`` define."""
     return "WITH " + preds.strip() + "," + gate_sql().rstrip() + """,
 evd AS (SELECT * FROM gate WHERE status = 'evaluated'),
-p5 AS (SELECT * FROM preds WHERE rank <= 5),
+p5 AS MATERIALIZED (SELECT * FROM preds WHERE rank <= 5),
 miss AS (SELECT evd.* FROM evd WHERE product_id IN (SELECT product_id FROM p5)
          AND product_id NOT IN (SELECT p5.product_id FROM p5 JOIN evd e2 ON e2.product_id = p5.product_id
                                 WHERE p5.commodity_code = e2.true_code)),

@@ -24,6 +24,18 @@ def s_csv_roundtrip(spark, sf):
     return readers.read_products(spark, path).select("description", "commodity_name")
 
 
+@register("s_csv_line_breaks", views=("products",), sql="""
+SELECT product_id, replace(description, ': ', ':' || chr(10)) || chr(10) || '"' || commodity_name || '",' AS description, commodity_name FROM products""")
+def s_csv_line_breaks(spark, sf):
+    """Descriptions with line breaks and quotes, read back by several tasks per file."""
+    broken = F.concat(F.replace("description", F.lit(": "), F.lit(":\n")), F.lit('\n"'), F.col("commodity_name"), F.lit('",'))
+    p = view(spark, sf, "products").select(F.col("product_id").cast("string").alias("product_id"), broken.alias("Original Description"), F.col("commodity_name").alias("UNSPSC Commodity Name"))
+    path = sinks.scratch_path(spark, "broken-csv")
+    sinks.write_csv(p, path)
+    header = (("product_id", "product_id", T.LongType()), *readers.PRODUCTS_HEADER)
+    return readers.read_csv(spark, path, header, multi_line=True).select("product_id", "description", "commodity_name")
+
+
 @register("s_queries_csv", views=("search_queries",), sql="""
 SELECT search_query, commodity_name FROM search_queries""")
 def s_queries_csv(spark, sf):

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import corpus
 from ..operators.position import ROW_POS
+from . import csv_blocks
 from .sinks import EXACT_CSV
 
 # The CSV headers.
@@ -34,19 +35,24 @@ PRODUCTS_HEADER = (("Original Description", "description", T.StringType()),
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "mode": "FAILFAST", "enforceSchema": "false"}
 
 
-def _read_csv(spark: SparkSession, path: str, header, multi_line: bool) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, header, multi_line: bool) -> DataFrame:
     """The columns of ``header`` by name, plus ``row_pos``: (file, start of the part of it, row number there),
     which orders the rows as the files have them.
 
-    Without ``multi_line`` large files are split over tasks; a quoted line break then fails the read.  With
-    it each file is one task.
+    Large files are split over tasks.  With ``multi_line`` quoted line breaks are read too (:mod:`csv_blocks`);
+    without it they fail the read.
     """
-    df = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
-    missing = [src for src, _, _ in header if src not in df.columns]
+    columns = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path).columns
+    missing = [src for src, _, _ in header if src not in columns]
     if missing:
-        raise ValueError(f"{path}: no column {', '.join(missing)}; it has {', '.join(df.columns)}")
-    pos = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-                   F.monotonically_increasing_id().alias("nth"))
+        raise ValueError(f"{path}: no column {', '.join(missing)}; it has {', '.join(columns)}")
+    if multi_line:
+        df = csv_blocks.read_csv(spark, path, columns, CSV_OPTIONS)
+        pos = F.struct("file", "start", "nth")
+    else:
+        df = spark.read.options(**CSV_OPTIONS).csv(path)
+        pos = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                       F.monotonically_increasing_id().alias("nth"))
     return df.select(*[F.col(f"`{src}`").cast(t).alias(dst) for src, dst, t in header], pos.alias(ROW_POS))
 
 
@@ -57,18 +63,18 @@ def _with_row_id(df: DataFrame, name: str) -> DataFrame:
 
 def read_catalog(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Catalog CSV plus the derived ``corpus`` (null when any level name is null)."""
-    df = _read_csv(spark, path, CATALOG_HEADER, multi_line)
+    df = read_csv(spark, path, CATALOG_HEADER, multi_line)
     return df.withColumn("corpus", corpus("segment_name", "family_name", "class_name", "commodity_name"))
 
 
 def read_queries(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Search-query CSV with a generated ``query_id``."""
-    return _with_row_id(_read_csv(spark, path, QUERIES_HEADER, multi_line), "query_id")
+    return _with_row_id(read_csv(spark, path, QUERIES_HEADER, multi_line), "query_id")
 
 
 def read_products(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """S3: product CSV with a generated ``product_id``."""
-    return _with_row_id(_read_csv(spark, path, PRODUCTS_HEADER, multi_line), "product_id")
+    return _with_row_id(read_csv(spark, path, PRODUCTS_HEADER, multi_line), "product_id")
 
 
 VECTOR_SCHEMA = T.StructType([

@@ -38,3 +38,42 @@ def test_ids_are_stable_over_several_files(spark, tmp_path):
         (tmp_path / f"f{n}.csv").write_text("Search Query,UNSPSC Commodity Name\n" + "".join(f"q{n}{i},n\n" for i in range(5)))
     a, b = ({r["search_query"]: r["query_id"] for r in readers.read_queries(spark, str(tmp_path)).collect()} for _ in range(2))
     assert a == b and len(set(a.values())) == 15
+
+
+@pytest.mark.parametrize("block", [200, 1 << 20])
+def test_quoted_line_breaks_over_many_blocks(spark, tmp_path, block):
+    """Fields longer than a block, breaks and quotes at block borders, two files, blank lines: rows as Python's csv has them."""
+    import csv
+    import random
+
+    from hiermatch.sources import csv_blocks
+
+    rng = random.Random(block)
+    bits = ["a", "\n", '"', ",", " ", "é", "word", "\n\n", '""', "x" * 40, "'"]
+    want = {}
+    for f in range(2):
+        rows = [("".join(rng.choice(bits) for _ in range(rng.choice([1, 3, 9, 60]))) + "z", f"n{i}") for i in range(150)]
+        with open(tmp_path / f"f{f}.csv", "w", newline="") as out:
+            w = csv.writer(out, lineterminator="\n")
+            w.writerows([("Original Description", "UNSPSC Commodity Name"), *rows[:70]])
+            out.write("\n")
+            w.writerows(rows[70:])
+        want[f"f{f}.csv"] = rows
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
+    try:
+        tasks = csv_blocks.records(spark, str(tmp_path)).rdd.getNumPartitions()
+        got = readers.read_products(spark, str(tmp_path), multi_line=True).select("row_pos", "description", "commodity_name").orderBy("row_pos").collect()
+        plain = spark.read.options(**readers.CSV_OPTIONS, multiLine="true").csv(str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    by_file = {n: [(r.description, r.commodity_name) for r in got if r.row_pos.file.endswith(n)] for n in want}
+    assert by_file == want and sorted(map(tuple, plain)) == sorted(x for rows in want.values() for x in rows)
+    assert block == 1 << 20 or tasks > 20
+
+
+def test_parallel_reader_checks_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Search Query,UNSPSC Commodity Name\nq,n\n")
+    (tmp_path / "b.csv").write_text("UNSPSC Commodity Name,Search Query\nn,q\n")
+    with pytest.raises(Exception, match="another header"):
+        readers.read_queries(spark, str(tmp_path), multi_line=True).collect()
