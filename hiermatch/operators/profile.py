@@ -6,7 +6,7 @@ tiny final stage) returned as a long table via ``unpivot``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import join_key
@@ -39,9 +39,30 @@ def null_counts(df: DataFrame) -> DataFrame:
     return _long(df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(c) for c in df.columns]), "nulls")
 
 
+def row_digest(df: DataFrame) -> Column:
+    """32 bytes that stand for a whole row: SHA-256 of its values as text, each with its length, nulls apart."""
+    parts = []
+    for c, kind in df.dtypes:
+        col = F.col(f"`{c}`")
+        if kind in ("float", "double"):
+            value = (col + F.lit(0.0)).cast("string")  # -0.0 and 0.0 are equal
+        elif kind == "binary":
+            value = F.hex(col)
+        elif kind.startswith(("array", "struct", "map")):
+            value = F.to_json(F.struct(col), {"ignoreNullFields": "false"})
+        else:
+            value = col.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(value), F.lit(":"), value), F.lit("null")))
+    return F.unhex(F.sha2(F.concat_ws("|", *parts), 256))
+
+
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Surplus duplicate rows (every occurrence after the first)."""
-    g = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("n"))
+    """Surplus duplicate rows (every occurrence after the first).
+
+    Rows are counted by :func:`row_digest`, so 32 bytes a row are shuffled, however long its texts are; rows are
+    equal if their SHA-256 is.
+    """
+    g = df.select(row_digest(df).alias("digest")).groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
     return g.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
@@ -105,3 +126,34 @@ def preview(df: DataFrame, n: int = 5, order_by: str | list | None = None, cols:
     if order_by:
         d = d.orderBy(*([order_by] if isinstance(order_by, str) else order_by))
     return d.limit(n)
+
+
+# ---------------------------------------------------------------- sketches that merge
+
+def distinct_sketches(df: DataFrame, cols: list[str], part_cols: list[str], lg_k: int = 14) -> DataFrame:
+    """(part_cols..., column_name, sketch): one Theta sketch per part and column, to be stored and merged later.
+
+    A sketch keeps the smallest hashes of a column's distinct non-null values, 2^``lg_k`` at most, so it has a fixed
+    size; the relative standard error of what it counts is about 1 / sqrt(2^lg_k), and it is exact below 2^lg_k.
+    """
+    aggs = [F.theta_sketch_agg(F.col(c).cast("string"), lg_k).alias(c) for c in cols]
+    return df.groupBy(*part_cols).agg(*aggs).unpivot(part_cols, cols, "column_name", "sketch")
+
+
+def sketched_distinct_counts(sketches: DataFrame, lg_k: int = 14) -> DataFrame:
+    """P5 from stored sketches of any parts: (column_name, n_distinct)."""
+    return sketches.groupBy("column_name").agg(F.theta_sketch_estimate(F.theta_union_agg("sketch", lg_k)).alias("n_distinct"))
+
+
+def sketched_key_coverage(catalog: DataFrame, sides: dict[str, DataFrame], cat_col: str = "commodity_name", side_col: str = "commodity_name",
+                          lg_k: int = 14) -> DataFrame:
+    """P7 from one sketch per table: (side, distinct_names, matched, match_rate, missing), by set intersection of sketches."""
+    key = lambda df, c: df.agg(F.theta_sketch_agg(join_key(c), lg_k).alias("s"))
+    cat = key(catalog, cat_col).withColumnRenamed("s", "catalog")
+    out = None
+    for name, df in sides.items():
+        one = key(df, side_col).crossJoin(F.broadcast(cat)).select(  # two one-row tables
+            F.lit(name).alias("side"), F.theta_sketch_estimate("s").alias("distinct_names"), F.theta_sketch_estimate(F.theta_intersection("s", "catalog")).alias("matched"))
+        out = one if out is None else out.unionByName(one)
+    rate = F.when(F.col("distinct_names") > 0, F.col("matched") / F.col("distinct_names") * 100.0)
+    return out.withColumn("match_rate", rate).withColumn("missing", F.col("distinct_names") - F.col("matched"))

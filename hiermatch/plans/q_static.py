@@ -9,6 +9,7 @@ from ..functions import text as TX
 from ..operators import classify as C
 from ..operators import hierarchy as H
 from ..operators import profile as P
+from ..session import shared_path
 from ..sources.views import view
 from . import oracle as O
 from .registry import register
@@ -90,6 +91,34 @@ def p_key_coverage(spark, sf):
     return cov.select("side", "distinct_names", "matched", r6("match_rate").alias("match_rate"), "missing")
 
 
+_SKETCHED = ("commodity_code", "segment_name", "family_name", "class_name", "commodity_name")
+
+
+@register("p_distinct_sketch", views=("catalog_raw",), sql="\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS exact, true AS within FROM catalog_raw" for c in _SKETCHED))
+def p_distinct_sketch(spark, sf):
+    """P5 from sketches that are stored per segment and merged, beside the exact counts: within 4 % of them."""
+    raw = view(spark, sf, "catalog_raw")
+    path = shared_path(spark, "sketches")
+    P.distinct_sketches(raw.withColumn("part", F.col("segment_name")), list(_SKETCHED), ["part"]).write.parquet(path)
+    merged = P.sketched_distinct_counts(spark.read.parquet(path))
+    exact = P.distinct_counts(raw).withColumnRenamed("n_distinct", "exact")
+    return merged.join(exact, "column_name").select("column_name", "exact", (F.abs(F.col("n_distinct") - F.col("exact")) <= F.col("exact") * 0.04).alias("within"))
+
+
+@register("p_key_coverage_sketch", views=("catalog", "products_gate", "search_queries"), sql=f"""
+SELECT side, distinct_names, matched, true AS within FROM (
+{_COVER_SIDE.format(side="products", view="products_gate", key=O.join_key("commodity_name"))}
+UNION ALL {_COVER_SIDE.format(side="queries", view="search_queries", key=O.join_key("commodity_name"))})""")
+def p_key_coverage_sketch(spark, sf):
+    """P7 by intersecting sketches, beside the exact counts: both numbers within 4 % of the distinct names."""
+    cat, sides = view(spark, sf, "catalog"), {"products": view(spark, sf, "products_gate"), "queries": view(spark, sf, "search_queries")}
+    near = P.sketched_key_coverage(cat, sides).select("side", F.col("distinct_names").alias("d"), F.col("matched").alias("m"))
+    both = P.key_coverage(cat, sides).join(near, "side")
+    off = F.greatest(F.abs(F.col("d") - F.col("distinct_names")), F.abs(F.col("m") - F.col("matched")))
+    return both.select("side", "distinct_names", "matched", (off <= F.col("distinct_names") * 0.04).alias("within"))
+
+
 @register("p_missing_keys", views=("catalog", "products_gate"), sql=f"""
 SELECT DISTINCT {O.join_key("commodity_name")} AS missing_name FROM products_gate
 WHERE commodity_name IS NOT NULL
