@@ -18,7 +18,7 @@ Top-k (:func:`bm25_topk`) is one exact plan for every size:
    document), and the k best are ranked.
 
 A query with too few documents for step 1 keeps all its tokens in step 2.  Where hardly a token is selective, as in
-catalogs, :mod:`grouped` bounds groups of documents instead.
+catalogs, :mod:`grouped` bounds groups of documents, and the dense form below multiplies blocks.
 """
 
 from __future__ import annotations
@@ -178,3 +178,129 @@ def pruned_topk(terms: DataFrame, k: int, summed, completed) -> DataFrame:
     scores = cands.join(rest, ["query_id", "doc_id"], "left").select(
         "query_id", "doc_id", (F.col("part") + F.coalesce("rest", F.lit(0.0))).alias("score"))
     return top_k(scores, k)
+
+
+# ---------------------------------------------------------------------------
+# Dense form.  In a catalog every row says "brand" and a sixth of the rows share each type: hardly a token is
+# selective, and the pruned plan still meets a good part of all pairs, one row each.  Callers that know this
+# of their texts choose this form: queries and documents are cut into blocks, and each (query block, document
+# block) cell is one task that scores its pairs with matrix products over the cell's shared vocabulary.  It
+# reads all pairs of blocks, so it suits catalogs of millions of rows rather than document collections.
+
+DEFAULT_QUERY_BLOCK = 2048
+DEFAULT_DOC_BLOCK = 8192
+_CELL_BUDGET = 1 << 22  # doubles per dense chunk (32 MiB each; a cell holds a few at once)
+
+
+def _dense(tok_lists, val_lists, vocab, rows_from: int, rows_to: int):
+    """Dense (rows x |vocab|) values and 0/1 presence of one row range; tokens outside ``vocab`` drop out."""
+    import numpy as np
+    import pandas as pd
+
+    toks = tok_lists[rows_from:rows_to]
+    vals = val_lists[rows_from:rows_to]
+    lens = np.fromiter((len(t) for t in toks), dtype=np.int64, count=len(toks))
+    m = np.zeros((len(toks), len(vocab)))
+    present = np.zeros((len(toks), len(vocab)))
+    if lens.sum() == 0:
+        return m, present
+    flat_t = np.concatenate([np.asarray(t, dtype=object) for t in toks])
+    flat_v = np.concatenate([np.asarray(v, dtype=np.float64) for v in vals])
+    rows = np.repeat(np.arange(len(toks)), lens)
+    cols = pd.Index(vocab).get_indexer(flat_t)
+    ok = cols >= 0
+    # (row, token) pairs are unique on both sides (grouped postings), so assignment equals a sum.
+    m[rows[ok], cols[ok]] = flat_v[ok]
+    present[rows[ok], cols[ok]] = 1.0
+    return m, present
+
+
+def _cell_topk_fn(k: int):
+    import numpy as np
+    import pandas as pd
+
+    empty = pd.DataFrame({"query_id": [], "doc_id": [], "score": []})
+
+    def fn(qpdf: pd.DataFrame, dpdf: pd.DataFrame) -> pd.DataFrame:
+        if qpdf.empty or dpdf.empty:
+            return empty
+        # Only tokens present on both sides of the cell can contribute.
+        qv = set(np.concatenate([np.asarray(t, dtype=object) for t in qpdf["tokens"]]).tolist())
+        dv = set(np.concatenate([np.asarray(t, dtype=object) for t in dpdf["tokens"]]).tolist())
+        vocab = sorted(qv & dv)
+        if not vocab:
+            return empty
+        V = len(vocab)
+        qt, qc = qpdf["tokens"].tolist(), qpdf["counts"].tolist()
+        dt, dw = dpdf["tokens"].tolist(), dpdf["weights"].tolist()
+        qids_all = qpdf["query_id"].to_numpy()
+        dids_all = dpdf["doc_id"].to_numpy()
+        place = np.unique(dids_all, return_inverse=True)[1]  # ids in order, whatever their type
+        # Chunk both sides so no dense matrix exceeds the cell budget, whatever the vocabulary size.
+        q_chunk = max(1, _CELL_BUDGET // V)
+        d_chunk = max(1, _CELL_BUDGET // max(V, min(q_chunk, len(qt))))
+        outs_q, outs_d, outs_s = [], [], []
+        for q0 in range(0, len(qt), q_chunk):
+            Q, Qb = _dense(qt, qc, vocab, q0, q0 + q_chunk)
+            qids = qids_all[q0:q0 + q_chunk]
+            for s0 in range(0, len(dt), d_chunk):
+                # A zero weight (idf exactly 0) still counts as a shared token, hence the presence product.
+                W, Wb = _dense(dt, dw, vocab, s0, s0 + d_chunk)
+                nd = W.shape[0]
+                S = Q @ W.T
+                M = Qb @ Wb.T
+                dids = dids_all[s0:s0 + d_chunk]
+                S = np.where(M > 0, S, -np.inf)
+                kk = min(k, nd)
+                if kk < nd:
+                    kth = np.partition(S, nd - kk, axis=1)[:, nd - kk]
+                else:
+                    kth = S.min(axis=1)
+                # Keep everything tied with the k-th score (rounded), so the exact tie-break happens later.
+                thr = np.round(kth, 9)
+                rows, cols = np.nonzero((np.round(S, 9) >= thr[:, None]) & np.isfinite(S))
+                if rows.size == 0:
+                    continue
+                sc = S[rows, cols]
+                order = np.lexsort((place[s0 + cols], -np.round(sc, 9), rows))
+                rows, cols, sc = rows[order], cols[order], sc[order]
+                first = np.r_[0, np.flatnonzero(np.diff(rows)) + 1]
+                pos = np.arange(rows.size) - np.repeat(first, np.diff(np.r_[first, rows.size]))
+                keep = pos < kk
+                outs_q.append(qids[rows[keep]])
+                outs_d.append(dids[cols[keep]])
+                outs_s.append(sc[keep])
+        if not outs_q:
+            return empty
+        return pd.DataFrame({"query_id": np.concatenate(outs_q), "doc_id": np.concatenate(outs_d),
+                             "score": np.concatenate(outs_s)})
+
+    return fn
+
+
+def bm25_topk_dense(queries: DataFrame, qid_col: str, text_col: str, index: LexicalIndex, k: int,
+                    tokenizer=clean_token_list, query_block: int = DEFAULT_QUERY_BLOCK,
+                    doc_block: int = DEFAULT_DOC_BLOCK) -> DataFrame:
+    """R2 + R3 by dense products; same rows as :func:`bm25_topk`, for texts whose words most rows share."""
+    from pyspark.sql import types as T
+
+    qt = query_terms(queries, qid_col, text_col, tokenizer)
+    qrows = qt.groupBy("query_id").agg(F.collect_list("token").alias("tokens"),
+                                       F.collect_list("qtf").alias("counts"))
+    drows = index.weights.groupBy("doc_id").agg(F.collect_list("token").alias("tokens"),
+                                                F.collect_list("w").alias("weights"))
+    qb = max(1, -(-qrows.count() // query_block))
+    cb = max(1, -(-(index.stats.first()["n_docs"] or 0) // doc_block))
+    q = qrows.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(qb)).cast("int"))
+    d = drows.withColumn("cb", F.pmod(F.xxhash64("doc_id"), F.lit(cb)).cast("int"))
+    q = q.withColumn("cb", F.explode(F.sequence(F.lit(0), F.lit(cb - 1)))) if cb > 1 else q.withColumn("cb", F.lit(0))
+    d = d.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(qb - 1)))) if qb > 1 else d.withColumn("qb", F.lit(0))
+    schema = T.StructType([T.StructField("query_id", qrows.schema["query_id"].dataType),
+                           T.StructField("doc_id", drows.schema["doc_id"].dataType), T.StructField("score", T.DoubleType())])
+    cells = (q.select("qb", "cb", "query_id", "tokens",
+                      F.transform("counts", lambda x: x.cast("double")).alias("counts"))
+             .groupBy("qb", "cb")
+             .cogroup(d.select("qb", "cb", "doc_id", "tokens", "weights")
+                      .groupBy("qb", "cb"))
+             .applyInPandas(_cell_topk_fn(k), schema))
+    return top_k(cells, k)
