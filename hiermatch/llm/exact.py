@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from .common import save
 
-#: A text is hot if its copies are over 1/HOT_SHARE of all rows, so at most HOT_SHARE texts are hot.
-HOT_SHARE = 256
+#: A text is hot if its copies hold over 1/HOT_PARTS of a shuffle partition's share of all bytes, so at most
+#: HOT_PARTS x spark.sql.shuffle.partitions texts are hot.
+HOT_PARTS = 8
+#: The least bytes of one text, copies together, that are worth more than one run.
+RUN_BYTES = 1 << 20
 #: Characters of a text in the sort key; a digest and then the whole text follow.  The splitters sampled to
 #: the driver are this short however long the texts are.
 LEAD = 64
@@ -24,19 +27,31 @@ def _order(col: str, keep: str) -> Column:
     return F.col(col).asc_nulls_last() if keep == "min" else F.col(col).desc_nulls_last()
 
 
-def _runs(rows: DataFrame, keep: str, salts: int) -> DataFrame:
-    """``rows`` (doc_id, text, ...) with digest, hot, salt, and per run of equal (text, salt) the place of the
-    row (nth), the first id (head) and the number of rows (size)."""
-    rows = rows.withColumn("digest", F.unhex(F.sha2("text", 256)))
-    total = rows.count()
-    hot = [bytes(r.digest) for r in rows.groupBy("digest").count()
-           .where((F.col("count") > 1) & (F.col("count") * HOT_SHARE > total)).select("digest").collect()]
+def _runs(rows: DataFrame, keep: str, salts: int, run_bytes: int | None = None) -> DataFrame:
+    """``rows`` (doc_id, text, ...) with digest, hot, salt, and per run of equal (text, salt) the place of
+    the row (nth), the first id (head) and the number of rows (size).
+
+    A text whose copies hold more than ``run_bytes`` is hot and dealt over as many runs as hold that much each, at least ``salts``.
+    """
+    spark = rows.sparkSession
+    bytes_of = F.octet_length("text") + 64
+    if run_bytes is None:
+        parts = HOT_PARTS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        run_bytes = max(RUN_BYTES, (rows.agg(F.sum(bytes_of)).first()[0] or 0) // parts)
+    # The input partition tells apart rows that are equal in every column, and does not change when a lost task is
+    # run again, as the order of rows within a partition may.
+    rows = rows.withColumn("place", F.spark_partition_id()).withColumn("digest", F.unhex(F.sha2("text", 256)))
+    hot = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.sum(bytes_of).alias("bytes")).where((F.col("n") > 1) & (F.col("bytes") > run_bytes))
+    hot = save(hot.select(F.col("digest").alias("hot_digest"), F.greatest(F.lit(salts).cast("long"), F.ceil(F.col("bytes") / run_bytes)).alias("salts")), "exact-hot")
+    if hot.isEmpty():
+        rows = rows.withColumns({"hot": F.lit(False), "salts": F.lit(1).cast("long")})
+    else:
+        rows = rows.join(F.broadcast(hot), F.col("digest") == F.col("hot_digest"), "left").withColumn("hot", F.col("hot_digest").isNotNull())
     # Never a constant, also without a hot text: the planner would drop the salt from the window but not from
     # the range partitioning, and exchange the rows once more.
-    rows = rows.withColumn("hot", F.col("digest").isin(hot or [b""]))
-    rows = rows.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")).otherwise(0))
-    rows = rows.withColumn("lead", F.substring("text", 1, LEAD))
-    key = ["lead", "digest", "text", "salt"]
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "place"), F.coalesce("salts", F.lit(1))).cast("int"))
+    rows = rows.withColumn("lead", F.substring("text", 1, LEAD)).drop("hot_digest", "salts", "place")
+    key = ["text", "lead", "digest", "salt"]
     by_range = rows.repartitionByRange("lead", "digest", "salt").sortWithinPartitions(*key, _order("doc_id", keep))
     run = Window.partitionBy(*key)  # the range partitioning already holds each run together: no exchange
     return (
@@ -48,8 +63,8 @@ def _runs(rows: DataFrame, keep: str, salts: int) -> DataFrame:
 
 
 def _heads(runs: DataFrame, keep: str) -> DataFrame:
-    """First rows of the runs of hot texts, at most HOT_SHARE x salts of them, with the first id and the rows
-    of their whole group; wins marks the run whose first row is the group's."""
+    """First rows of the runs of hot texts, at most twice as many as runs of ``run_bytes`` fit into all rows, with
+    the first id and the rows of their whole group; wins marks the run whose first row is the group's."""
     group = Window.partitionBy("text")
     nth = F.row_number().over(group.orderBy(_order("head", keep), "salt"))
     return runs.where("hot and nth = 1").select(
@@ -63,7 +78,7 @@ def _same_run() -> Column:
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min",
-                normalise=None, salts: int = 64) -> DataFrame:
+                normalise=None, salts: int = 2, run_bytes: int | None = None) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after ``normalise`` (Column -> Column, default none).  Of equal texts
@@ -73,13 +88,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keep_id.  Rows repeated with one id count singly in group_size, and exactly one of them is kept.  An
     empty table gives an empty result; other columns are ignored.
 
-    A text whose copies exceed a fixed share of the rows is dealt over ``salts`` runs by a hash of the id.
-    Only the first row of each such run (at most HOT_SHARE x salts rows) meets the others again, compared
-    by its full text.
+    A text whose copies hold over ``run_bytes`` (default: 1/HOT_PARTS of a shuffle partition's share of all bytes,
+    at least RUN_BYTES) is dealt over runs of about that size (at least ``salts``) by a hash of the id and of the input partition, so
+    also copies with null or repeated ids.  Only the first row of each such run meets the others again,
+    compared by its full text.
     """
     text = F.col(text_col) if normalise is None else normalise(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
-    runs = _runs(rows, keep, salts).withColumn("text", F.when(F.col("hot") & (F.col("nth") == 1), F.col("text")))
+    runs = _runs(rows, keep, salts, run_bytes).withColumn("text", F.when(F.col("hot") & (F.col("nth") == 1), F.col("text")))
     runs = save(runs, "exact-runs")
     out = runs.drop("text").alias("r").join(F.broadcast(_heads(runs, keep).alias("h")), F.col("r.hot") & _same_run(), "left")
     return out.select(
@@ -91,12 +107,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", salts: int = 64) -> DataFrame:
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "min", salts: int = 2, run_bytes: int | None = None) -> DataFrame:
     """The rows of ``docs`` that :func:`exact_dedup` keeps, with all their columns; the rows travel with
     their text through the one range exchange, so no join brings them back."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.struct(*[F.col(c) for c in docs.columns if c != text_col], F.col(text_col).isNull().alias("null of " + text_col)).alias("rest"))
-    first = save(_runs(rows, keep, salts).where("nth = 1"), "exact-first")
+    first = save(_runs(rows, keep, salts, run_bytes).where("nth = 1"), "exact-first")
     lost = _heads(first, keep).where("not wins")
     out = first.alias("r").join(F.broadcast(lost.alias("h")), F.col("r.hot") & _same_run(), "left_anti")
     return out.select(*[F.when(~F.col("r.rest")["null of " + text_col], F.col("r.text")).alias(c) if c == text_col

@@ -181,6 +181,36 @@ def test_exact_odd_rows(spark):
     assert {r.keep_id for r in by.collect()} == {1}
 
 
+@pytest.mark.parametrize("keep,pick", [("min", min), ("max", max)])
+def test_exact_hot_texts_by_bytes(spark, mixed, keep, pick):
+    rows = mixed + [(1000 + i, "the same text") for i in range(400)] + [(5000, None), (5001, "")] + [(None, "the same text")] * 3
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t or ""] += [i] if i is not None else []
+    got = exact.exact_dedup(clash(frame(spark, rows)).selectExpr("*", "'x' as place"), keep=keep, run_bytes=1000).collect()
+    assert len(got) == len(rows) and all(r.keep_id == pick(groups[t]) for r in got for t in ["the same text"] if r.doc_id is None)
+    assert {(r.doc_id, r.keep_id, r.kept) for r in got if r.doc_id is not None} == {
+        (i, pick(groups[t or ""]), i == pick(groups[t or ""])) for i, t in rows if i is not None}
+    assert {r.group_size for r in got if r.keep_id == pick(groups["the same text"])} == {403}
+    left = exact.keep_first(frame(spark, rows), keep=keep, run_bytes=1000).collect()
+    assert sorted(r.doc_id for r in left) == sorted(pick(g) for g in groups.values())
+
+
+
+def test_exact_moves_hot_texts_once(spark):
+    rows = frame(spark, [(i, "the same text") for i in range(3000)] + [(5000 + i, f"own text {i}") for i in range(300)])
+    plan = exact._runs(rows, "min", 2, 10_000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and plan.count("Exchange hashpartitioning") == 0
+    assert plan.count("BroadcastHashJoin") == 1 and plan.count("Exchange ") == 2  # the other one is the list of hot digests
+
+def test_exact_hot_text_with_null_ids_is_dealt(spark):
+    rows = frame(spark, [(None, "q" * 50)] * 4000 + [(7, "q" * 50)] * 200).repartition(16)
+    runs = exact._runs(rows, "min", 2, 10_000).where("nth = 1").collect()
+    assert len({r.salt for r in runs}) > 8 and max(r.size for r in runs) < 2100 and sum(r.size for r in runs) == 4200
+    got = exact.exact_dedup(rows, run_bytes=10_000).collect()
+    assert len(got) == 4200 and sum(r.kept for r in got) == 1 and {(r.keep_id, r.group_size) for r in got} == {(7, 4200)}
+
+
 @pytest.mark.parametrize("hot", [True, False])
 def test_exact_moves_texts_once(spark, mixed, hot):
     rows = mixed + [(1000 + i, "the same text" if hot else f"own text {i}") for i in range(3000)]
@@ -451,6 +481,41 @@ def test_packing_batches_fit(spark, mixed):
     assert packing.pack(frame(spark, [])).count() == 0
 
 
+def test_packing_bounds_equal_the_plain_program():
+    """The same bounds as trying every cut of every length, also at sizes that subsets cannot check."""
+    rng = random.Random(11)
+    for n, k in [(1, 3), (50, 1), (80, 7), (200, 8)]:
+        x = sorted(rng.sample(range(1000), n))
+        c = [rng.choice([1, 1, 3, 1000]) for _ in x]
+        below = [sum(c[:i]) for i in range(n + 1)]
+        least = {(0, 0): (0, ())}
+        for b in range(1, k + 1):
+            for j in range(1, n + 1):
+                cuts = [(least[b - 1, i][0] + x[j - 1] * (below[j] - below[i]), i) for i in range(j) if (b - 1, i) in least]
+                if cuts:
+                    cost, i = min(cuts)
+                    least[b, j] = cost, (*least[b - 1, i][1], x[j - 1])
+        want = min((least[b, n][0], b) for b in range(1, k + 1) if (b, n) in least)
+        assert packing.boundaries(x, c, k) == list(least[want[1], n][1])
+
+
+def test_packing_deals_rows_of_one_id(spark):
+    rows = frame(spark, [(5, "a b c d")] * 3000 + [(None, "a b")] * 500 + [(i, "x " * (i % 5)) for i in range(300)])
+    got = packing.pack(rows, budget=40, buckets=3).collect()
+    assert Counter(r.doc_id for r in got) == Counter({5: 3001, None: 500, **{i: 1 for i in range(300) if i != 5}})
+    assert len({r.shard for r in got if r.doc_id == 5}) >= 3
+    batches, shards = defaultdict(list), Counter((r.bucket, r.shard) for r in got)
+    for r in got:
+        batches[r.bucket, r.shard, r.batch].append(r)
+    full = {}
+    for (bucket, shard, batch), rs in batches.items():
+        per = 40 // max(1, rs[0].bound)
+        full[bucket, shard] = full.get((bucket, shard), 0) + (len(rs) < per)
+        assert sorted(r.place for r in rs) == list(range(len(rs))) and len(rs) <= per
+    assert max(full.values()) <= 1  # only the last batch of a shard may be part-filled
+    assert max(shards.values()) <= 3 * packing.SHARD_BATCHES * 40
+
+
 # 9 quality -------------------------------------------------------------------------------------------
 
 def junk_and_prose(n=600, seed=8):
