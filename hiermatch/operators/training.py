@@ -3,11 +3,10 @@
 Sampling without pairing every query with its whole pool: rows of each pool
 (family, segment or the whole catalog) get a dense position in a seeded md5
 order; each query takes the rows at consecutive cyclic positions starting at
-its own md5 offset, skipping rows that carry its truth name.  Pass 1 reads a
-window of ``n + slack`` positions per query (an equi-join on position); the
-few queries whose window held too many truth-named rows retry with a doubled
-window, which is exact and never pairs a query with its whole group unless
-the group is that small.
+its own md5 offset, skipping rows that carry its truth name.  Neighbouring rows
+of one name are one run, and neighbouring runs differ in name, so the runs a
+query must skip are at most every other one: it looks up 2n + 3 runs and then n
+rows, however many rows carry its truth name.  The sample is one lazy plan.
 """
 
 from __future__ import annotations
@@ -20,6 +19,8 @@ from ..session import cut_lineage
 from .position import row_position
 
 SEED = "hiermatch"
+#: Hex digits of the order's md5 that number the parts of a group.
+HASH_DIGITS = 3
 
 
 def md5_order(seed: str, *cols) -> Column:
@@ -60,48 +61,81 @@ def dense_positions(df: DataFrame, group_col: str, order_cols: list, partitions:
     )
 
 
+def hashed_positions(df: DataFrame, group_col: str, hash_col: str, ties: list[str]) -> DataFrame:
+    """``pos``, the 0-based position of each row inside its group in the order of ``hash_col`` (hex digits) and
+    ``ties``, and ``group_size``; a lazy plan.
+
+    Rows are numbered inside (group, first hex digits); the counts of at most 16 ** HASH_DIGITS such parts of a
+    group give each part its first position.  A hash deals a group's rows evenly, so a hot group is spread.
+    """
+    parts = df.withColumn("_part", F.substring(hash_col, 1, HASH_DIGITS))
+    group = Window.partitionBy(group_col)
+    sizes = parts.groupBy(group_col, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    firsts = sizes.select(group_col, "_part", (F.sum("_n").over(group.orderBy("_part")) - F.col("_n")).alias("_before"),
+                          F.sum("_n").over(group).alias("group_size"))
+    nth = F.row_number().over(Window.partitionBy(group_col, "_part").orderBy(hash_col, *ties)) - 1
+    return parts.withColumn("_nth", nth).join(firsts, [group_col, "_part"]).withColumn(
+        "pos", F.col("_before") + F.col("_nth")).drop("_part", "_nth", "_before")
+
+
+def name_runs(pool: DataFrame, group_col: str, block: int = 4096) -> DataFrame:
+    """(group, pos, name_key, run, n_runs): the 0-based number of the run of neighbouring rows with one name that
+    each row is in, and the number of runs of its group.
+
+    Changes of name are counted inside blocks of ``block`` positions; one row per block carries them on.
+    """
+    inside = Window.partitionBy(group_col, "_block").orderBy("pos")
+    rows = pool.select(group_col, "pos", "name_key").withColumn("_block", F.floor(F.col("pos") / block))
+    changes = ~F.lag(F.struct("name_key")).over(inside).eqNullSafe(F.struct("name_key")) & (F.row_number().over(inside) > 1)
+    rows = rows.withColumn("_new", changes.cast("long"))
+    blocks = rows.groupBy(group_col, "_block").agg(
+        F.sum("_new").alias("_inner"), F.min_by(F.struct("name_key"), "pos").alias("_head"), F.max_by(F.struct("name_key"), "pos").alias("_tail"))
+    along = Window.partitionBy(group_col).orderBy("_block")
+    blocks = blocks.withColumn("_opens", (~F.lag("_tail").over(along).eqNullSafe(F.col("_head"))).cast("long"))
+    blocks = blocks.select(
+        group_col, "_block", (F.sum(F.col("_inner") + F.col("_opens")).over(along) - F.col("_inner") - 1).alias("_first"),
+        F.sum(F.col("_inner") + F.col("_opens")).over(Window.partitionBy(group_col)).alias("n_runs"))
+    return rows.withColumn("_nth", F.sum("_new").over(inside)).join(blocks, [group_col, "_block"]).select(
+        group_col, "pos", "name_key", (F.col("_first") + F.col("_nth")).alias("run"), "n_runs")
+
+
 def cyclic_sample(queries: DataFrame, pool: DataFrame, group_col: str, n: int, seed: str = SEED,
-                  slack: int | None = None, single_group: bool = False) -> DataFrame:
+                  single_group: bool = False) -> DataFrame:
     """Up to ``n`` pool rows per query from the query's group, skipping the query's own name.
 
-    ``queries``: (query_id, <group_col>, truth_key); ``pool``: (<group_col>, pos, group_size,
+    ``queries``: (query_id, <group_col>, truth_key), ids distinct; ``pool``: (<group_col>, pos, group_size,
     name_key, ...payload).  Returns the query columns plus the pool payload and ``pick`` (1..n).
+    A group with fewer rows of other names gives all of them; an unknown or null group gives none.
     """
-    slack = n if slack is None else slack
-    sizes = pool.select(group_col, "group_size").distinct()
+    sizes = pool.groupBy(group_col).agg(F.max("group_size").alias("group_size"))
     if single_group:
         # One group (the whole pool): the size table has exactly one row, so attach it by
         # broadcast; a constant join key would otherwise let the planner pick either side.
         q = queries.drop(group_col).crossJoin(F.broadcast(sizes))
     else:
         q = queries.join(sizes, group_col)
-    q = q.withColumn("offset", md5_offset(seed, "query_id", F.col("group_size")))
-    # Truth-named rows of the group: the quota is min(n, rows that may be drawn).
-    truth_cnt = pool.groupBy(group_col, F.col("name_key").alias("truth_key")).agg(F.count(F.lit(1)).alias("_tc"))
-    q = q.join(truth_cnt, [group_col, "truth_key"], "left").withColumn(
-        "quota", F.least(F.lit(n), F.col("group_size") - F.coalesce("_tc", F.lit(0)))).drop("_tc")
-    payload = pool.drop("group_size")
-    w1 = Window.partitionBy("query_id").orderBy("j")
-    # Window passes: each query reads ``width`` cyclic positions from its offset.  Queries whose
-    # window held too many truth-named rows retry with a doubled window; a window covering the
-    # whole group always fills the quota, so the loop ends after at most log2(group size)
-    # passes, and each pass reads no more positions than the query needs (times two).
-    width, pending, done = n + slack, q, None
-    while True:
-        win = pending.withColumn("j", F.explode(F.sequence(F.lit(0), F.least(F.lit(width), F.col("group_size")) - 1))) \
-                     .withColumn("pos", F.pmod(F.col("offset") + F.col("j"), F.col("group_size")))
-        hits = win.join(payload, [group_col, "pos"]).filter(~F.col("name_key").eqNullSafe(F.col("truth_key")))
-        # Read by the emptiness check and by the result.
-        picked = cut_lineage(hits.withColumn("pick", F.row_number().over(w1)).filter(F.col("pick") <= F.col("quota")))
-        got = picked.groupBy("query_id").agg(F.count(F.lit(1)).alias("_got"))
-        short = pending.join(got, "query_id", "left").filter(
-            (F.coalesce("_got", F.lit(0)) < F.col("quota")) & (F.col("group_size") > F.lit(width))).drop("_got")
-        ok = picked.join(short.select("query_id"), "query_id", "left_anti")
-        done = ok if done is None else done.unionByName(ok.select(*done.columns))
-        if short.isEmpty():
-            return done
-        pending = cut_lineage(short)
-        width *= 2
+    q = q.select("query_id", group_col, "truth_key", md5_offset(seed, "query_id", F.col("group_size")).alias("offset"))
+    rows = name_runs(pool, group_col)
+    runs = rows.groupBy(group_col, "run").agg(
+        F.min("pos").alias("start"), (F.max("pos") + 1).alias("end"), F.min_by(F.struct("name_key"), "pos").alias("_name"))
+    # The run that the offset lies in comes first, from the offset on, and again last, up to the offset, if all
+    # runs are read.  Only where positions start anew may two neighbours share a name, so of 2n + 3 runs at least
+    # n + 1 carry another name than the truth.
+    first = rows.select(group_col, F.col("pos").alias("offset"), F.col("run").alias("_run"), "n_runs")
+    ahead = q.join(first, [group_col, "offset"]).withColumn(
+        "i", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(2 * n + 2), F.col("n_runs")))))
+    ahead = ahead.withColumn("run", F.pmod(F.col("_run") + F.col("i"), F.col("n_runs"))).join(runs, [group_col, "run"])
+    begin = F.when(F.col("i") == 0, F.col("offset")).otherwise(F.col("start"))
+    end = F.when((F.col("i") > 0) & (F.col("i") == F.col("n_runs")), F.col("offset")).otherwise(F.col("end"))
+    ahead = ahead.where(~F.col("_name.name_key").eqNullSafe(F.col("truth_key"))).select(
+        "query_id", group_col, "i", begin.alias("begin"), F.least(F.lit(n), end - begin).alias("size")).where("size > 0")
+    before = F.sum("size").over(Window.partitionBy("query_id").orderBy("i")) - F.col("size")
+    ahead = ahead.withColumn("before", before).where(F.col("before") < n)
+    picks = ahead.select("query_id", group_col, "begin", "before", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.least(F.col("size"), n - F.col("before")) - 1)).alias("k"))
+    picks = picks.select("query_id", group_col, (F.col("begin") + F.col("k")).alias("pos"), (F.col("before") + F.col("k") + 1).alias("pick"))
+    picks = picks.join(pool.drop("group_size"), [group_col, "pos"]).drop("pos", group_col)
+    return queries.join(picks, "query_id")
 
 
 def name_to_corpus(catalog: DataFrame, pos_col: str | None = None) -> DataFrame:
@@ -117,19 +151,12 @@ def first_row_levels(catalog: DataFrame, pos_col: str | None = None) -> DataFram
     ).select("truth_key", F.col("lv.segment_name").alias("true_segment"), F.col("lv.family_name").alias("true_family"))
 
 
-def _pool(catalog: DataFrame, group_col: str, seed: str, single_group: bool = False) -> DataFrame:
+def _pool(catalog: DataFrame, group_col: str, seed: str) -> DataFrame:
     c = catalog.select(
         F.col(group_col).alias("grp"), "commodity_code", F.lower("commodity_name").alias("name_key"),
-        F.col("corpus").alias("neg_corpus"), md5_order(seed, "commodity_code").alias("_h"))
-    c = c.filter(F.col("grp").isNotNull())
-    pos = dense_positions(c, "grp", ["_h", "commodity_code"])
-    sizes = c.groupBy("grp").agg(F.count(F.lit(1)).alias("group_size"))
-    if single_group:
-        # Exactly one row: broadcast it (see cyclic_sample).
-        joined = pos.crossJoin(F.broadcast(sizes.drop("grp")))
-    else:
-        joined = pos.join(sizes, "grp")
-    return cut_lineage(joined.drop("_h"))
+        F.col("corpus").alias("neg_corpus"), md5_order(seed, "commodity_code").alias("_h"), F.xxhash64("corpus").alias("_tie"))
+    # Rows that tie in everything but the text are told apart by its hash: the plan is read more than once.
+    return hashed_positions(c.filter(F.col("grp").isNotNull()), "grp", "_h", ["commodity_code", "name_key", "_tie"]).drop("_h", "_tie")
 
 
 def _queries(queries: DataFrame, catalog: DataFrame, qtext: str, qlabel: str) -> DataFrame:
@@ -175,7 +202,7 @@ def labelled_pairs(queries: DataFrame, catalog: DataFrame, n: int = 5, seed: str
                    qtext: str = "search_query", qlabel: str = "commodity_name") -> DataFrame:
     """One positive and up to ``n`` random negatives (lower name != truth) per query."""
     q = _queries(queries, catalog, qtext, qlabel).withColumn("grp", F.lit("*"))
-    pool = _pool(catalog.withColumn("_all", F.lit("*")), "_all", seed, single_group=True)
+    pool = _pool(catalog.withColumn("_all", F.lit("*")), "_all", seed)
     pos = q.select("query_id", clean("query_text").alias("query"), F.col("positive").alias("document"),
                    F.lit(1).alias("label"), F.col("truth_key").alias("commodity"), F.lit(0).alias("pick"))
     neg = cyclic_sample(q.select("query_id", "grp", "truth_key", "query_text"), pool, "grp", n, seed,
