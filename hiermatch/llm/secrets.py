@@ -27,7 +27,29 @@ ENCODINGS = (
 #: Steps of the p-value grid on which the false-discovery rate is controlled.
 GRID = 40
 
-_SPANS = "array<struct<s:int,e:int,x:string>>"
+
+def _bind(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, also where ``use`` names it inside a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running_sums(steps: Column, block: int = 32) -> Column:
+    """The running sums of an array of ints; sums inside blocks and over blocks, so that no array grows by one
+    element at a time over the whole length."""
+    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
+    none = F.array().cast("array<int>")
+
+    def within(blk, before):
+        return F.transform(blk, lambda _, i: before + total(F.slice(blk, F.lit(1), i + 1)))
+
+    def over(blocks):
+        firsts = F.aggregate(blocks, F.struct(F.lit(0).alias("at"), none.alias("out")), lambda acc, blk: F.struct(
+            (acc["at"] + total(blk)).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+        return F.flatten(F.zip_with(blocks, firsts, within))
+
+    cut = _bind(steps, lambda a: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(a) - 1) / block).cast("int")), lambda j: F.slice(a, j * block + 1, F.lit(block))))
+    return F.when(F.size(steps) > 0, _bind(cut, over)).otherwise(none)
 
 
 def spans(text: Column, pattern: str, good=None) -> Column:
@@ -36,20 +58,13 @@ def spans(text: Column, pattern: str, good=None) -> Column:
 
     The pieces between matches and the matches themselves alternate, so their lengths add up to positions.
     """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    def placed(found):
+        steps = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found, lambda gap, hit: F.length(gap) + F.length(hit))
+        return F.zip_with(found, running_sums(steps), lambda hit, end: F.struct(
+            (end - F.length(hit)).alias("s"), end.alias("e"), hit.alias("x")))
 
-    def add(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        one = F.array(F.struct(start.alias("s"), end.alias("e"), x["hit"].alias("x")))
-        out = F.concat(acc["out"], one) if good is None else F.when(good(x["hit"]), F.concat(acc["out"], one)).otherwise(acc["out"])
-        return F.struct(end.alias("at"), out.alias("out"))
-
-    none = F.array().cast(_SPANS)
-    pairs = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found,
-                       lambda gap, hit: F.struct(gap.alias("gap"), hit.alias("hit")))
-    added = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), none.alias("out")), add, lambda acc: acc["out"])
-    return F.when(F.size(found) > 0, added).otherwise(none)
+    out = _bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
+    return out if good is None else F.filter(out, lambda m: good(m["x"]))
 
 
 def normal_below(z: Column) -> Column:
@@ -73,42 +88,43 @@ def battery(token: Column) -> Column:
     for i in reversed(range(len(ENCODINGS) - 1)):
         enc = F.when(body.rlike(ENCODINGS[i][1]), i).otherwise(enc)
 
-    def of(i):
-        name, _, alphabet, plain = ENCODINGS[i]
-        k, n = float(len(alphabet)), F.length(body).cast("double")
-        chars = F.lower(body) if name == "hex" else body
-        v = F.transform(F.sequence(F.lit(1), F.length(chars)), lambda j: F.instr(F.lit(alphabet), F.substr(chars, j, F.lit(1))) - 1)
-
-        def tests(v):
-            total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
-            squares = total(F.transform(F.sequence(F.lit(0), F.lit(int(k) - 1)), lambda c: F.pow(F.size(F.filter(v, lambda x: x == c)).cast("double"), 2.0)))
-            df = k - 1
-            chi = F.greatest(squares * k / n - n, F.lit(0.0))
-            z_chi = (F.pow(chi / df, 1 / 3) - (1 - 2 / (9 * df))) / (2 / (9 * df)) ** 0.5
-            first, later = F.slice(v, F.lit(1), F.size(v) - 1), F.slice(v, F.lit(2), F.size(v) - 1)
-            high = F.size(F.filter(v, lambda x: x >= k / 2)).cast("double")
-            low = n - high
-            runs = 1 + F.size(F.filter(F.zip_with(first, later, lambda a, b: (a >= k / 2) != (b >= k / 2)), lambda x: x)).cast("double")
-            mean = 1 + 2 * high * low / n
-            spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
-            z_runs = (runs - mean) / spread
-            sum1, sum2 = total(F.transform(v, lambda x: x.cast("double"))), total(F.transform(v, lambda x: (x * x).cast("double")))
-            cross = total(F.zip_with(first, later, lambda a, b: (a * b).cast("double")))
-            var = F.greatest(sum2 / n - F.pow(sum1 / n, 2.0), F.lit(1e-9))
-            corr = (cross / (n - 1) - F.pow(sum1 / n, 2.0)) / var
-            z_corr = (corr + 1 / n) * F.sqrt(n)
-            two = lambda z: 2 * normal_below(-F.abs(z))
-            p_random = F.least(F.lit(1.0), 3 * F.least(normal_below(-z_chi), two(z_runs), two(z_corr)))
-            pairs = (squares - n) / (n * (n - 1))
-            p_plain = normal_below((pairs - plain) / F.sqrt(2 * plain * (1 - plain) / (n * (n - 1)) + plain * plain / n))
-            return F.struct(F.lit(i).alias("enc"), F.length(body).alias("n"), p_random.alias("p_random"), p_plain.alias("p_plain"))
-
-        return F.transform(F.array(v), tests)[0]
-
-    out = of(len(ENCODINGS) - 1)
-    for i in reversed(range(len(ENCODINGS) - 1)):
-        out = F.when(enc == i, of(i)).otherwise(out)
-    return F.when(F.length(body) >= 16, out)
+    def measured(body, enc):
+        pick = lambda values: F.array(*map(F.lit, values))[enc]
+        alphabet, k, plain = pick([e[2] for e in ENCODINGS]), pick([float(len(e[2])) for e in ENCODINGS]), pick([e[3] for e in ENCODINGS])
+        chars = F.when(enc == 0, F.lower(body)).otherwise(body)
+        values = _bind(alphabet, lambda a: F.transform(F.split(chars, ""), lambda c: F.instr(a, c) - 1))
+        return _bind(F.struct(values.alias("v"), k.alias("k"), plain.alias("plain"), enc.alias("enc")), tests)
+
+    def tests(x):
+        v, k, plain = x["v"], x["k"], x["plain"]
+        n = F.size(v).cast("double")
+        total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
+        squares = total(F.transform(F.sequence(F.lit(0), k.cast("int") - 1), lambda c: F.pow(F.size(F.filter(v, lambda y: y == c)).cast("double"), 2.0)))
+        df = k - 1
+        chi = F.greatest(squares * k / n - n, F.lit(0.0))
+        z_chi = (F.pow(chi / df, F.lit(1 / 3)) - (1 - 2 / (9 * df))) / F.sqrt(2 / (9 * df))
+        first, later = F.slice(v, F.lit(1), F.size(v) - 1), F.slice(v, F.lit(2), F.size(v) - 1)
+        high = F.size(F.filter(v, lambda y: y >= k / 2)).cast("double")
+        low = n - high
+        runs = 1 + F.size(F.filter(F.zip_with(first, later, lambda a, b: (a >= k / 2) != (b >= k / 2)), lambda y: y)).cast("double")
+        mean = 1 + 2 * high * low / n
+        spread = F.sqrt(F.greatest((mean - 1) * (mean - 2) / (n - 1), F.lit(1e-9)))
+        z_runs = (runs - mean) / spread
+        sum1, sum2 = total(F.transform(v, lambda y: y.cast("double"))), total(F.transform(v, lambda y: (y * y).cast("double")))
+        cross = total(F.zip_with(first, later, lambda a, b: (a * b).cast("double")))
+        var = F.greatest(sum2 / n - F.pow(sum1 / n, 2.0), F.lit(1e-9))
+        corr = (cross / (n - 1) - F.pow(sum1 / n, 2.0)) / var
+        z_corr = (corr + 1 / n) * F.sqrt(n)
+        two = lambda z: 2 * normal_below(-F.abs(z))
+        pairs = (squares - n) / (n * (n - 1))
+        z_plain = (pairs - plain) / F.sqrt(2 * plain * (1 - plain) / (n * (n - 1)) + plain * plain / n)
+        # The scores are computed once; the approximation of the normal distribution names its argument often.
+        return _bind(F.struct(z_chi.alias("chi"), z_runs.alias("runs"), z_corr.alias("corr"), z_plain.alias("plain")), lambda z: F.struct(
+            x["enc"].alias("enc"), F.size(v).alias("n"),
+            F.least(F.lit(1.0), 3 * F.least(normal_below(-z["chi"]), two(z["runs"]), two(z["corr"]))).alias("p_random"),
+            normal_below(z["plain"]).alias("p_plain")))
+
+    return F.when(F.length(body) >= 16, _bind(F.struct(body.alias("body"), enc.alias("enc")), lambda b: measured(b["body"], b["enc"])))
 
 
 def length_class(n: Column) -> Column:

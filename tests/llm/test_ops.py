@@ -1,8 +1,10 @@
 """Each operator on small tables: brute force, nulls, empty and repeated rows, ties, clashing columns."""
 
 import hashlib
+import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import pytest
@@ -443,6 +445,58 @@ def test_secrets_battery_finds_random_tokens_only(spark):
     assert [rows[0][1][x.start:x.end] for x in r.found] == [rows[0][1].split()[1]]
 
 
+def plain_battery(token):
+    """The three tests and the share of equal pairs in plain Python, with the exact normal distribution."""
+    body = token.rstrip("=")
+    i = next(j for j, e in enumerate(secrets.ENCODINGS) if re.search(e[1], body))
+    name, _, alphabet, plain = secrets.ENCODINGS[i]
+    v = [alphabet.find(c) for c in (body.lower() if name == "hex" else body)]
+    n, k = len(v), len(alphabet)
+    below = lambda z: math.erfc(-z / math.sqrt(2)) / 2
+    squares = sum(c * c for x, c in Counter(v).items() if x >= 0)
+    chi = max(0.0, squares * k / n - n)
+    z_chi = ((chi / (k - 1)) ** (1 / 3) - (1 - 2 / (9 * (k - 1)))) / math.sqrt(2 / (9 * (k - 1)))
+    high = sum(x >= k / 2 for x in v)
+    runs = 1 + sum((a >= k / 2) != (b >= k / 2) for a, b in zip(v, v[1:]))
+    mean = 1 + 2 * high * (n - high) / n
+    z_runs = (runs - mean) / math.sqrt(max(1e-9, (mean - 1) * (mean - 2) / (n - 1)))
+    mu = sum(v) / n
+    var = max(1e-9, sum(x * x for x in v) / n - mu * mu)
+    z_corr = ((sum(a * b for a, b in zip(v, v[1:])) / (n - 1) - mu * mu) / var + 1 / n) * math.sqrt(n)
+    share = (squares - n) / (n * (n - 1))
+    z_plain = (share - plain) / math.sqrt(2 * plain * (1 - plain) / (n * (n - 1)) + plain * plain / n)
+    two = lambda z: 2 * below(-abs(z))
+    return i, n, min(1.0, 3 * min(below(-z_chi), two(z_runs), two(z_corr))), below(z_plain)
+
+
+def test_secrets_battery_equals_closed_forms(spark):
+    rng = random.Random(12)
+    sets = ["0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcdefghijklm", "abcXYZ0189", "ab/+-_Z9"]
+    tokens = ["".join(rng.choice(a) for _ in range(rng.choice([16, 20, 33, 90, 400]))) + "=" * (i % 3) for i in range(20) for a in sets]
+    tokens += ["a" * 30, "ab" * 20, "aa=bb" * 6, "A" * 40]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate([*tokens, "short"])], "i long, t string")
+    got = {r.i: r.x for r in rows.select("i", secrets.battery(rows.t).alias("x")).collect()}
+    assert got.pop(len(tokens)) is None
+    for i, x in got.items():
+        enc, n, p_random, p_plain = plain_battery(tokens[i])
+        assert (x.enc, x.n) == (enc, n)
+        assert abs(x.p_random - p_random) < 1e-6 and abs(x.p_plain - p_plain) < 1e-6
+
+
+def test_secrets_very_long_tokens_and_many_matches(spark):
+    """Time in proportion to the text: a token of a million characters, and 8,000 matches in one text."""
+    rng = random.Random(13)
+    rows = [(1, "x" * 1_000_000), (2, "key " + "".join(rng.choice("abcdefghijkXYZ0189+/") for _ in range(1_000_000)) + " end"),
+            (3, " ".join("%030x" % rng.getrandbits(120) for _ in range(8000))), (4, "é " * 1000 + "f" * 24)]
+    began = time.time()
+    got = {r.doc_id: r for r in secrets.secrets(frame(spark, rows)).collect()}
+    assert time.time() - began < 120
+    want = [(m.start(), m.end()) for m in re.finditer("[0-9a-f]{24,}", rows[2][1])]
+    assert [(x.start, x.end) for x in got[3].base] == want and got[3].n_hex == 8000
+    assert [(x.start, x.end) for x in got[4].base] == [(2000, 2024)]
+    assert got[1].n_hex == got[1].n_assign == got[1].n_access == 0
+
+
 def test_secrets_plan_has_no_python(spark):
     plan = secrets.secrets(frame(spark, [(1, "x")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
