@@ -34,7 +34,7 @@ def _bind(value: Column, use) -> Column:
 
 
 def running_sums(steps: Column, block: int = 32) -> Column:
-    """The running sums of an array of ints; sums inside blocks and over blocks, so that no array grows by one
+    """The running sums of an array of ints that is not empty; sums inside blocks and over blocks, so that no array grows by one
     element at a time over the whole length."""
     total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
     none = F.array().cast("array<int>")
@@ -49,7 +49,7 @@ def running_sums(steps: Column, block: int = 32) -> Column:
 
     cut = _bind(steps, lambda a: F.transform(
         F.sequence(F.lit(0), F.floor((F.size(a) - 1) / block).cast("int")), lambda j: F.slice(a, j * block + 1, F.lit(block))))
-    return F.when(F.size(steps) > 0, _bind(cut, over)).otherwise(none)
+    return _bind(cut, over)
 
 
 def spans(text: Column, pattern: str, good=None) -> Column:
@@ -60,8 +60,9 @@ def spans(text: Column, pattern: str, good=None) -> Column:
     """
     def placed(found):
         steps = F.zip_with(F.slice(F.split(text, pattern, -1), F.lit(1), F.size(found)), found, lambda gap, hit: F.length(gap) + F.length(hit))
-        return F.zip_with(found, running_sums(steps), lambda hit, end: F.struct(
+        spots = F.zip_with(found, running_sums(steps), lambda hit, end: F.struct(
             (end - F.length(hit)).alias("s"), end.alias("e"), hit.alias("x")))
+        return F.when(F.size(found) > 0, spots).otherwise(F.array().cast("array<struct<s:int,e:int,x:string>>"))  # most texts have none
 
     out = _bind(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed)
     return out if good is None else F.filter(out, lambda m: good(m["x"]))
