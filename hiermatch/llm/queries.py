@@ -152,12 +152,12 @@ s AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, p)
              len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words FROM r),
 path AS (SELECT conv_id, d, words, sha256(array_to_string(list(k) OVER (PARTITION BY conv_id ORDER BY d), ',')) AS g FROM s UNION ALL SELECT conv_id, 0, 0, '' FROM c),
 node AS (SELECT min(conv_id) AS rep, d, g, count(*) AS n, any_value(words) AS words FROM path GROUP BY d, g),
-at AS (SELECT path.conv_id, d, rep FROM path JOIN node USING (d, g)),
-kin AS (SELECT node.rep, node.d, n, words, up.rep AS parent FROM node LEFT JOIN at AS up ON up.conv_id = node.rep AND up.d = node.d - 1),
+spot AS (SELECT path.conv_id, d, rep FROM path JOIN node USING (d, g)),
+kin AS (SELECT node.rep, node.d, n, words, up.rep AS parent FROM node LEFT JOIN spot AS up ON up.conv_id = node.rep AND up.d = node.d - 1),
 kid AS (SELECT parent AS rep, d - 1 AS d, count(*) AS n_children FROM kin WHERE parent IS NOT NULL GROUP BY ALL),
 cnt AS (SELECT kin.*, coalesce(n_children, 0) AS n_children FROM kin LEFT JOIN kid USING (rep, d)),
-sub AS (SELECT at.rep, at.d, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n - 1) * words) AS saved FROM cnt JOIN at ON at.conv_id = cnt.rep AND at.d <= cnt.d GROUP BY ALL),
-fin AS (SELECT rep, d, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM at JOIN (SELECT conv_id, max(d) AS d FROM path GROUP BY conv_id) USING (conv_id, d) GROUP BY ALL)
+sub AS (SELECT spot.rep, spot.d, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((n - 1) * words) AS saved FROM cnt JOIN spot ON spot.conv_id = cnt.rep AND spot.d <= cnt.d GROUP BY ALL),
+fin AS (SELECT rep, d, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM spot JOIN (SELECT conv_id, max(d) AS d FROM path GROUP BY conv_id) USING (conv_id, d) GROUP BY ALL)
 SELECT rep AS conv_id, CAST(d AS BIGINT) AS depth, parent AS parent_conv_id, n AS n_convs, n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
 FROM cnt JOIN sub USING (rep, d) LEFT JOIN fin USING (rep, d)"""
 
