@@ -84,3 +84,23 @@ def test_pluggable_embedder(spark):
     df = spark.createDataFrame([(1, "ab"), (2, None), (3, "abcd")], "id long, t string")
     got = vectors.embed_with(df, "t", "v", lambda: lambda texts: np.array([[len(t), 1.0] for t in texts]), 2, batch_rows=2).orderBy("id").collect()
     assert [r["v"] for r in got] == [[2.0, 1.0], [0.0, 1.0], [4.0, 1.0]]
+
+
+def test_a_query_travels_once_per_part_of_the_catalog(spark, monkeypatch):
+    """Small blocks must not send a query's vector to every block or cluster, nor all of a batch's probes at once."""
+    import pandas as pd
+
+    rng = np.random.default_rng(5)
+    c = [(i, rng.normal(size=6).tolist()) for i in range(900)]
+    index = vectors.cluster(_frame(spark, c, "doc_id"), block_rows=8)
+    g = vectors._Geometry(index.centres.orderBy("cluster").collect())
+    assert len(g.n) > 100 and g.parts == 1
+    batch = pd.DataFrame({"query_id": range(2000), "v": [rng.normal(size=6) for _ in range(2000)], "goal": np.nan})
+    sizes = [(len(out), out["parts"].map(len).max()) for out in vectors._probe_fn(g, 5, True)([batch])]
+    assert sum(n for n, _ in sizes) == 2000 and max(n for n, _ in sizes) <= vectors._ROW_CHUNK and max(m for _, m in sizes) == 1
+    # many cells give the same rows, a large cluster in several parts included
+    monkeypatch.setattr(vectors, "SHARE_ROWS", 64)
+    monkeypatch.setattr(vectors, "CELL_BYTES", 64 * 6 * 8)
+    c = c + [(1000 + i, [0.0] * 6) for i in range(300)]
+    got = vectors.knn(_frame(spark, c, "query_id"), _frame(spark, c, "doc_id"), 4, exclude_self=True, catalog_block_rows=8).collect()
+    assert sorted((r["query_id"], r["doc_id"], r["rank"]) for r in got) == sorted((a, b, r) for a, b, _, r in brute(c, c, 4, True))
