@@ -171,3 +171,29 @@ def test_topk_plan_has_no_python_and_no_pairs(spark, sf):
 def test_odd_blanks_split(spark):
     df = spark.createDataFrame([("a\u00a0b\u3000c\td",)], "t string")
     assert df.select(lexical.split_tokens("t")).first()[0] == ["a", "b", "c", "d"]
+
+
+@pytest.mark.parametrize("k", [1, 5, 40])
+def test_dense_topk_over_classes_is_exact(spark, monkeypatch, k):
+    """Copies are scored once, ties go by id over classes, and a class travels once per bounded block of the other side."""
+    import random
+
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(9)]
+    docs = spark.createDataFrame([(i, " ".join(rnd.choices(words, k=rnd.randint(0, 4)))) for i in range(500)] + [(700, None)], "doc_id long, text string")
+    asked = [(i, " ".join(rnd.choices(words + ["zz"], k=rnd.randint(0, 4)))) for i in range(200)] + [(None, "w1 w2"), (900, "w1 w2"), (900, "w3")]
+    queries = spark.createDataFrame(asked, "query_id long, text string")
+    index = lexical.build_stored_index(docs, "doc_id", "text")
+    known = lambda t: sorted((r["query_id"], r["rank"], r["doc_id"], round(r["score"], 8)) for r in t.collect() if r["query_id"] is not None)
+    want = known(lexical.bm25_topk(queries, "query_id", "text", index, k))
+    for shares in (4096, 20):
+        monkeypatch.setattr(lexical, "SHARE_ROWS", shares)
+        got = lexical.bm25_topk_dense(queries, "query_id", "text", index, k, query_block=7, doc_block=9)
+        assert known(got) == want
+        assert [(r["rank"], r["doc_id"]) for r in got.where("query_id is null").orderBy("rank").collect()] == \
+            [(r["rank"], r["doc_id"]) for r in got.where("query_id = 7").limit(0).collect()] + [
+                (r["rank"], r["doc_id"]) for r in lexical.bm25_topk(queries.where("query_id is null").select(F.lit(5).alias("query_id"), "text"), "query_id", "text", index, k).orderBy("rank").collect()]
+    rows = index.weights.select(F.explode(F.sequence(F.lit(1), F.lit(40))).alias("copy"), "doc_id", "token", "w").select((F.col("copy") * 1000 + F.col("doc_id")).alias("doc_id"), "token", "w")
+    from hiermatch.session import shared_path
+    found = lexical._classes(rows, "doc_id", "w", shared_path(spark, "classes"))
+    assert found.count() > 15_000 and found.select("a", "b").distinct().count() < 500
