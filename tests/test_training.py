@@ -74,3 +74,12 @@ def test_sampling_plans_run_no_job(spark):
     jobs = tracker.getJobIdsForGroup("sampling-plans")
     sc.setLocalProperty("spark.jobGroup.id", None)
     assert not jobs and triples.count() == 100 and pairs.count() == 120
+
+
+def test_hard_triples_broadcast_no_table(spark, sf):
+    """A table that is small on disk only because it compresses must not pass through the driver."""
+    from hiermatch.plans import QUERIES
+
+    for name in ("g_hard_triples", "g_pairs"):
+        plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
