@@ -9,7 +9,7 @@ from bisect import bisect_right
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import save
@@ -290,40 +290,33 @@ class Boosted:
         return out
 
 
-def fit(cands: DataFrame, max_candidates: int = 8000, precision: float = 0.98, rounds: int = 10) -> Boosted:
-    """Learn from at most ``max_candidates`` labelled candidates (doc_id, k, s, label, f), in the order of a hash.
+def fit(cands: DataFrame, task_rows: int = 8000, precision: float = 0.98, rounds: int = 10) -> Boosted:
+    """Learn from all labelled candidates (doc_id, k, s, label, f), dealt to tasks of about ``task_rows`` by a hash.
 
     A generator whose labelled candidates are all of one class cannot be calibrated and selects nothing.
-    Three quarters grow the trees; the rest sets, for each generator, the smallest probability, at least one
+    Three quarters grow the trees; the rest sets, for each generator, the smallest probability (to six places), at least one
     half, from which on a share ``precision`` of the candidates is personal data.  A generator without such a threshold
     selects nothing.  With one class only, nothing is selected.
     """
     hashed = F.pmod(F.xxhash64("doc_id", "s", "k"), F.lit(1 << 20))
-    labelled = cands.where("label is not null").select("k", "label", "f", hashed.alias("h"))
-    n = labelled.count()
-    if n > 2 * max_candidates:  # so that the ordering below meets a bounded number of rows
-        labelled = labelled.where(F.col("h") <= (1 << 20) * 1.5 * max_candidates / n)
-    sample = labelled.orderBy("h", "f", "label").limit(max_candidates)
-    sample = save(sample.select("k", "label", "h", "f", array_to_vector("f").alias("x"), F.col("label").cast("double").alias("y")).coalesce(1), "pii-sample")
-    grow = sample.where("h % 4 != 0")
-    if grow.select("label").distinct().count() < 2:
+    labelled = save(cands.where("label is not null").select("k", "label", hashed.alias("h"), "f"), "pii-labelled")
+    tasks = max(1, -(-labelled.count() // task_rows))
+    grow = labelled.where("h % 4 != 0").repartition(tasks, "h").sortWithinPartitions("h", "f", "label")
+    grow = save(grow.select(array_to_vector("f").alias("x"), F.col("label").cast("double").alias("y")), "pii-grow")
+    if grow.select("y").distinct().count() < 2:
         return Boosted()
     boosted = Boosted(GBTClassifier(featuresCol="x", labelCol="y", maxDepth=3, maxIter=rounds, stepSize=0.3, seed=7).fit(grow))
-    cut = {}
-    scored = sample.where("h % 4 = 0").select("k", "label", boosted.probability(F.col("f")).alias("p")).collect()  # bounded by max_candidates
-    both = {r.k for r in sample.groupBy("k").agg(F.count_distinct("label").alias("n")).where("n = 2").collect()}
-    for g in sorted(both):
-        rows = sorted(((r.p, r.label) for r in scored if r.k == g), reverse=True)
-        right = 0
-        for i, (p, label) in enumerate(rows, 1):
-            right += label
-            after = rows[i][0] if i < len(rows) else 0.0
-            if right >= precision * i and after < p:
-                cut[g] = max(0.5, (p + after) / 2)  # half way to the next candidate
-    return Boosted(boosted.model, cut)
-
-
-def pii(docs: DataFrame, max_candidates: int = 8000, precision: float = 0.98, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    # Rows of one probability count together: at most a million steps per generator.
+    held = labelled.where("h % 4 = 0").select("k", "label", F.round(boosted.probability(F.col("f")), 6).alias("p"))
+    steps = held.groupBy("k", "p").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("right"))
+    down = Window.partitionBy("k").orderBy(F.col("p").desc())
+    steps = steps.select("k", "p", F.sum("n").over(down).alias("n"), F.sum("right").over(down).alias("right"), F.lead("p", 1, 0.0).over(down).alias("after"))
+    both = labelled.groupBy("k").agg(F.count_distinct("label").alias("classes")).where("classes = 2").select("k")
+    last = steps.where(F.col("right") >= F.lit(precision) * F.col("n")).groupBy("k").agg(F.min_by((F.col("p") + F.col("after")) / 2, "p").alias("cut"))
+    return Boosted(boosted.model, {r.k: max(0.5, r.cut) for r in last.join(both, "k", "left_semi").orderBy("k").collect()})  # one row per generator
+
+
+def pii(docs: DataFrame, task_rows: int = 8000, precision: float = 0.98, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_email, n_ip, n_card, n_phone, base and found (arrays of kind, start, end).
 
     Positions count code points; ends are exclusive.  Base spans follow fixed patterns and checks and are
@@ -334,7 +327,7 @@ def pii(docs: DataFrame, max_candidates: int = 8000, precision: float = 0.98, id
     An empty table gives an empty result; other columns are ignored.
     """
     rows = save(scan(docs, id_col, text_col), "pii")
-    boosted = fit(rows.select("doc_id", F.explode(F.concat("cand", "taught")).alias("c")).select("doc_id", "c.k", "c.s", "c.label", "c.f"), max_candidates, precision)
+    boosted = fit(rows.select("doc_id", F.explode(F.concat("cand", "taught")).alias("c")).select("doc_id", "c.k", "c.s", "c.label", "c.f"), task_rows, precision)
     free = F.filter("cand", lambda c: c["free"] & boosted.selects(c))
     names = F.array(*map(F.lit, SOFT))
     soft = F.transform(F.array_sort(F.transform(free, lambda c: F.struct(c["k"].alias("k"), c["s"].alias("s"), c["e"].alias("e")))),

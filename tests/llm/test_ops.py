@@ -679,3 +679,16 @@ def test_lines_long_or_widely_shared(spark, w):
     got = {r.doc_id: r.text for r in lines.line_dedup(frame(spark, rows), w, with_text=True, min_words=9, min_docs=10).collect()}
     assert got == want
     assert sum("shared by all" in t for t in got.values()) == 1
+
+
+def test_pii_learns_from_every_candidate(spark):
+    """The threshold follows all labelled candidates, however many tasks they are dealt to."""
+    from hiermatch.llm import pii
+
+    # the second half of the candidates differs from the first: 9 of 10 with x >= 0.5 are personal data, then all
+    rows = [(str(i), 0, 0, int(i % 4 >= 2 and (i >= 3000 or i % 40 != 3)), [float(i % 4 >= 2), float(i >= 3000)]) for i in range(6000)]
+    cands = spark.createDataFrame(rows, "doc_id string, k int, s int, label int, f array<double>")
+    one, many = (pii.fit(cands, n) for n in (10_000, 500))
+    seen = [sum(t._java_obj.rootNode().impurityStats().rawCount() for t in m.model.trees[:1]) for m in (one, many)]
+    assert seen[0] == seen[1] > 4000
+    assert one.cut.keys() == many.cut.keys() == {0}
