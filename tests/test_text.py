@@ -73,3 +73,20 @@ def test_token_list(spark):
     df = spark.createDataFrame([("  ss  vlv-adpt ",)], "s string")
     got = df.select(T.clean_token_list("s").alias("t")).first()["t"]
     assert got == py_clean("  ss  vlv-adpt ").split()
+
+
+def test_clean_reads_blanks_and_dropped_characters_in_one_pass(spark):
+    texts = ["a\t\n b", " --a--  b--", "\x0b\x0c\r", "", None, "a b c", "É-é 1,2", "vlv;ss"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    two = F.trim(F.regexp_replace(F.regexp_replace(clean_before("t"), r"[^a-z0-9\s]", " "), r"\s+", " "))
+    for r in df.select(T.clean("t").alias("got"), two.alias("want"), T.clean_token_list("t").alias("toks"), T.tokens(two).alias("want_toks")).collect():
+        assert r["got"] == r["want"] and r["toks"] == r["want_toks"]
+    plan = df.select(T.clean("t").alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+
+
+def clean_before(c):
+    x = F.lower(F.coalesce(F.col(c), F.lit("")))
+    for src, dst in T.ABBREVIATIONS:
+        x = F.replace(x, F.lit(src), F.lit(dst))
+    return x
