@@ -98,7 +98,7 @@ def reachable_groups(terms: DataFrame, index: GroupedIndex, k: int) -> DataFrame
 
 def candidates(queries: DataFrame, qid_col: str, text_col: str, index: GroupedIndex, k: int, tokenizer=clean_token_list) -> DataFrame:
     """(query_id, doc_id, score): documents that hold every query's k best; the scores are exact."""
-    terms = query_terms(queries, qid_col, text_col, tokenizer, by_query=True).join(index.terms, "token")
+    terms = query_terms(queries, qid_col, text_col, tokenizer).join(index.terms, "token")
     rare = terms.groupBy("query_id").agg(F.collect_list(F.when(~F.col("common"), F.struct("token", "qtf"))).alias("rare"))
     reach = reachable_groups(terms, index, k).join(rare, "query_id")
     every = F.when(F.col("whole"), F.array(F.struct(F.lit("").alias("token"), F.lit(0).cast("long").alias("qtf")))).otherwise(F.array())

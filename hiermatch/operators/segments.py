@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_token_list
-from .lexical import B, EPSILON, K1, postings, pruned_topk, query_terms
+from .lexical import B, EPSILON, K1, _kept, postings, pruned_topk, query_terms
 
 #: Postings that a slot holds on average.
 SLOT_ROWS = 256
@@ -100,8 +100,8 @@ def merged_terms(index: Segments) -> DataFrame:
 def bm25_topk_segments(queries: DataFrame, qid_col: str, text_col: str, index: Segments, k: int, tokenizer=clean_token_list) -> DataFrame:
     """R2 + R3: (query_id, doc_id, score, rank); the same rows as :func:`lexical.bm25_topk` over one index of all documents."""
     terms = query_terms(queries, qid_col, text_col, tokenizer).join(merged_terms(index), "token").select(
-        "query_id", "token", "qtf", "df", "idf", F.greatest(F.col("qtf") * F.col("w_max"), F.lit(0.0)).alias("most"),
-        F.least(F.col("qtf") * F.col("w_min"), F.lit(0.0)).alias("least"))
+        "query_id", "token", "qtf", "df", "idf", F.greatest(F.col("qtf") * F.col("w_max"), F.lit(0.0)).alias("most"))
+    terms = _kept(terms, "lexical-terms")
     part = F.col("qtf") * _weight(F.col("idf"), F.col("tf"), F.col("dl"), index.avgdl)
 
     def union(parts: list[DataFrame]) -> DataFrame:
@@ -117,13 +117,13 @@ def bm25_topk_segments(queries: DataFrame, qid_col: str, text_col: str, index: S
             hits.append(there.join(post, ["token", "slot"]).select("query_id", "doc_id", part.alias("part")))
         return union(hits).groupBy("query_id", "doc_id").agg(F.sum("part").alias("part"))
 
-    def completed(pairs: DataFrame) -> DataFrame:
+    def looked_up(pairs: DataFrame) -> DataFrame:
         hits = []
         for post, own in zip(index.postings, index.terms):
             there = pairs.withColumnRenamed("doc_id", "wanted").join(own.select("token", "slots"), "token").withColumn("slot", _slot("wanted", F.col("slots")))
             # Inside a slot ids are compared one by one: as a third join key they would cost the index side an exchange.
             same = F.array_contains(F.array("doc_id"), F.col("wanted"))
-            hits.append(there.join(post, ["token", "slot"]).where(same).select("query_id", "doc_id", part.alias("rest")))
-        return union(hits).groupBy("query_id", "doc_id").agg(F.sum("rest").alias("rest"))
+            hits.append(there.join(post, ["token", "slot"]).where(same).select("query_id", "doc_id", part.alias("part")))
+        return union(hits)
 
-    return pruned_topk(terms, k, summed, completed)
+    return pruned_topk(terms, k, summed, looked_up)

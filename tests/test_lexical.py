@@ -197,3 +197,34 @@ def test_dense_topk_over_classes_is_exact(spark, monkeypatch, k):
     from hiermatch.session import shared_path
     found = lexical._classes(rows, "doc_id", "w", shared_path(spark, "classes"))
     assert found.count() > 15_000 and found.select("a", "b").distinct().count() < 500
+
+
+def test_texts_are_dealt_by_id_and_tokenised_once(spark):
+    """One file is tokenised by many tasks, only texts are shuffled, and no filter below the exchange tokenises again."""
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    for made, key in ((lexical.postings(docs, "doc_id", "text"), "doc_id"), (lexical.query_terms(docs, "doc_id", "text"), "query_id")):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.index("RepartitionByExpression"):]
+        assert "RepartitionByExpression [" + key in plan and plan.count("split(") == 1 and "split(" not in below
+        assert made._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
+def test_seeds_are_scored_in_full(spark):
+    """The goal counts all tokens of the seeds, so documents with a few common words only are no candidates."""
+    words = [f"m{i}" for i in range(8)]
+    docs = [(i, "rare " + " ".join(words)) for i in range(5)] + [(100 + i, f"{words[i % 8]} " + " ".join(f"x{i}_{j}" for j in range(8))) for i in range(400)]
+    idx = lexical.store_index(lexical.build_index(spark.createDataFrame(docs, "doc_id long, text string"), "doc_id", "text", tokenizer=lexical.split_tokens))
+    asked = [(1, "rare " + " ".join(words))]
+    queries = spark.createDataFrame(asked, "qid long, text string")
+    looked, whole = [], lexical.pruned_topk
+
+    def spied(terms, k, summed, looked_up):
+        return whole(terms, k, summed, lambda pairs: looked.append(pairs) or looked_up(pairs))
+
+    lexical.pruned_topk = spied
+    try:
+        got = lexical.bm25_topk(queries, "qid", "text", idx, 5, tokenizer=lexical.split_tokens).collect()
+    finally:
+        lexical.pruned_topk = whole
+    assert {(r["query_id"], r["doc_id"], r["rank"]) for r in got} == plain_topk(docs, asked, 5)
+    assert looked[-1].select("doc_id").distinct().count() == 5
