@@ -228,3 +228,41 @@ def test_seeds_are_scored_in_full(spark):
         lexical.pruned_topk = whole
     assert {(r["query_id"], r["doc_id"], r["rank"]) for r in got} == plain_topk(docs, asked, 5)
     assert looked[-1].select("doc_id").distinct().count() == 5
+
+
+def test_forward_index_gives_the_rows_of_the_postings(spark, monkeypatch):
+    """Repeated and null ids, documents without words and blocks on both sides."""
+    import random
+
+    rnd = random.Random(8)
+    words = [f"w{i}" for i in range(12)]
+    rows = [(i % 130, " ".join(rnd.choices(words, k=rnd.randint(0, 5)))) for i in range(150)] + [(None, "w1 w2"), (None, "w2"), (500, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    queries = spark.createDataFrame([(i, " ".join(rnd.choices(words + [f"own{i}"], k=4))) for i in range(60)] + [(90, "zz"), (91, None)], "query_id long, text string")
+    stored, forward = lexical.build_stored_index(docs, "doc_id", "text"), lexical.build_forward_index(docs, "doc_id", "text")
+    for name, value in (("SHARE_ROWS", 5), ("CELL_DOCS", 20), ("CELL_ROWS", 9)):
+        monkeypatch.setattr(lexical, name, value)
+    known = lambda t: sorted((r["query_id"], r["rank"], r["doc_id"] is None, r["doc_id"] or 0, round(r["score"], 8)) for r in t.collect())
+    got = [known(lexical.bm25_topk_dense(queries, "query_id", "text", index, 4)) for index in (stored, forward)]
+    assert got[0] == got[1] and len(got[0]) > 100
+
+
+def test_words_that_no_document_has_make_no_class(spark, monkeypatch):
+    """Queries that differ in such words only are one class, and travel and score once."""
+    docs = spark.createDataFrame([(i, f"red w{i % 4}") for i in range(40)], "doc_id long, text string")
+    queries = spark.createDataFrame([(i, f"red w{i % 4} own{i}") for i in range(80)], "query_id long, text string")
+    written, whole = [], lexical._classes
+    monkeypatch.setattr(lexical, "_classes", lambda *a: written.append(whole(*a)) or written[-1])
+    top = lexical.bm25_topk_dense(queries, "query_id", "text", lexical.build_forward_index(docs, "doc_id", "text"), 3)
+    assert top.count() == 240
+    assert [t.select("a", "b").distinct().count() for t in written] == [4, 4]
+
+
+def test_forward_index_shuffles_no_postings(spark, tmp_path):
+    """Texts and document frequencies are shuffled, not one row per posting."""
+    docs = spark.createDataFrame(DOCS, "doc_id long, text string")
+    index = lexical.build_forward_index(docs, "doc_id", "text", path=str(tmp_path / "index"))
+    vocabulary = index.idf.select("token", "idf").withColumn("code", F.lit(1).cast("long"))
+    plan = index.weighed(F.broadcast(vocabulary))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan
+    assert index.documents.count() == index.documents.select("doc_id").distinct().count()
