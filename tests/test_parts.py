@@ -2,8 +2,10 @@
 
 import os
 
+import pandas as pd
 from pyspark.sql import functions as F
 
+from hiermatch.functions import features as FE
 from hiermatch.operators import classify as C
 from hiermatch.operators import rank, vectors
 from hiermatch.operators.parts import Model, Parts
@@ -66,3 +68,34 @@ def test_predictions_csv_brings_every_string_back(spark):
     path = sinks.scratch_path(spark, "odd-predictions")
     sinks.write_predictions_csv(df, path)
     assert sorted(map(str, readers.read_predictions_csv(spark, path).collect())) == sorted(map(str, df.collect()))
+
+
+def test_texts_are_dealt_before_they_are_embedded_and_embedded_once(spark, tmp_path):
+    """One unsplit file is embedded by many tasks, and no filter on the vectors embeds again."""
+    seen = str(tmp_path / "seen")
+
+    @F.pandas_udf("array<double>")
+    def embed(texts: pd.Series) -> pd.Series:
+        with open(seen, "a") as f:
+            f.writelines("x\n" for _ in texts)
+        return pd.Series([[1.0, 2.0]] * len(texts))
+
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(30)], "doc_id long, text string").coalesce(1)
+    made = Parts().catalog(docs, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [doc_id" in made and "ArrowEvalPython" not in made[made.index("RepartitionByExpression"):]
+    index = vectors.cluster(docs.repartition("doc_id").select("doc_id", embed("text").alias("embedding")), path=str(tmp_path / "index"))
+    assert index.vectors.count() == 30
+    assert len(open(seen).readlines()) == 30
+
+
+def test_features_are_taken_from_the_winning_rows_only(spark):
+    """The last row of a name wins, a name without positions has no features, and no other row is searched."""
+    rows = [(1, "a", "5 gal ss"), (2, "a", "pvc 7 psi"), (None, "a", "brass"), (None, "b", "brass")]
+    c = spark.createDataFrame(rows, "commodity_code long, commodity_name string, corpus string")
+    made = C.catalog_features(c)
+    got = {r["commodity_name"]: r["cat_features"] for r in made.collect()}
+    assert got["b"] is None
+    want = c.where("commodity_code = 2").select(FE.feature_vector("corpus")).first()[0]
+    assert got["a"] == want == c.where("commodity_code = 2").select(F.array(*FE.feature_columns("corpus"))).first()[0]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract" in plan and "regexp_extract" not in plan[plan.index("Aggregate"):]
