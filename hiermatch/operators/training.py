@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean, join_key
-from ..session import cut_lineage
+from ..session import cut_lineage, shuffled
 from .position import row_position
 
 SEED = "hiermatch"
@@ -23,12 +23,6 @@ SEED = "hiermatch"
 HASH_DIGITS = 3
 
 
-def _shuffled(df: DataFrame) -> DataFrame:
-    """For one side of a join: both are shuffled.  By its file's size the planner would broadcast a table that is small only
-    because it compresses well, through the driver."""
-    return df.hint("merge")
-
-
 def md5_order(seed: str, *cols) -> Column:
     return F.md5(F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in cols]))
 
@@ -80,7 +74,7 @@ def hashed_positions(df: DataFrame, group_col: str, hash_col: str, ties: list[st
     firsts = sizes.select(group_col, "_part", (F.sum("_n").over(group.orderBy("_part")) - F.col("_n")).alias("_before"),
                           F.sum("_n").over(group).alias("group_size"))
     nth = F.row_number().over(Window.partitionBy(group_col, "_part").orderBy(hash_col, *ties)) - 1
-    return parts.withColumn("_nth", nth).join(_shuffled(firsts), [group_col, "_part"]).withColumn(
+    return parts.withColumn("_nth", nth).join(shuffled(firsts), [group_col, "_part"]).withColumn(
         "pos", F.col("_before") + F.col("_nth")).drop("_part", "_nth", "_before")
 
 
@@ -101,7 +95,7 @@ def name_runs(pool: DataFrame, group_col: str, block: int = 4096) -> DataFrame:
     blocks = blocks.select(
         group_col, "_block", (F.sum(F.col("_inner") + F.col("_opens")).over(along) - F.col("_inner") - 1).alias("_first"),
         F.sum(F.col("_inner") + F.col("_opens")).over(Window.partitionBy(group_col)).alias("n_runs"))
-    return rows.withColumn("_nth", F.sum("_new").over(inside)).join(_shuffled(blocks), [group_col, "_block"]).select(
+    return rows.withColumn("_nth", F.sum("_new").over(inside)).join(shuffled(blocks), [group_col, "_block"]).select(
         group_col, "pos", "name_key", (F.col("_first") + F.col("_nth")).alias("run"), "n_runs")
 
 
@@ -119,7 +113,7 @@ def cyclic_sample(queries: DataFrame, pool: DataFrame, group_col: str, n: int, s
         # broadcast; a constant join key would otherwise let the planner pick either side.
         q = queries.drop(group_col).crossJoin(F.broadcast(sizes))
     else:
-        q = queries.join(_shuffled(sizes), group_col)
+        q = queries.join(shuffled(sizes), group_col)
     q = q.select("query_id", group_col, "truth_key", md5_offset(seed, "query_id", F.col("group_size")).alias("offset"))
     rows = name_runs(pool, group_col)
     runs = rows.groupBy(group_col, "run").agg(
@@ -128,9 +122,9 @@ def cyclic_sample(queries: DataFrame, pool: DataFrame, group_col: str, n: int, s
     # runs are read.  Only where positions start anew may two neighbours share a name, so of 2n + 3 runs at least
     # n + 1 carry another name than the truth.
     first = rows.select(group_col, F.col("pos").alias("offset"), F.col("run").alias("_run"), "n_runs")
-    ahead = q.join(_shuffled(first), [group_col, "offset"]).withColumn(
+    ahead = q.join(shuffled(first), [group_col, "offset"]).withColumn(
         "i", F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.lit(2 * n + 2), F.col("n_runs")))))
-    ahead = ahead.withColumn("run", F.pmod(F.col("_run") + F.col("i"), F.col("n_runs"))).join(_shuffled(runs), [group_col, "run"])
+    ahead = ahead.withColumn("run", F.pmod(F.col("_run") + F.col("i"), F.col("n_runs"))).join(shuffled(runs), [group_col, "run"])
     begin = F.when(F.col("i") == 0, F.col("offset")).otherwise(F.col("start"))
     end = F.when((F.col("i") > 0) & (F.col("i") == F.col("n_runs")), F.col("offset")).otherwise(F.col("end"))
     ahead = ahead.where(~F.col("_name.name_key").eqNullSafe(F.col("truth_key"))).select(
@@ -140,8 +134,8 @@ def cyclic_sample(queries: DataFrame, pool: DataFrame, group_col: str, n: int, s
     picks = ahead.select("query_id", group_col, "begin", "before", F.explode(
         F.sequence(F.lit(0).cast("long"), F.least(F.col("size"), n - F.col("before")) - 1)).alias("k"))
     picks = picks.select("query_id", group_col, (F.col("begin") + F.col("k")).alias("pos"), (F.col("before") + F.col("k") + 1).alias("pick"))
-    picks = picks.join(_shuffled(pool.drop("group_size")), [group_col, "pos"]).drop("pos", group_col)
-    return queries.join(_shuffled(picks), "query_id")
+    picks = picks.join(shuffled(pool.drop("group_size")), [group_col, "pos"]).drop("pos", group_col)
+    return queries.join(shuffled(picks), "query_id")
 
 
 def name_to_corpus(catalog: DataFrame, pos_col: str | None = None) -> DataFrame:
@@ -167,7 +161,7 @@ def _pool(catalog: DataFrame, group_col: str, seed: str) -> DataFrame:
 
 def _queries(queries: DataFrame, catalog: DataFrame, qtext: str, qlabel: str) -> DataFrame:
     q = queries.select("query_id", F.col(qtext).alias("query_text"), join_key(qlabel).alias("truth_key"))
-    return q.join(_shuffled(name_to_corpus(catalog)), "truth_key").filter(
+    return q.join(shuffled(name_to_corpus(catalog)), "truth_key").filter(
         F.col("positive").isNotNull() & (F.col("positive") != ""))
 
 
@@ -178,14 +172,14 @@ def hard_triples(queries: DataFrame, catalog: DataFrame, n: int = 5, seed: str =
     Negatives come from the positive's family; when it holds fewer than ``n`` other names,
     min(n, available) come from its segment instead.
     """
-    q = _queries(queries, catalog, qtext, qlabel).join(_shuffled(first_row_levels(catalog)), "truth_key")
+    q = _queries(queries, catalog, qtext, qlabel).join(shuffled(first_row_levels(catalog)), "truth_key")
     fam_pool = _pool(catalog, "family_name", seed)
     seg_pool = _pool(catalog, "segment_name", seed)
     fam_avail = fam_pool.groupBy("grp", "name_key").agg(F.count(F.lit(1)).alias("_c"))
     fam_size = fam_pool.select("grp", "group_size").distinct()
     qf = (q.withColumn("grp", F.col("true_family"))
-          .join(_shuffled(fam_size), "grp", "left")
-          .join(_shuffled(fam_avail.withColumnRenamed("name_key", "truth_key")), ["grp", "truth_key"], "left")
+          .join(shuffled(fam_size), "grp", "left")
+          .join(shuffled(fam_avail.withColumnRenamed("name_key", "truth_key")), ["grp", "truth_key"], "left")
           .withColumn("fam_others", F.coalesce("group_size", F.lit(0)) - F.coalesce("_c", F.lit(0)))
           .drop("group_size", "_c"))
     by_family = qf.filter(F.col("fam_others") >= n).drop("fam_others")
@@ -226,7 +220,7 @@ def mined_triplets(hits: DataFrame, queries: DataFrame, n: int = 5, qtext: str =
     negative are dropped.
     """
     q = queries.select("query_id", F.col(qtext).alias("query"), F.col(qlabel).alias("positive"))
-    h = hits.join(_shuffled(q), "query_id").filter(~join_key("commodity_name").eqNullSafe(join_key("positive")))
+    h = hits.join(shuffled(q), "query_id").filter(~join_key("commodity_name").eqNullSafe(join_key("positive")))
     first_seen = h.groupBy("query", "positive", "corpus").agg(F.min("rank").alias("_r"))
     w = Window.partitionBy("query", "positive").orderBy("_r", "corpus")
     top = first_seen.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= n)

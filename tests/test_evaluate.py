@@ -56,3 +56,18 @@ def test_metrics_scan_the_predictions_once(spark):
     plan = row._jdf.queryExecution().executedPlan().toString()
     assert sum("Scan parquet" in line and path.rsplit("/", 1)[-1][:20] in line for line in plan.splitlines()) == 1
     assert row.first() is not None
+
+
+def test_metrics_broadcast_no_table_that_grows(spark):
+    _, catalog, products, preds = _tables(spark, 5)
+    path = shared_path(spark, "small-by-file")
+    for name, rows in (("catalog", catalog), ("products", products), ("preds", spark.createDataFrame(
+            preds, "product_id long, rank int, commodity_code long, confidence double"))):
+        rows.write.parquet(f"{path}/{name}")
+    catalog, products, df = (spark.read.parquet(f"{path}/{name}") for name in ("catalog", "products", "preds"))
+    gated = E.gate(products, catalog)
+    for rows in (gated, E.per_product(gated, df, catalog), E.error_analysis(products, df, catalog).select("product_id")):
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        # In the error analysis only the first missed products are few.
+        assert plan.count("BroadcastHashJoin") <= ("TakeOrderedAndProject" in plan)
+        assert "SortMergeJoin" in plan and rows.count() >= 0
