@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.embed import DIM, hash_embed
-from ..functions.text import clean
+from ..functions.embed import DIM
 from ..operators import classify as C
 from ..operators import training as G
 from ..operators import vectors
+from ..operators.parts import Parts
+from ..session import shuffled
 from ..sources.views import view
 from . import oracle as O
 from .registry import register
@@ -119,10 +120,9 @@ SELECT query, positive, list(corpus ORDER BY k) AS negatives FROM top WHERE k <=
 def g_mined_triplets(spark, sf):
     cat = _cat(spark, sf)
     q = view(spark, sf, "search_queries")
-    qv = q.select("query_id", hash_embed(clean("search_query"), DIM).alias("embedding"))
-    cv = cat.select(F.col("commodity_code").alias("doc_id"), hash_embed("corpus", DIM).alias("embedding"))
-    hits = vectors.knn(qv, cv, 50).join(
-        cat.select(F.col("commodity_code").alias("doc_id"), "corpus", "commodity_name"), "doc_id")
+    parts = Parts(dim=DIM)
+    hits = vectors.knn(parts.queries(q, "query_id", "search_query"), parts.catalog(cat, "commodity_code", "corpus"), 50).join(
+        shuffled(cat.select(F.col("commodity_code").alias("doc_id"), "corpus", "commodity_name")), "doc_id")
     return G.mined_triplets(hits, q)
 
 

@@ -104,3 +104,30 @@ def test_a_query_travels_once_per_part_of_the_catalog(spark, monkeypatch):
     c = c + [(1000 + i, [0.0] * 6) for i in range(300)]
     got = vectors.knn(_frame(spark, c, "query_id"), _frame(spark, c, "doc_id"), 4, exclude_self=True, catalog_block_rows=8).collect()
     assert sorted((r["query_id"], r["doc_id"], r["rank"]) for r in got) == sorted((a, b, r) for a, b, _, r in brute(c, c, 4, True))
+
+
+def test_equal_queries_are_searched_once_and_all_answered(spark):
+    """Equal vectors share one search, an id with several vectors has the nearest of all of them, as before."""
+    rng = np.random.default_rng(9)
+    c = [(i, rng.normal(size=6).round(1).tolist()) for i in range(300)]
+    a, b, d = ([float(x) for x in rng.normal(size=6).round(1)] for _ in range(3))
+    q = [(1, a), (2, b), (3, a), (4, a), (4, b), (5, b), (5, a), (6, d), (6, d)]
+    asked = vectors._asked(_frame(spark, q, "query_id").withColumnRenamed("embedding", "v"), apart=False).collect()
+    assert {r["query_id"]: r["of"] for r in asked} == {1: 1, 2: 2, 3: 1, 4: 4, 5: 4, 6: 6}
+    assert sum(r["vs"] is not None for r in asked) == 4
+    got = vectors.knn(_frame(spark, q, "query_id"), _frame(spark, c, "doc_id"), 5).collect()
+    for i in range(1, 7):
+        of = [x for x in brute([v for v in q if v[0] == i], c, 300)]
+        want = sorted((round(x[2], 9), x[1]) for x in of)[:5]
+        mine = sorted((r["rank"], r["doc_id"]) for r in got if r["query_id"] == i)
+        assert [x[1] for x in mine] == [x[1] for x in want]
+
+
+def test_far_and_large_vectors_are_exact(spark):
+    """Single precision only preselects: far from the origin, and beyond its range."""
+    rng = np.random.default_rng(10)
+    for scale, at in ((1.0, 1e6), (1e16, 0.0), (1e-9, 0.0)):
+        c = [(i, (at + rng.normal(size=4) * scale).tolist()) for i in range(200)]
+        q = [(1000 + i, (at + rng.normal(size=4) * scale).tolist()) for i in range(20)]
+        got = vectors.knn(_frame(spark, q, "query_id"), _frame(spark, c, "doc_id"), 3, catalog_block_rows=50).collect()
+        assert sorted((r["query_id"], r["doc_id"], r["rank"]) for r in got) == sorted((a, b, r) for a, b, _, r in brute(q, c, 3))
